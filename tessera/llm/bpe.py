@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -76,12 +77,43 @@ def sentencepiece_model(pieces: list[bytes]) -> bytes:
     return body + _field(2, trainer) + _field(3, normalizer)
 
 
+def _ranges(code_points: list[int]) -> str:
+    """A character class body for sorted code points."""
+    out, start = [], 0
+    for i in range(1, len(code_points) + 1):
+        if i == len(code_points) or code_points[i] != code_points[i - 1] + 1:
+            out.append(f"\\U{code_points[start]:08X}-\\U{code_points[i - 1]:08X}")
+            start = i
+    return "".join(out)
+
+
+@lru_cache(maxsize=4)
 def pretoken_finder(pattern: str) -> Callable[[str], list[str]]:
-    """findall of a pattern in which \\s means Unicode's White_Space."""
+    """findall of a pattern in which \\s means Unicode's White_Space.
+
+    The classes \\p{L} and \\p{N} are spelled out once, as the standard library's engine has no names for them. It
+    tests characters up to U+FFFF by table but later ones range by range, so texts without those have their own form.
+    """
+    low, full = _spelled(pattern, 0x10000), _spelled(pattern, 0x110000)
+    high = re.compile("[\U00010000-\U0010FFFF]").search
+    return lambda text: full(text) if high(text) else low(text)
+
+
+def _spelled(pattern: str, end: int) -> Callable[[str], list[str]]:
     import regex
 
-    spelled = pattern.replace(r"[^\s", f"[^{WHITE_SPACE}").replace(r"\S", f"[^{WHITE_SPACE}]").replace(r"\s", f"[{WHITE_SPACE}]")
-    return regex.compile(spelled).findall
+    everything = "".join(map(chr, chain(range(0xD800), range(0xE000, end))))
+    members = {rf"\p{{{name}}}": _ranges([ord(c) for c in regex.findall(rf"\p{{{name}}}", everything)]) for name in "LN"}
+    members[r"\s"] = WHITE_SPACE
+    out, inside = [], False
+    for part in re.findall(r"\\p\{\w\}|\\.|.", pattern):
+        inside = part == "[" or inside and part != "]"
+        if part == r"\S":
+            part = f"[^{WHITE_SPACE}]"
+        elif part in members:
+            part = members[part] if inside else f"[{members[part]}]"
+        out.append(part)
+    return re.compile("".join(out)).findall
 
 
 class Encoder:
@@ -98,27 +130,32 @@ class Encoder:
         self.cache: dict[str, tuple[int, ...]] = {}
         self.decimal = [str(i) for i in range(len(self.pieces))]
 
-    def _encode(self, pretoken: str) -> tuple[int, ...]:
-        raw = pretoken.encode()
-        rank = self.rank.get(raw)
-        return (rank,) if rank is not None else tuple(self.model.encode(raw.decode("latin-1").translate(self.table)))
+    def _learn(self, pretokens: set[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of pre-tokens: those that are a piece have its rank, sentencepiece merges the others."""
+        known, spelled = {}, {}
+        for pretoken in pretokens:
+            raw = pretoken.encode()
+            rank = self.rank.get(raw)
+            if rank is None:
+                spelled[pretoken] = raw.decode("latin-1").translate(self.table)
+            else:
+                known[pretoken] = (rank,)
+        known.update(zip(spelled, map(tuple, self.model.encode(list(spelled.values()), num_threads=1)), strict=True))
+        return known
 
     def encode(self, text: str) -> list[int]:
-        pretokens, cache = self.findall(text), self.cache
-        try:
-            return list(chain.from_iterable(map(cache.__getitem__, pretokens)))
-        except KeyError:
-            if len(cache) > CACHE_PIECES:
-                cache.clear()
-            found = dict.fromkeys(pretokens)
-            for pretoken in found:
-                ids = cache.get(pretoken)
-                if ids is None:
-                    ids = self._encode(pretoken)
-                    if len(pretoken) <= CACHE_CHARS:
-                        cache[pretoken] = ids
-                found[pretoken] = ids
-            return list(chain.from_iterable(map(found.__getitem__, pretokens)))
+        pretokens = self.findall(text)
+        unknown = set(pretokens).difference(self.cache)
+        if unknown:
+            if len(self.cache) + len(unknown) > CACHE_PIECES:
+                self.cache.clear()
+                unknown = set(pretokens)
+            learned = self._learn(unknown)
+            if len(unknown) > CACHE_PIECES or max(map(len, unknown)) > CACHE_CHARS:
+                found = {p: learned.get(p) or self.cache[p] for p in set(pretokens)}
+                return list(chain.from_iterable(map(found.__getitem__, pretokens)))
+            self.cache.update(learned)
+        return list(chain.from_iterable(map(self.cache.__getitem__, pretokens)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
