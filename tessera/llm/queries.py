@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import token_digests
+from .common import Scratch, cut
 from .exact_dedup import exact_groups
 from .mixing import mix_sources
+from .token_store import read_tokens, write_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +26,19 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Scratch(spark, "tokens") as path:
+        write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+        read = read_tokens(spark, path)
+        return cut(read.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_bpe_codec, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_bpe_codec, op8_token_planes, op9_source_mixing)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
