@@ -10,13 +10,20 @@ from .bpe import token_digests
 from .common import Scratch, cut
 from .exact_dedup import exact_groups
 from .mixing import mix_sources
+from .secrets import secret_report
 from .token_store import read_tokens, write_tokens
+from .url_filter import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_report(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -26,6 +33,10 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark, "tokens") as path:
         write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -38,7 +49,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_bpe_codec, op8_token_planes, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op7_url_filter, op8_token_planes, op9_source_mixing)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
