@@ -107,7 +107,8 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_di
         repeated = index.entries().where("n > 1").select("digest", F.col("id").alias("keep_id"), F.col("n").alias("group_size"))
         bodies = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(text).alias("digest"), text.alias("body"))
         hits = cut(bodies.join(repeated, "digest"))
-        keepers = hits.where("doc_id <=> keep_id").groupBy("digest").agg(F.min("body").alias("kept_body"))
+        # materialised, so that AQE may split a hot digest of the join below, whose both sides are then plain exchanges
+        keepers = cut(hits.where("doc_id <=> keep_id").groupBy("digest").agg(F.min("body").alias("kept_body")))
         compared = hits.join(keepers, "digest", "left").select("doc_id", "digest", "body", F.col("body").eqNullSafe(F.col("kept_body")).alias("same"))
         differ = cut(compared.where("not same").select("doc_id", "digest", "body"))
         grouped = keys.join(repeated, "digest", "left").select("doc_id", "digest", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"))
