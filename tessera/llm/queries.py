@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .bpe import token_digests
 from .common import Scratch, cut
 from .exact_dedup import exact_groups
+from .language_id import identify
 from .mixing import mix_sources
 from .secrets import secret_report
 from .token_store import read_tokens, write_tokens
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_report(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -49,7 +54,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op7_url_filter, op8_token_planes, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op7_url_filter, op8_token_planes, op9_source_mixing)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
