@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .bpe import token_digests
 from .common import Scratch, cut
 from .exact_dedup import exact_groups
+from .jaccard_join import jaccard_components
 from .language_id import identify
 from .mixing import mix_sources
 from .secrets import secret_report
@@ -38,6 +39,11 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_components(_table(spark, sf_dir, "documents"), n=3, percent=90)
+    return joined.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
 
@@ -54,7 +60,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op7_url_filter, op8_token_planes, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
