@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import token_digests
 from .common import Scratch, cut
+from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
 from .jaccard_join import jaccard_components
 from .language_id import identify
@@ -60,7 +61,12 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing)}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = near_vectors(_table(spark, sf_dir, "embeddings"))
+    return near.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
