@@ -13,6 +13,7 @@ from .exact_dedup import exact_groups
 from .jaccard_join import jaccard_components
 from .language_id import identify
 from .mixing import mix_sources
+from .repeats import remove_repeats
 from .secrets import secret_report
 from .token_store import read_tokens, write_tokens
 from .url_filter import judge_urls
@@ -36,6 +37,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("lows").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -66,7 +72,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op4_repeat_removal, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
