@@ -35,6 +35,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += np.uint8(32)
+_LOWER_CODES = BYTE_CODES[_LOWER]
+#: Short texts are hashed together in groups of about so many characters.
+GROUP_CHARS = 1 << 16
 _BREAK = re.compile(r"[\x20\x09-\x0D]")
 
 
@@ -50,25 +53,69 @@ def word_hashes(text: str) -> np.ndarray:
 
 
 def _word_hashes(text: str) -> np.ndarray:
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    word = np.concatenate(([False], ~_SPACE[raw], [False]))
+    return _hashed(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))[0]
+
+
+def _hashed(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of the words of UTF-8 bytes."""
+    word = np.zeros(len(raw) + 2, bool)
+    np.logical_not(_SPACE[raw], out=word[1:-1])
     edges = np.flatnonzero(word[1:] != word[:-1])
     start, end = edges[::2], edges[1::2]
     up, down = Powers.to(len(raw) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_CODES[_LOWER[raw]] * up[: len(raw)])))
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_LOWER_CODES[raw] * up[: len(raw)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), start
+
+
+def _grams(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all n-grams of a word sequence of n words or more, in order."""
+    grams = np.full(len(words) - n + 1, n, np.uint64)
+    for j in range(n):
+        grams = mix(grams * np.uint64(0x2545F4914F6CDD1D) + words[j : len(words) - n + 1 + j])
+    return grams
 
 
 def ngram_set(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word n-grams; the whole sequence if there are fewer words."""
     words = word_hashes(text or "")
-    if not len(words):
-        return words
-    width = min(n, len(words))
-    grams = np.full(len(words) - width + 1, width, np.uint64)
-    for j in range(width):
-        grams = mix(grams * np.uint64(0x2545F4914F6CDD1D) + words[j : len(words) - width + 1 + j])
-    return np.unique(grams)
+    return np.unique(_grams(words, min(n, len(words)))) if len(words) else words
+
+
+def ngram_sets(texts: Iterable[str | None], n: int) -> Iterator[np.ndarray]:
+    """ngram_set of each text; short ones are hashed together, so that numpy works on long arrays."""
+    held, size = [], 0
+    for text in texts:
+        text = text or ""
+        if len(text) >= GROUP_CHARS:
+            yield from _together(held, n)
+            yield ngram_set(text, n)
+            held, size = [], 0
+            continue
+        held.append(text)
+        size += len(text)
+        if size >= GROUP_CHARS:
+            yield from _together(held, n)
+            held, size = [], 0
+    yield from _together(held, n)
+
+
+def _together(texts: list[str], n: int) -> Iterator[np.ndarray]:
+    if not texts:
+        return
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    words, starts = _hashed(np.frombuffer(b" ".join(raw), np.uint8))
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    cuts = np.concatenate(([0], np.searchsorted(starts, ends)))
+    grams = _grams(words, n) if len(words) >= n else words[:0]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b - a >= n:
+            own = np.sort(grams[a : b - n + 1])
+            new = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            yield own[new]
+        else:
+            yield _grams(words[a:b], b - a) if b > a else words[:0]
 
 
 def set_key(grams: np.ndarray) -> int:
@@ -90,8 +137,7 @@ def frequent_ngrams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray
                 held.clear()
 
         for batch in batches:
-            for text in batch.column(0):
-                grams = ngram_set(text.as_py(), n)
+            for grams in ngram_sets(batch.column(0).to_pylist(), n):
                 held.append(grams)
                 size += len(grams)
                 if size >= COUNT_CHUNK:
@@ -109,23 +155,24 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 class _Order:
-    """The global order: n-grams that aren't frequent by hash, then the frequent ones, least frequent first."""
+    """The global order as 63-bit keys: n-grams that aren't frequent by their hash, then the frequent ones, least frequent first."""
 
     def __init__(self, frequent: np.ndarray):
         self.at = np.argsort(frequent)
         self.sorted = frequent[self.at]
 
     def prefix(self, grams: np.ndarray, percent: int) -> np.ndarray:
+        """Keys of the first n-grams in order; grams are sorted."""
         k = prefix_length(len(grams), percent)
+        keys = (grams >> np.uint64(2)).astype(np.int64)
         if not len(self.sorted):
-            return grams[:k]
+            return keys[:k]
         where = np.minimum(np.searchsorted(self.sorted, grams), len(self.sorted) - 1)
         often = self.sorted[where] == grams
-        rare = grams[~often]
+        rare = keys[~often]
         if len(rare) >= k:
             return rare[:k]
-        ranks = self.at[where[often]]
-        return np.concatenate((rare, grams[often][np.argsort(ranks)]))[:k]
+        return np.concatenate((rare, np.sort(self.at[where[often]]) + (1 << 62)))[:k]
 
 
 def _sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -135,11 +182,10 @@ def _sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFr
         order = _Order(frequent)
         for batch in batches:
             sizes, keys, prefixes = [], [], []
-            for text in batch.column(1):
-                grams = ngram_set(text.as_py(), n)
+            for grams in ngram_sets(batch.column(1).to_pylist(), n):
                 sizes.append(len(grams))
                 keys.append(set_key(grams) if len(grams) else None)
-                prefixes.append(order.prefix(grams, percent).view(np.int64) if len(grams) else None)
+                prefixes.append(order.prefix(grams, percent) if len(grams) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "size", "key", "prefix"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, "doc_id bigint, size bigint, key bigint, prefix array<bigint>")
@@ -150,8 +196,7 @@ def _fragments(docs: DataFrame, ids: DataFrame, keys: DataFrame, n: int) -> Data
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0):
-                grams = ngram_set(text.as_py(), n)
+            for grams in ngram_sets(batch.column(0).to_pylist(), n):
                 cuts = np.searchsorted(grams, [np.uint64(i * (1 << 64) // FRAGMENTS) for i in range(1, FRAGMENTS)])
                 parts = [p.view(np.int64) for p in np.split(grams, cuts)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(grams)] * FRAGMENTS), pa.array(range(FRAGMENTS), pa.int32()), pa.array(parts, pa.list_(pa.int64()))], ["key", "part", "grams"])
@@ -161,8 +206,11 @@ def _fragments(docs: DataFrame, ids: DataFrame, keys: DataFrame, n: int) -> Data
     return parts.join(keys, "key", "left_semi").groupBy("key", "part").agg(F.first("grams").alias("grams"))
 
 
-def _verify(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _verify(docs: DataFrame, members: DataFrame, pairs: DataFrame, percent: int, n: int) -> DataFrame:
     """(a, b) of the pairs (a, b, na, nb) that are similar enough: partial overlaps by fragment, summed per pair."""
+    keys = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    ids = cut(members.join(keys, "key", "left_semi").select(F.col("first_id").alias("__id")))
+    parts = cut(_fragments(docs, small(ids, 200_000), keys, n))
     left = parts.select(F.col("key").alias("a"), "part", F.col("grams").alias("ga"))
     right = parts.select(F.col("key").alias("b"), "part", F.col("grams").alias("gb"))
     counted = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common"))
@@ -188,12 +236,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, rounds: i
     lists = cut(posted.groupBy("gram").agg(F.min("key").alias("pivot"), F.count("*").alias("held")).where("held > 1").select("gram"))
     shared = cut(posted.join(lists, "gram", "left_semi"))
     involved = cut(shared.select("key").distinct())
+    linked = classes.select("key", F.col("key").alias("label"), "first_id")
     if involved.isEmpty():
-        return ids.select("doc_id", "size", F.col("doc_id").alias("component")) if sets.groupBy("key").count().where("key is not null and count > 1").isEmpty() else _named(ids, classes.select("key", F.col("key").alias("label"), "first_id"))
-    members = classes.join(involved, "key", "left_semi")
-    reach = small(cut(members.select(F.col("first_id").alias("__id"))), 200_000)
-    parts = cut(_fragments(docs, reach, involved, n))
-    sizes = cut(members.select("key", "size", "prefix"))
+        return _named(ids, linked)
+    members = cut(classes.join(involved, "key", "left_semi"))
     labels = involved.select("key", F.col("key").alias("label"))
     state = cut(shared.join(labels, "key"))
     done = None
@@ -206,11 +252,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, rounds: i
         if not left["rows"]:
             break
         last = turn == rounds or left["pairs"] <= 4 * left["rows"]
-        pairs = _cross_pairs(state, sizes, percent) if last else _pivot_pairs(state, sizes, percent, turn)
+        pairs = _cross_pairs(state, members, percent) if last else _pivot_pairs(state, members, percent, turn)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        links = cut(_verify(pairs, parts, percent))
+        links = cut(_verify(docs, members, pairs, percent, n))
         if not links.isEmpty():
             named = links.join(labels.select(F.col("key").alias("a"), F.col("label").alias("la")), "a").join(labels.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b")
             merged = components(named, "la", "lb")
@@ -223,25 +269,36 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, rounds: i
     return _named(ids, linked)
 
 
-def _long_enough(percent: int):
-    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+def _possible(percent: int):
+    """Whether (na, pa) and (nb, pb), sizes and prefixes, can be similar enough.
+
+    Sizes bound the overlap. Up to where the shorter of the prefixes ends in the global order both sets are known whole, and
+    n-grams there that only one of them has may not exceed all that the threshold leaves for both sets.
+    """
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    end = F.least(F.element_at("pa", -1), F.element_at("pb", -1))
+    a, b = F.filter("pa", lambda t: t <= end), F.filter("pb", lambda t: t <= end)
+    apart = F.size(a) + F.size(b) - 2 * F.size(F.array_intersect(a, b))
+    return fits & (apart <= F.col("na") + F.col("nb") - 2 * need)
 
 
-def _pivot_pairs(state: DataFrame, sizes: DataFrame, percent: int, turn: int) -> DataFrame:
+def _pivot_pairs(state: DataFrame, members: DataFrame, percent: int, turn: int) -> DataFrame:
     """(a, b, na, nb): in each list, a pivot (another one each turn) with the classes of other components."""
     order = F.struct(F.xxhash64(F.lit(turn), "key"), "key", "label") if turn else F.struct(F.col("key").alias("o"), "key", "label")
     pivots = cut(state.groupBy("gram").agg(F.min(order).alias("p")).select("gram", F.col("p.key").alias("pivot"), F.col("p.label").alias("pivot_label")))
     pairs = state.join(pivots, "gram").where("label <> pivot_label").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    size = sizes.select("key", "size")
-    return pairs.join(size.select(F.col("key").alias("a"), F.col("size").alias("na")), "a").join(size.select(F.col("key").alias("b"), F.col("size").alias("nb")), "b").where(_long_enough(percent)).select("a", "b", "na", "nb")
+    a = members.select(F.col("key").alias("a"), F.col("size").alias("na"), F.col("prefix").alias("pa"))
+    b = members.select(F.col("key").alias("b"), F.col("size").alias("nb"), F.col("prefix").alias("pb"))
+    return pairs.join(a, "a").join(b, "b").where(_possible(percent)).select("a", "b", "na", "nb")
 
 
-def _cross_pairs(state: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb): all pairs of different components that share a list, each from its least shared n-gram."""
-    rich = cut(state.join(sizes, "key"))
+def _cross_pairs(state: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb): all possible pairs of different components that share a list, each from its least shared n-gram."""
+    rich = cut(state.join(members.select("key", "size", "prefix"), "key"))
     a = rich.select("gram", F.col("key").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"), F.col("prefix").alias("pa"))
     b = rich.select("gram", F.col("key").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), F.col("prefix").alias("pb"))
-    met = (a["gram"] == b["gram"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _long_enough(percent)
+    met = (a["gram"] == b["gram"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _possible(percent)
     return a.join(b, met & (F.array_min(F.array_intersect("pa", "pb")) == a["gram"])).select("a", "b", "na", "nb")
 
 
