@@ -71,6 +71,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
     both = cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("l")))
+    if both.isEmpty():
+        return labels.select(F.col("u").alias("id"), F.col("l").alias("component"))
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("l").alias("m"))
         low = labels.join(near, "u").select("u", F.least("l", "m").alias("m"), F.col("l").alias("was"))

@@ -1,14 +1,14 @@
 """Exact Jaccard self-join on word n-grams by vertical partitioning of a global n-gram order.
 
 All n-grams have one global order: rare ones by their hash, then the most frequent by frequency. Two
-sets that are similar enough share an n-gram in the first part of this order (the prefix), which gives candidate
-pairs. The hash range is cut into fragments; each fragment counts a pair's partial overlap by
-itself, and the counts are summed per pair.
-
-Equal sets form one class first, so copies are never paired. Within a posting list, rounds compare every class with
-one pivot of the list (linear in the list) and merge what links; lists whose classes are all in one
-component are done. What is left is enumerated exactly: each pair of classes of different components
-that shares a prefix n-gram and passes the length bound is verified, so no link between components is missed.
+sets that are similar enough share an n-gram in the first part of this order (the prefix), which gives candidates.
+The hash range is cut into fragments; each fragment counts partial overlaps by itself, and the
+counts are summed per pair.
+
+Equal sets form one class first, so copies are never paired. Short posting lists give the pairs of classes that
+pass a bound; the classes of a long list are all candidates of each other, without listing pairs. Components
+of candidates are worked in blocks of bounded size, where overlaps are matrix products; a block
+gives a spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, Powers, components, cut, mix, small
+from .common import BYTE_CODES, Powers, components, cut, mix, small, spread
 
 FRAGMENTS = 4
 #: The most frequent n-grams that go to the end of the global order: so many at most, a bound on what is sent to executors.
@@ -30,7 +30,11 @@ FREQUENT = 50_000
 #: Frequencies are counted over all documents in chunks of so many n-grams; a chunk passes on what it has three times or more.
 COUNT_CHUNK = 1_000_000
 TEXT_CHUNK = 1 << 20
-ROUNDS = 8
+#: Lists with more classes than this aren't paired one by one.
+LONG_LIST = 128
+#: Classes on a side of a block, and n-grams in a matrix of it.
+BLOCK = 512
+COLUMNS = 8_192
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -191,34 +195,137 @@ def _sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFr
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, "doc_id bigint, size bigint, key bigint, prefix array<bigint>")
 
 
-def _fragments(docs: DataFrame, ids: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """(key, part, grams): the n-grams of the wanted sets, cut into ranges of the hash."""
+def _possible(percent: int):
+    """Whether (na, pa) and (nb, pb), sizes and prefixes, can be similar enough.
+
+    Sizes bound the overlap. Up to where the shorter of the prefixes ends in the global order both sets are known whole, and
+    n-grams there that only one of them has may not exceed all that the threshold leaves for both sets.
+    """
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    end = F.least(F.element_at("pa", -1), F.element_at("pb", -1))
+    a, b = F.filter("pa", lambda t: t <= end), F.filter("pb", lambda t: t <= end)
+    apart = F.size(a) + F.size(b) - 2 * F.size(F.array_intersect(a, b))
+    return fits & (apart <= F.col("na") + F.col("nb") - 2 * need)
+
+
+def _candidates(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) whose components hold all pairs that may link; shared has (key, gram, held, pivot).
+
+    A short list gives its possible pairs, each from the least n-gram that both have; a long one ties its classes to its pivot.
+    """
+    rich = cut(shared.where(F.col("held") <= LONG_LIST).join(members.select("key", "size", "prefix"), "key"))
+    a = rich.select("gram", F.col("key").alias("a"), F.col("size").alias("na"), F.col("prefix").alias("pa"))
+    b = rich.select("gram", F.col("key").alias("b"), F.col("size").alias("nb"), F.col("prefix").alias("pb"))
+    met = (a["gram"] == b["gram"]) & (F.col("a") < F.col("b")) & _possible(percent) & (F.array_min(F.array_intersect("pa", "pb")) == a["gram"])
+    tied = shared.where((F.col("held") > LONG_LIST) & (F.col("key") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    return cut(a.join(b, met).select("a", "b").unionByName(tied))
+
+
+def _full_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(key, grams) of the documents with the ids; grams is the sorted set as little-endian 64-bit integers."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for grams in ngram_sets(batch.column(0).to_pylist(), n):
-                cuts = np.searchsorted(grams, [np.uint64(i * (1 << 64) // FRAGMENTS) for i in range(1, FRAGMENTS)])
-                parts = [p.view(np.int64) for p in np.split(grams, cuts)]
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(grams)] * FRAGMENTS), pa.array(range(FRAGMENTS), pa.int32()), pa.array(parts, pa.list_(pa.int64()))], ["key", "part", "grams"])
+            sets = list(ngram_sets(batch.column(0).to_pylist(), n))
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(g) for g in sets], pa.int64()), pa.array([g.astype("<u8").tobytes() for g in sets], pa.binary())], ["key", "grams"])
 
     wanted = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi").select("text").where("text is not null")
-    parts = wanted.mapInArrow(work, "key bigint, part int, grams array<bigint>")
-    return parts.join(keys, "key", "left_semi").groupBy("key", "part").agg(F.first("grams").alias("grams"))
+    return wanted.mapInArrow(work, "key bigint, grams binary")
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of the other: partial counts by fragment, summed."""
+    total = np.zeros((len(left), len(right)), np.float64)
+    borders = [np.uint64(f * (1 << 64) // FRAGMENTS) for f in range(1, FRAGMENTS)]
+    for f in range(FRAGMENTS):
+        sides = []
+        for sets in (left, right):
+            parts = []
+            for s in sets:
+                a = np.searchsorted(s, borders[f - 1]) if f else 0
+                b = np.searchsorted(s, borders[f]) if f < FRAGMENTS - 1 else len(s)
+                parts.append(s[a:b])
+            sides.append((np.concatenate(parts), np.repeat(np.arange(len(sets)), [len(p) for p in parts])))
+        both = np.intersect1d(sides[0][0], sides[1][0])
+        for i in range(0, len(both), COLUMNS):
+            part = both[i : i + COLUMNS]
+            matrices = []
+            for (grams, owner), sets in zip(sides, (left, right), strict=True):
+                at = np.minimum(np.searchsorted(part, grams), len(part) - 1)
+                hit = part[at] == grams
+                m = np.zeros((len(sets), len(part)), np.float32)
+                m[owner[hit], at[hit]] = 1
+                matrices.append(m)
+            total += matrices[0] @ matrices[1].T
+    return total
+
+
+def _block_links(rows: Iterable[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """Rows (group, i, j, side, key, grams) sorted by group, i, j, side to edges of a spanning forest of the links in each block."""
+    task, sides = None, ([], [])
+
+    def finish() -> Iterator[tuple[int, int]]:
+        left = sides[0]
+        right = sides[1] or left
+        if not left:
+            return
+        sets = [[np.frombuffer(g, "<u8") for _, g in side] for side in (left, right)]
+        common = _overlaps(*sets)
+        sizes = [np.array([len(s) for s in side], np.float64) for side in sets]
+        near = 100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
+        for a, b in zip(*np.nonzero(near), strict=True):
+            x, y = find(left[a][0]), find(right[b][0])
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                yield x, y
+
+    for group, i, j, side, key, grams in rows:
+        if (group, i, j) != task:
+            yield from finish()
+            task, sides = (group, i, j), ([], [])
+        sides[side].append((key, grams))
+    yield from finish()
+
+
+def _links(docs: DataFrame, members: DataFrame, groups: DataFrame, percent: int, n: int) -> DataFrame:
+    """Edges (a, b) that connect the linked classes of each group (id, component) of candidates."""
+    groups = cut(groups.select(F.col("id").alias("key"), F.col("component").alias("group")))
+    ids = cut(members.join(groups, "key", "left_semi").select(F.col("first_id").alias("__id")))
+    blocks = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = cut(groups.join(cut(blocks), "group").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
+    sets = _full_sets(docs, small(ids, 200_000), n).join(placed, "key").dropDuplicates(["key"])
+    # block (i, j), i <= j, meets the classes of i on the left with those of j on the right
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j"), F.when(x < F.col("own"), 1).otherwise(0).alias("side")))
+    tasks = sets.select("group", F.explode(others).alias("at"), "key", "grams").select("group", "at.i", "at.j", "at.side", "key", "grams")
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True))
+        found = []
+        for edge in _block_links(rows, percent):
+            found.append(edge)
+            if len(found) >= 10_000:
+                yield _edges(found)
+                found = []
+        yield _edges(found)
+
+    ordered = tasks.repartition(spread(docs), "group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "key")
+    return ordered.mapInArrow(work, "a bigint, b bigint")
 
 
-def _verify(docs: DataFrame, members: DataFrame, pairs: DataFrame, percent: int, n: int) -> DataFrame:
-    """(a, b) of the pairs (a, b, na, nb) that are similar enough: partial overlaps by fragment, summed per pair."""
-    keys = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-    ids = cut(members.join(keys, "key", "left_semi").select(F.col("first_id").alias("__id")))
-    parts = cut(_fragments(docs, small(ids, 200_000), keys, n))
-    left = parts.select(F.col("key").alias("a"), "part", F.col("grams").alias("ga"))
-    right = parts.select(F.col("key").alias("b"), "part", F.col("grams").alias("gb"))
-    counted = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common"))
-    summed = counted.groupBy("a", "b").agg(F.sum("common").alias("common"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    return summed.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, rounds: int = ROUNDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents whose word n-gram sets have a Jaccard similarity of percent/100 or more.
 
     Words are runs of other than U+0020 and U+0009 to U+000D, A-Z lower-cased; a text with fewer than n words is
@@ -233,73 +340,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, rounds: i
     classes = sets.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     classes = cut(classes)
     posted = classes.select("key", F.explode("prefix").alias("gram"))
-    lists = cut(posted.groupBy("gram").agg(F.min("key").alias("pivot"), F.count("*").alias("held")).where("held > 1").select("gram"))
-    shared = cut(posted.join(lists, "gram", "left_semi"))
-    involved = cut(shared.select("key").distinct())
-    linked = classes.select("key", F.col("key").alias("label"), "first_id")
-    if involved.isEmpty():
-        return _named(ids, linked)
-    members = cut(classes.join(involved, "key", "left_semi"))
-    labels = involved.select("key", F.col("key").alias("label"))
-    state = cut(shared.join(labels, "key"))
-    done = None
-    for turn in range(rounds + 1):
-        held = state.groupBy("gram", "label").agg(F.count("*").alias("c"))
-        lists = held.groupBy("gram").agg(F.sum("c").alias("m"), F.count("*").alias("labels"), F.sum(F.col("c") * F.col("c")).alias("squares")).where("labels > 1")
-        lists = cut(lists)
-        state = cut(state.join(lists.select("gram"), "gram", "left_semi"))
-        left = lists.agg(F.sum((F.col("m") * F.col("m") - F.col("squares")) / 2).alias("pairs"), F.sum("m").alias("rows")).first()
-        if not left["rows"]:
-            break
-        last = turn == rounds or left["pairs"] <= 4 * left["rows"]
-        pairs = _cross_pairs(state, members, percent) if last else _pivot_pairs(state, members, percent, turn)
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        links = cut(_verify(docs, members, pairs, percent, n))
-        if not links.isEmpty():
-            named = links.join(labels.select(F.col("key").alias("a"), F.col("label").alias("la")), "a").join(labels.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b")
-            merged = components(named, "la", "lb")
-            labels = cut(labels.join(merged.withColumnRenamed("id", "label"), "label", "left").select("key", F.coalesce("component", "label").alias("label")))
-            state = cut(state.drop("label").join(labels, "key"))
-        if last:
-            break
-        done = cut(pairs.select("a", "b") if done is None else done.unionByName(pairs.select("a", "b")))
-    linked = classes.select("key", "first_id").join(labels, "key", "left").select("key", "first_id", F.coalesce("label", "key").alias("label"))
-    return _named(ids, linked)
-
-
-def _possible(percent: int):
-    """Whether (na, pa) and (nb, pb), sizes and prefixes, can be similar enough.
-
-    Sizes bound the overlap. Up to where the shorter of the prefixes ends in the global order both sets are known whole, and
-    n-grams there that only one of them has may not exceed all that the threshold leaves for both sets.
-    """
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    end = F.least(F.element_at("pa", -1), F.element_at("pb", -1))
-    a, b = F.filter("pa", lambda t: t <= end), F.filter("pb", lambda t: t <= end)
-    apart = F.size(a) + F.size(b) - 2 * F.size(F.array_intersect(a, b))
-    return fits & (apart <= F.col("na") + F.col("nb") - 2 * need)
-
-
-def _pivot_pairs(state: DataFrame, members: DataFrame, percent: int, turn: int) -> DataFrame:
-    """(a, b, na, nb): in each list, a pivot (another one each turn) with the classes of other components."""
-    order = F.struct(F.xxhash64(F.lit(turn), "key"), "key", "label") if turn else F.struct(F.col("key").alias("o"), "key", "label")
-    pivots = cut(state.groupBy("gram").agg(F.min(order).alias("p")).select("gram", F.col("p.key").alias("pivot"), F.col("p.label").alias("pivot_label")))
-    pairs = state.join(pivots, "gram").where("label <> pivot_label").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    a = members.select(F.col("key").alias("a"), F.col("size").alias("na"), F.col("prefix").alias("pa"))
-    b = members.select(F.col("key").alias("b"), F.col("size").alias("nb"), F.col("prefix").alias("pb"))
-    return pairs.join(a, "a").join(b, "b").where(_possible(percent)).select("a", "b", "na", "nb")
-
-
-def _cross_pairs(state: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(a, b, na, nb): all possible pairs of different components that share a list, each from its least shared n-gram."""
-    rich = cut(state.join(members.select("key", "size", "prefix"), "key"))
-    a = rich.select("gram", F.col("key").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"), F.col("prefix").alias("pa"))
-    b = rich.select("gram", F.col("key").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), F.col("prefix").alias("pb"))
-    met = (a["gram"] == b["gram"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _possible(percent)
-    return a.join(b, met & (F.array_min(F.array_intersect("pa", "pb")) == a["gram"])).select("a", "b", "na", "nb")
+    lists = posted.select("gram", "key").groupBy("gram").agg(F.min("key").alias("pivot"), F.count("*").alias("held")).where("held > 1")
+    shared = cut(posted.join(cut(lists), "gram"))
+    members = cut(classes.join(shared.select("key").distinct(), "key", "left_semi"))
+    groups = components(_candidates(shared, members, percent))
+    merged = components(cut(_links(docs, members, groups, percent, n)))
+    linked = classes.select("key", "first_id").join(merged.select(F.col("id").alias("key"), "component"), "key", "left")
+    return _named(ids, linked.select("key", "first_id", F.coalesce("component", "key").alias("label")))
 
 
 def _named(ids: DataFrame, linked: DataFrame) -> DataFrame:
