@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from ..functions.text import strip
 from ..profiles import GLYPH_SPACE, INVISIBLE, PageProfile
@@ -15,7 +16,7 @@ from ..profiles import GLYPH_SPACE, INVISIBLE, PageProfile
 _OPEN, _CLASS = "\u0001", "\u0002"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
