@@ -74,7 +74,33 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op4_repeat_removal, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup)}
 
+#: Kinds as in the scan, in patterns that RE2 reads alike: kind, pattern, least characters, group, base.
+_SECRETS = (
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)""", 6, 2, True),
+    ("access", "AKIA[A-Z0-9]+", 20, 0, True),
+    ("hex", "[0-9a-f]+", 24, 0, True),
+    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0, False),
+    ("hosting", "gh[pousr]_[A-Za-z0-9]{36,}", 40, 0, False),
+)
+
+
+def _secret_sql() -> str:
+    """Matches between their gaps, whose lengths add up to positions."""
+    parts = []
+    for order, (kind, pattern, least, group, base) in enumerate(_SECRETS):
+        split = f"select doc_id, string_split_regex(t, '{pattern}') gaps, regexp_extract_all(t, '{pattern}', 0) m, regexp_extract_all(t, '{pattern}', {group}) g from d where regexp_matches(t, '{pattern}')"
+        lengths = f"select doc_id, list_transform(gaps, lambda x: length(x)) gaps, list_transform(m, lambda x: length(x)) m, list_transform(g, lambda x: length(x)) g from ({split})"
+        listed = f"select doc_id, unnest(gaps[1:len(m)]) gap, unnest(m) size, unnest(g) part, unnest(range(len(m))) ix from ({lengths})"
+        placed = f"select *, sum(gap + size) over (partition by doc_id order by ix rows unbounded preceding) as stop from ({listed})"
+        parts.append(f"select doc_id, {order} o, '{kind}' kind, {base} base, stop - size as start, stop from ({placed}) where part >= {least}")
+    spell = "string_agg(kind || ':' || start || ':' || stop, ',' order by start, o)"
+    return f"""with d as (select doc_id, coalesce(text, '') t from documents), s as ({" union all ".join(parts)}),
+        a as (select doc_id, count(*) filter (o = 0) n0, count(*) filter (o = 1) n1, count(*) filter (o = 2) n2, {spell} filter (base) b, {spell} al from s group by doc_id)
+        select d.doc_id, coalesce(n0, 0) as n_assign, coalesce(n1, 0) as n_access, coalesce(n2, 0) as n_hex, sha256(coalesce(b, '')) as base_sha256, coalesce(al, '') as spans from d left join a on d.doc_id = a.doc_id"""
+
+
 ORACLES = {
+    "op2_secret_scan": _secret_sql(),
     "op3_exact_dedup": r"""
         with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents),
         g as (select t, min(doc_id) keep_id, count(*) group_size from d group by t)
