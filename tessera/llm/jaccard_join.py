@@ -210,21 +210,21 @@ def _possible(percent: int):
 
 
 def _candidates(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) whose components hold all pairs that may link; shared has (key, size, gram, at, held, pivot).
+    """Edges (a, b) whose components hold all pairs that may link; shared has (key, gram, held).
 
-    A short list gives pairs whose sizes and places of the n-gram allow enough overlap, and whose prefixes do; a
-    long one ties its classes to its pivot. Prefixes join distinct pairs only.
+    A short list gives pairs whose sizes and prefixes allow enough overlap; a long one ties its classes to one of
+    them. Prefixes join distinct pairs only.
     """
-    short = shared.where(F.col("held") <= LONG_LIST)
-    a = short.select("gram", F.col("key").alias("a"), F.col("size").alias("na"), F.col("at").alias("ia"))
-    b = short.select("gram", F.col("key").alias("b"), F.col("size").alias("nb"), F.col("at").alias("ib"))
-    need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    most = 1 + F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) - 1
-    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (most >= need)
+    sized = shared.where(F.col("held") <= LONG_LIST).join(members.select("key", "size"), "key")
+    a = sized.select("gram", F.col("key").alias("a"), F.col("size").alias("na"))
+    b = sized.select("gram", F.col("key").alias("b"), F.col("size").alias("nb"))
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     pairs = cut(a.join(b, (a["gram"] == b["gram"]) & (F.col("a") < F.col("b")) & fits).select("a", "b", "na", "nb").distinct())
     prefix = members.select("key", "prefix")
     full = pairs.join(prefix.select(F.col("key").alias("a"), F.col("prefix").alias("pa")), "a").join(prefix.select(F.col("key").alias("b"), F.col("prefix").alias("pb")), "b")
-    tied = shared.where((F.col("held") > LONG_LIST) & (F.col("key") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    long = shared.where(F.col("held") > LONG_LIST).select("gram", "key")
+    pivots = cut(long.groupBy("gram").agg(F.min("key").alias("pivot")))
+    tied = long.join(pivots, "gram").where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     return cut(full.where(_possible(percent)).select("a", "b").unionByName(tied))
 
 
@@ -345,9 +345,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     ids = sets.select("doc_id", "size", "key")
     classes = sets.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     classes = cut(classes)
-    posted = classes.select("key", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "gram"))
-    lists = posted.select("gram", "key").groupBy("gram").agg(F.min("key").alias("pivot"), F.count("*").alias("held")).where("held > 1")
-    shared = cut(posted.join(cut(lists), "gram"))
+    # most prefix n-grams are in one class only, so the postings are counted and joined as narrow as can be
+    posted = classes.select("key", F.explode("prefix").alias("gram"))
+    lists = cut(posted.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1"))
+    shared = cut(posted.join(lists, "gram"))
     members = cut(classes.join(shared.select("key").distinct(), "key", "left_semi"))
     groups = components(_candidates(shared, members, percent))
     merged = components(cut(_links(docs, members, groups, percent, n)))
