@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,15 +62,48 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def contract(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with the same components: each partition's become a star for each of its own components.
+
+    Memory is bounded by a partition's edges; what arrives by a hash of u is a small part of all.
+    """
+
+    def stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            top = x
+            while root[top] != top:
+                top = root[top]
+            while root[x] != top:
+                root[x], x = top, root[x]
+            return top
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                root.setdefault(u, u)
+                root.setdefault(v, v)
+                a, b = find(u), find(v)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+        nodes = list(root)
+        for i in range(0, len(nodes), 50_000):
+            part = [x for x in nodes[i : i + 50_000] if find(x) != x]
+            yield pa.RecordBatch.from_arrays([pa.array([find(x) for x in part], pa.int64()), pa.array(part, pa.int64())], ["u", "v"])
+
+    return edges.mapInArrow(stars, "u bigint, v bigint")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: (id, component), the component being its smallest id.
 
-    Minimum labels travel along the edges and labels jump to their label's label, so a chain of n
+    Edges are contracted within their partitions first. Then minimum labels travel along the edges and labels jump to their label's label, so a chain of n
     nodes needs about log n rounds. Joins have one row per id on one side, which leaves AQE free to
     split a hot id on the other. Nodes are those that occur in an edge; a null end is ignored.
     An edge list that doesn't settle in `rounds` rounds raises an error.
     """
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
+    both = edges.select(F.col(a).cast("bigint").alias("u"), F.col(b).cast("bigint").alias("v")).where("u is not null and v is not null and u <> v")
+    both = contract(contract(both).repartition(spread(edges), "v"))
     both = cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("l")))
     if both.isEmpty():
