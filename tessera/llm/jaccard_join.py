@@ -31,7 +31,7 @@ FREQUENT = 50_000
 COUNT_CHUNK = 1_000_000
 TEXT_CHUNK = 1 << 20
 #: Lists with more classes than this aren't paired one by one.
-LONG_LIST = 16
+LONG_LIST = 128
 #: Classes on a side of a block, and n-grams in a matrix of it.
 BLOCK = 512
 COLUMNS = 8_192
