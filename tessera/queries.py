@@ -114,7 +114,7 @@ def sequence_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mega_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.lit("").alias("header"), F.split("text", "\n").alias("parts"))
-    signed = segment.signatures(docs, parts_chars=500, most=5_000)
+    signed = segment.signatures(docs)
     return signed.select("doc_id", F.size("head_words").alias("n_head"), F.size("body_words").alias("n_body"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tessera import profiles as P
 from tessera.operators import align, gate, lookup, segment, spans
 from tessera.plans import books
+from tessera.queries import QUERIES
 
 RUNS = "array<struct<cls:string,text:string>>"
 
@@ -140,3 +141,18 @@ def test_books_end_to_end(spark):
     pages = spark.createDataFrame([(1, 0, "كتاب الايمان"), *[(1, 1 + i, text(i) + " " + "زيادة " * 40) for i in range(4)]], "book_id int, page_ix int, text string")
     chapters = spark.createDataFrame([(1, 1, "كتاب الإيمان")], "book_id int, chapter_id int, title string")
     assert {r.num for r in books.chapter_book(pages, units, chapters).collect()} == {1, 2, 3, 4}
+
+
+def test_mega_segments_query_keeps_the_limits_of_the_reference(spark, tmp_path):
+    words = lambda n: " ".join(f"word{i:05d}" for i in range(n))
+    rows = [(1, words(600)), (2, "short\ntext here"), (3, words(6_000) + "\nx"), (4, words(6_000) + "\nxy")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_head, r.n_body) for r in QUERIES["mega_segments"](spark, str(tmp_path)).collect()}
+    # the first 2 000 characters hold 200 words; 60 000 characters of parts are the most, line ends not counted
+    assert got == {1: (0, 200), 2: (0, 3), 3: (0, 200), 4: (0, 0)}
+
+
+def test_signatures_exclude_by_the_limits_given(spark):
+    df = spark.createDataFrame([(1, "head", ["abcd efgh", "ijkl"]), (2, "head", ["abcd efgh", "ijklm"])], "seg_ix int, header string, parts array<string>")
+    got = [(r.head_words, r.body_words) for r in segment.signatures(df, parts_chars=9, most=13).orderBy("seg_ix").collect()]
+    assert (got[0][0], set(got[0][1])) == (["head"], {"head", "abcd", "efgh"}) and got[1] == ([], [])
