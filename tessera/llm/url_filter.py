@@ -3,7 +3,8 @@
 Hosts with pages under an allow rule are trusted seeds, hosts with pages under a block rule blocked
 seeds, each by its share of such pages. Trust follows links forward (personalised PageRank), distrust
 follows them backward: who links to blocked hosts is suspect. A page without a rule is blocked if its
-host's distrust reaches a threshold and exceeds its trust.
+host's held distrust reaches a threshold and exceeds its held trust; what a host holds is counted before
+it sends anything on, so that being linked to doesn't clear it.
 """
 
 from __future__ import annotations
@@ -69,10 +70,12 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def spread_scores(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """(host, trust, distrust) from (host, trust, distrust) seeds over (src, dst, n) links.
+    """(host, trust, distrust, held_trust, held_distrust) from (host, trust, distrust) seeds over (src, dst, n) links.
 
     x = (1 - damping) seed + damping (what comes in along the links, by their share of the sender's);
     a host without links in that direction keeps what it would send. Distrust runs against the links.
+    A host that keeps ends at seed + damping / (1 - damping) what comes in, one that sends at 1 - damping of
+    that; held_trust and held_distrust are the former for both, never below the seed.
     Rounds end when no score moves by more than the tolerance, or after `rounds`.
     """
     links = cut(links)
@@ -80,7 +83,7 @@ def spread_scores(seeds: DataFrame, links: DataFrame, damping: float = DAMPING,
     ends = links.select(F.col("src").alias("host")).union(links.select(F.col("dst").alias("host"))).distinct()
     nodes = cut(hosts.join(ends, "host", "full").na.fill(0.0, ["trust0", "distrust0"]))
     if links.isEmpty():
-        return nodes.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
+        return nodes.select("host", *[F.col(f"{c}0").alias(f"{held}{c}") for held in ("", "held_") for c in ("trust", "distrust")])
     out = links.groupBy("src").agg(F.sum("n").alias("out"))
     into = links.groupBy("dst").agg(F.sum("n").alias("in"))
     steps = cut(links.join(out, "src").join(into, "dst").select("src", "dst", (F.col("n") / F.col("out")).alias("forward"), (F.col("n") / F.col("in")).alias("backward")))
@@ -99,7 +102,9 @@ def spread_scores(seeds: DataFrame, links: DataFrame, damping: float = DAMPING,
         nodes = new.drop("moved")
         if moved is None or moved <= tolerance:
             break
-    return nodes.select("host", "trust", "distrust")
+    # rounded, so that the last bits of a sum don't part equal scores
+    held = [F.round(F.greatest(F.col(f"{c}0"), F.when(F.col(f"keeps_{c}"), F.col(c)).otherwise(F.col(c) / (1 - damping))), 9).alias(f"held_{c}") for c in ("trust", "distrust")]
+    return nodes.select("host", "trust", "distrust", *held)
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, threshold: float = THRESHOLD, **spreading) -> DataFrame:
@@ -117,5 +122,5 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, threshold: float
     seeds = ruled.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
     scores = small(cut(spread_scores(seeds, host_links(pages), **spreading)), 50_000)
     judged = ruled.join(scores, "host", "left")
-    blocked = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
+    blocked = (F.col("held_distrust") >= threshold) & (F.col("held_distrust") > F.col("held_trust"))
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruling", F.when(blocked, "block").otherwise("allow")).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -34,6 +34,31 @@ def test_scores_equal_a_dense_solution(spark):
         assert np.allclose([got[f"h{i}"][column] for i in range(n)], want, atol=2e-2)
 
 
+def linked_pages(spark):
+    """bad.net is blocked on 6 of its 10 pages, even.net on 1 of 2 that are ruled alike; friend.org and far.org lead there, mid.org is half trusted."""
+    page = lambda host, path, *to: (f"http://{host}{path}", "".join(f"<a href='http://{t}/'>" for t in to))
+    rows = [page("bad.net", "/fr/x") for _ in range(6)] + [page("bad.net", "/other") for _ in range(4)]
+    rows += [page("friend.org", "/", "bad.net", "bad.net", "bad.net", "bad.net"), page("far.org", "/", "friend.org"), page("mid.org", "/", "bad.net"), page("good.com", "/", "mid.org", "even.net"), page("alone.org", "/")]
+    rows += [page("even.net", "/es/x"), page("even.net", "/other")]
+    return spark.createDataFrame([(i, url, html) for i, (url, html) in enumerate(rows)], "page_id bigint, url string, html string")
+
+
+def test_links_to_a_blocked_host_do_not_clear_it(spark):
+    got = {(r.host, r.path): r.verdict for r in judge_urls(linked_pages(spark)).collect() if r.rule is None}
+    # friend.org holds 0.85 * 0.6 * 4/5 of distrust, under the threshold; even.net is trusted by good.com as much as 0.85 / 2
+    assert got == {("bad.net", "/other"): "block", ("even.net", "/other"): "block", ("friend.org", "/"): "allow", ("far.org", "/"): "allow", ("mid.org", "/"): "allow", ("alone.org", "/"): "allow"}
+    got = {(r.host, r.path): r.verdict for r in judge_urls(linked_pages(spark), threshold=0.3).collect() if r.rule is None}
+    # far.org holds 0.85 of what friend.org holds; mid.org 0.85 * 0.6 / 5, less than its trust
+    assert got == {("bad.net", "/other"): "block", ("even.net", "/other"): "block", ("friend.org", "/"): "block", ("far.org", "/"): "block", ("mid.org", "/"): "allow", ("alone.org", "/"): "allow"}
+
+
+def test_held_scores_do_not_depend_on_being_linked_to(spark):
+    seeds = spark.createDataFrame([("a", 0.0, 0.5), ("b", 0.0, 0.0), ("c", 0.0, 0.0)], "host string, trust double, distrust double")
+    held = lambda links: {r.host: r.held_distrust for r in spread_scores(seeds, spark.createDataFrame(links, "src string, dst string, n int")).collect()}
+    ended, linked = held([("b", "a", 1)]), held([("b", "a", 1), ("c", "b", 1)])
+    assert ended["a"] == linked["a"] == 0.5 and abs(ended["b"] - 0.425) < 2e-3 and abs(linked["b"] - 0.425) < 2e-3
+
+
 def brute_links(rows, threshold=0.93):
     ok = {}
     for k, (_, v, label) in enumerate(rows):
