@@ -193,7 +193,7 @@ def overlap_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def title_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seg_ix"), T.content_words(F.split("text", "\n")[0], 1, ["the"]).alias("words"))
-    titles = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("unit_ix"), T.content_words(F.substring("text", 1, 80), 1, ["the"]).alias("words"))
+    titles = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("unit_ix"), T.content_words(F.col("text"), 1, ["the"]).alias("words"))
     return align.title_match(titles, heads).select(F.col("unit_ix").alias("item_id"), F.col("seg_ix").alias("doc_id"), "best")
 
 
@@ -296,19 +296,36 @@ def gate_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.overall(gate.stray_prefixes(docs).unionByName(gate.glued_tails(docs)))
 
 
+#: Characters of a passage of the benchmark.
+PASSAGE = 60
+
+
 def _fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("num"), F.array(F.substring(T.gate_form(F.col("text")), 5, 60)).alias("fragments"))
+    """(num, fragments): all passages of an item, one from each character on; a shorter item is one passage."""
+    items = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("num"), T.gate_form(F.col("text")).alias("form"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("form") - PASSAGE + 1, F.lit(1)))
+    return items.select("num", F.array_distinct(F.transform(starts, lambda i: F.substr(F.col("form"), i, F.lit(PASSAGE)))).alias("fragments"))
+
+
+def _doc_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("num"), T.gate_form(F.col("text")).alias("form"))
 
 
 def containment_own(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forms = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("num"), T.gate_form(F.col("text")).alias("form"))
-    return gate.contained_in_own(_fragments(spark, sf_dir), forms)
+    """Items a passage of which is in the document of the same number."""
+    passages = _fragments(spark, sf_dir).withColumn("fragments", F.filter("fragments", lambda f: F.length(f) >= 18))
+    return gate.contained_in_own(passages, _doc_forms(spark, sf_dir))
 
 
 def containment_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forms = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("num"), T.gate_form(F.col("text")).alias("form"))
-    found = gate.contained_elsewhere(_fragments(spark, sf_dir).select("num", F.explode("fragments").alias("fragment")), forms)
-    return found.select(F.col("num").alias("item_id"), F.col("other").alias("doc_id"))
+    """Items a passage of which is in a document of another number."""
+    passages = _fragments(spark, sf_dir).select("num", F.explode("fragments").alias("fragment"))
+    # whole passages are met through all their characters, as their heads alone may be in very many documents
+    found = gate.contained_elsewhere(passages, _doc_forms(spark, sf_dir), head=PASSAGE)
+    shorter = passages.where(F.length("fragment") < PASSAGE)
+    if not shorter.isEmpty():
+        found = found.unionByName(gate.contained_elsewhere(shorter, _doc_forms(spark, sf_dir)))
+    return found.select(F.col("num").alias("item_id"), F.col("other").alias("doc_id")).distinct()
 
 
 # ---- packages ------------------------------------------------------------------------------------

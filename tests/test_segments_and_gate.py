@@ -156,3 +156,14 @@ def test_signatures_exclude_by_the_limits_given(spark):
     df = spark.createDataFrame([(1, "head", ["abcd efgh", "ijkl"]), (2, "head", ["abcd efgh", "ijklm"])], "seg_ix int, header string, parts array<string>")
     got = [(r.head_words, r.body_words) for r in segment.signatures(df, parts_chars=9, most=13).orderBy("seg_ix").collect()]
     assert (got[0][0], set(got[0][1])) == (["head"], {"head", "abcd", "efgh"}) and got[1] == ([], [])
+
+
+def test_passages_and_titles_cover_the_whole_item(spark, tmp_path):
+    item = " ".join(f"passage{i:02d}" for i in range(30))
+    items = [(1, item), (2, "a short item of the benchmark"), (3, "too short")]
+    docs = [(1, f"x {item[100:170]} y"), (2, f"x {item[130:190]} y"), (3, f"x#{item[130:189]}# y"), (4, item[::-1]), (5, f"in {items[1][1]} too"), (6, "too short"), (7, "passage29 passage28\npassage00")]
+    for name, key, rows in (("benchmark", "item_id", items), ("documents", "doc_id", docs)):
+        spark.createDataFrame(rows, f"{key} bigint, text string").write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {n: sorted(tuple(r) for r in QUERIES[n](spark, str(tmp_path)).collect()) for n in ("containment_own", "containment_foreign", "title_match")}
+    assert got["containment_own"] == [(1,)] and got["containment_foreign"] == [(1, 2), (2, 5)]
+    assert got["title_match"][0] == (1, 1, 7) and [r[0] for r in got["title_match"]] == [1, 2, 3]
