@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +19,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset on a local master (tests)."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not base and not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = getattr(context, "_tessera_dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
         context._tessera_dir = base
@@ -34,6 +38,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system, as workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
+def mapped(df: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow; the worker gives its freed memory back after each task."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(task, schema)
+
+
 class Scratch:
     """A folder in shared storage for written tables, removed when the block ends."""
 
@@ -91,7 +117,7 @@ def contract(edges: DataFrame) -> DataFrame:
             part = [x for x in nodes[i : i + 50_000] if find(x) != x]
             yield pa.RecordBatch.from_arrays([pa.array([find(x) for x in part], pa.int64()), pa.array(part, pa.int64())], ["u", "v"])
 
-    return edges.mapInArrow(stars, "u bigint, v bigint")
+    return mapped(edges, stars, "u bigint, v bigint")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:

@@ -1,14 +1,16 @@
 """Exact Jaccard self-join on word n-grams by vertical partitioning of a global n-gram order.
 
-All n-grams have one global order: rare ones by their hash, then the most frequent by frequency. Two
-sets that are similar enough share an n-gram in the first part of this order (the prefix), which gives candidates.
-The hash range is cut into fragments; each fragment counts partial overlaps by itself, and the
-counts are summed per pair.
-
-Equal sets form one class first, so copies are never paired. Short posting lists give the pairs of classes that
-pass a bound; the classes of a long list are all candidates of each other, without listing pairs. Components
-of candidates are worked in blocks of bounded size, where overlaps are matrix products; a block
-gives a spanning forest of its links, never the pairs.
+All n-grams have one global order: by hash, the most frequent ones behind all others. Sets of one band of
+sizes cut the order of the rarer n-grams into so many fragments that two similar sets, whose difference has a bound, must
+agree in a whole one; the set of a fragment is its signature. Documents that share a signature are candidates: each is
+paired with the smallest of its signature's list, so pairs grow with the documents and not with the squares of lists.
+
+For those pairs the global order is cut into `FRAGMENTS` fragments; the overlap in each fragment is counted
+in a task of its own, without a pair that the fragment alone rules out, and the partial counts are summed per pair.
+Candidate groups whose pairs leave them in several components are compared in blocks of bounded
+size as matrix products, so that no link is lost.
+
+Equal sets form one class first, so copies are never paired.
 """
 
 from __future__ import annotations
@@ -16,32 +18,43 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, Powers, components, cut, mix, small, spread
+from .common import components, cut, mapped, mix, small, spread
 
+#: Parts of the global order whose overlaps are counted by themselves; the last holds the frequent n-grams.
 FRAGMENTS = 4
 #: The most frequent n-grams that go to the end of the global order: so many at most, a bound on what is sent to executors.
 FREQUENT = 50_000
 #: Frequencies are counted over all documents in chunks of so many n-grams; a chunk passes on what it has three times or more.
 COUNT_CHUNK = 1_000_000
 TEXT_CHUNK = 1 << 20
-#: Lists with more classes than this aren't paired one by one.
-LONG_LIST = 128
+#: Signatures that a task combines before it sends them on.
+COMBINE = 1_000_000
+#: Partners of one class that a task compares with it; more are shared out over tasks.
+SHARE = 256
 #: Classes on a side of a block, and n-grams in a matrix of it.
-BLOCK = 512
+BLOCK = 256
+BLOCK_GRAMS = 4_000_000
 COLUMNS = 8_192
+#: Rows of a table of (id, text hash) that is broadcast at most.
+GONE_ROWS = 500_000
+#: Representatives that are broadcast at most, when their texts are read again.
+BROADCAST_ROWS = 200_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += np.uint8(32)
-_LOWER_CODES = BYTE_CODES[_LOWER]
 #: Short texts are hashed together in groups of about so many characters.
 GROUP_CHARS = 1 << 16
+#: Bytes of a word that are hashed in lanes of eight; longer words go through BLAKE2b.
+LANE_BYTES = 64
+_LANE_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 _BREAK = re.compile(r"[\x20\x09-\x0D]")
 
 
@@ -61,15 +74,28 @@ def _word_hashes(text: str) -> np.ndarray:
 
 
 def _hashed(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and first bytes of the words of UTF-8 bytes."""
+    """Hashes and first bytes of the words of UTF-8 bytes.
+
+    A word is a chain of eight-byte lanes, each of which passes through a bijection of 64 bits, so words of up to eight
+    bytes and one length never collide and others do only by chance.
+    """
     word = np.zeros(len(raw) + 2, bool)
     np.logical_not(_SPACE[raw], out=word[1:-1])
     edges = np.flatnonzero(word[1:] != word[:-1])
     start, end = edges[::2], edges[1::2]
-    up, down = Powers.to(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_LOWER_CODES[raw] * up[: len(raw)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), start
+    size = end - start
+    low = np.concatenate((_LOWER[raw], np.zeros(8, np.uint8)))
+    lanes = np.ndarray((len(raw) + 1,), "<u8", low, strides=(1,))
+    hashes = mix(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    for at in range(0, LANE_BYTES, 8):
+        open_ = np.flatnonzero(size > at) if at else slice(None)
+        if at and not len(open_):
+            break
+        lane = lanes[start[open_] + at] & _LANE_MASK[np.minimum(size[open_] - at, 8)]
+        hashes[open_] = mix((hashes[open_] + np.uint64(0x9E3779B97F4A7C15)) ^ lane)
+    for i in np.flatnonzero(size > LANE_BYTES):
+        hashes[i] = int.from_bytes(hashlib.blake2b(low[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes, start
 
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -122,9 +148,14 @@ def _together(texts: list[str], n: int) -> Iterator[np.ndarray]:
             yield _grams(words[a:b], b - a) if b > a else words[:0]
 
 
-def set_key(grams: np.ndarray) -> int:
-    """A signed 64-bit key of a whole set."""
-    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_key(grams: np.ndarray) -> bytes:
+    """A 128-bit key of a whole set."""
+    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+
+
+def class_id(key: bytes, seed: int) -> int:
+    """A signed 64-bit number of a key; another seed gives other numbers."""
+    return int.from_bytes(hashlib.blake2b(key, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little", signed=True)
 
 
 def frequent_ngrams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray:
@@ -149,7 +180,7 @@ def frequent_ngrams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray
                     size = 0
         yield from flush()
 
-    counted = docs.select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = mapped(docs.select("text"), count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     rows = counted.orderBy(F.desc("n"), "gram").limit(most).collect()
     return np.array([r["gram"] for r in reversed(rows)], np.int64).view(np.uint64)
 
@@ -158,112 +189,254 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+@lru_cache(maxsize=1)
+def _frequent(frequent: bytes) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(frequent, np.uint64)
+    order = np.argsort(at)
+    return at[order], order
+
+
 class _Order:
-    """The global order as 63-bit keys: n-grams that aren't frequent by their hash, then the frequent ones, least frequent first."""
+    """The global order: n-grams that aren't frequent by their hash, then the frequent ones, least frequent first."""
 
     def __init__(self, frequent: np.ndarray):
-        self.at = np.argsort(frequent)
-        self.sorted = frequent[self.at]
+        self.sorted, self.at = _frequent(frequent.tobytes())
 
-    def prefix(self, grams: np.ndarray, percent: int) -> np.ndarray:
-        """Keys of the first n-grams in order; grams are sorted."""
-        k = prefix_length(len(grams), percent)
-        keys = (grams >> np.uint64(2)).astype(np.int64)
+    def parted(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rarer n-grams of a sorted set, by hash, and the ranks of its frequent ones."""
         if not len(self.sorted):
-            return keys[:k]
+            return grams, self.at[:0]
         where = np.minimum(np.searchsorted(self.sorted, grams), len(self.sorted) - 1)
         often = self.sorted[where] == grams
-        rare = keys[~often]
-        if len(rare) >= k:
-            return rare[:k]
-        return np.concatenate((rare, np.sort(self.at[where[often]]) + (1 << 62)))[:k]
-
-
-def _sets(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(doc_id, size, key, prefix) of every document; size 0 has no key and no prefix."""
+        return grams[~often], np.sort(self.at[where[often]])
+
+    def fragments(self, grams: np.ndarray) -> list[np.ndarray]:
+        """A set by fragments of the order: ranges of hashes, and last the ranks of the frequent n-grams."""
+        rare, often = self.parted(grams)
+        n = FRAGMENTS - 1
+        cuts = np.searchsorted(rare, np.array([f * ((1 << 64) // n) for f in range(1, n)], np.uint64))
+        return [*np.split(rare, cuts), often.astype(np.uint64)]
+
+
+@lru_cache(maxsize=8)
+def _bands(percent: int) -> list[int]:
+    return [1]
+
+
+def band_of(size: int, percent: int) -> int:
+    """The band of a size: sets that are similar enough are of one band or of two that follow each other."""
+    bounds = _bands(percent)
+    while bounds[-1] <= size:
+        bounds.append(max(bounds[-1] + 1, (bounds[-1] - 1) * 100 // percent + 1))
+    low, high = 0, len(bounds) - 1
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if bounds[middle] <= size else (low, middle)
+    return low
+
+
+@lru_cache(maxsize=4096)
+def scheme(band: int, percent: int) -> tuple[int, int]:
+    """(most, parts) for pairs whose smaller set is of the band: n-grams that one of them has alone at most, and fragments of the order."""
+    bounds = _bands(percent)
+    while len(bounds) <= band + 1:
+        bounds.append(max(bounds[-1] + 1, (bounds[-1] - 1) * 100 // percent + 1))
+    smaller = bounds[band + 1] - 1
+    most = (smaller + smaller * 100 // percent) * (100 - percent) // (100 + percent)
+    return most, most + 1 + (most + 1) // 3
+
+
+def signatures(grams: np.ndarray, order: _Order, percent: int) -> np.ndarray:
+    """Hashes of which two sets that are similar enough, but not equal, share one at least.
+
+    At most `most` n-grams are in one set only, so of more fragments than that one is the same in both. It
+    isn't empty if a set fills more than `most` fragments. Sets that fill fewer add the n-grams of their prefix, as
+    two such sets that are similar share one of those.
+    """
+    rare, often = order.parted(grams)
+    own, out, thin = band_of(len(grams), percent), [], False
+    scrambled = mix(rare ^ np.uint64(0xA0761D6478BD642F))
+    for band in range(max(0, own - 1), own + 1):
+        most, parts = scheme(band, percent)
+        if not most:
+            continue
+        if len(rare):
+            at = ((rare >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            heads = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            tag = np.uint64((band + 1) * 0x8EBC6AF09C88C6E3 % (1 << 64))
+            out.append(mix(np.add.reduceat(scrambled, heads) + mix(at[heads] + tag)))
+        thin = thin or not len(rare) or len(heads) <= most
+    if thin:
+        prefix = np.concatenate((rare, often.astype(np.uint64)))[: prefix_length(len(grams), percent)]
+        kind = np.arange(len(prefix)) >= len(rare)
+        out.append(mix(prefix ^ np.where(kind, np.uint64(0x589965CC75374CC3), np.uint64(0x1D8E4E27C47D124F))))
+    return np.concatenate(out) if out else grams[:0]
+
+
+def _rows(docs: DataFrame, n: int, seed: int) -> DataFrame:
+    """(doc_id, mark, size, key, id) of every document; size 0 has no key and no id."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = _Order(frequent)
         for batch in batches:
-            sizes, keys, prefixes = [], [], []
-            for grams in ngram_sets(batch.column(1).to_pylist(), n):
+            sizes, keys = [], []
+            for grams in ngram_sets((t.as_py() for t in batch.column(2)), n):
                 sizes.append(len(grams))
                 keys.append(set_key(grams) if len(grams) else None)
-                prefixes.append(order.prefix(grams, percent) if len(grams) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "size", "key", "prefix"])
+            ids = [None if k is None else class_id(k, seed) for k in keys]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["doc_id", "mark", "size", "key", "id"])
+
+    return mapped(docs.select("doc_id", "mark", "text"), work, "doc_id bigint, mark bigint, size bigint, key binary, id bigint")
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, "doc_id bigint, size bigint, key bigint, prefix array<bigint>")
 
+def _longs(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["sig", "a", "b"][-len(columns) :])
 
-def _possible(percent: int):
-    """Whether (na, pa) and (nb, pb), sizes and prefixes, can be similar enough.
 
-    Sizes bound the overlap. Up to where the shorter of the prefixes ends in the global order both sets are known whole, and
-    n-grams there that only one of them has may not exceed all that the threshold leaves for both sets.
+def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, seed: int) -> DataFrame:
+    """Pairs (a, b) of class ids whose components hold all pairs that may link.
+
+    A task joins its own documents first and sends one of each signature on, so that a list that every
+    document is in has a row per task. Lists are read in order, in constant memory.
     """
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    end = F.least(F.element_at("pa", -1), F.element_at("pb", -1))
-    a, b = F.filter("pa", lambda t: t <= end), F.filter("pb", lambda t: t <= end)
-    apart = F.size(a) + F.size(b) - 2 * F.size(F.array_intersect(a, b))
-    return fits & (apart <= F.col("na") + F.col("nb") - 2 * need)
 
+    def combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, sigs, ids, held = _Order(frequent), [], [], 0
 
-def _candidates(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) whose components hold all pairs that may link; shared has (key, gram, held).
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not sigs:
+                return
+            sig, a = np.concatenate(sigs), np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
+            at = np.lexsort((a, sig))
+            sig, a = sig[at], a[at]
+            heads = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+            first = np.repeat(a[heads], np.diff(np.concatenate((heads, [len(sig)]))))
+            apart = a != first
+            pairs = np.unique(np.stack((a[apart], first[apart])), axis=1)
+            # a posting is (signature, id, id), a pair (hash, a, b)
+            yield _longs(sig[heads], a[heads], a[heads])
+            yield _longs(mix(pairs[0].astype(np.uint64) ^ mix(pairs[1].astype(np.uint64))), np.ascontiguousarray(pairs[0]), np.ascontiguousarray(pairs[1]))
+            sigs.clear()
+            ids.clear()
 
-    A short list gives pairs whose sizes and prefixes allow enough overlap; a long one ties its classes to one of
-    them. Prefixes join distinct pairs only.
-    """
-    sized = shared.where(F.col("held") <= LONG_LIST).join(members.select("key", "size"), "key")
-    a = sized.select("gram", F.col("key").alias("a"), F.col("size").alias("na"))
-    b = sized.select("gram", F.col("key").alias("b"), F.col("size").alias("nb"))
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    pairs = cut(a.join(b, (a["gram"] == b["gram"]) & (F.col("a") < F.col("b")) & fits).select("a", "b", "na", "nb").distinct())
-    prefix = members.select("key", "prefix")
-    full = pairs.join(prefix.select(F.col("key").alias("a"), F.col("prefix").alias("pa")), "a").join(prefix.select(F.col("key").alias("b"), F.col("prefix").alias("pb")), "b")
-    long = shared.where(F.col("held") > LONG_LIST).select("gram", "key")
-    pivots = cut(long.groupBy("gram").agg(F.min("key").alias("pivot")))
-    tied = long.join(pivots, "gram").where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-    return cut(full.where(_possible(percent)).select("a", "b").unionByName(tied))
-
-
-def _full_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(key, grams) of the documents with the ids; grams is the sorted set as little-endian 64-bit integers."""
+        for batch in batches:
+            for grams in ngram_sets((t.as_py() for t in batch.column(0)), n):
+                if len(grams) and len(found := signatures(grams, order, percent)):
+                    sigs.append(found)
+                    ids.append(class_id(set_key(grams), seed))
+                    held += len(found)
+                if held >= COMBINE:
+                    yield from flush()
+                    held = 0
+        yield from flush()
 
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, pivot = None, None
         for batch in batches:
-            sets = list(ngram_sets(batch.column(0).to_pylist(), n))
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(g) for g in sets], pa.int64()), pa.array([g.astype("<u8").tobytes() for g in sets], pa.binary())], ["key", "grams"])
+            sig, a, b = (batch.column(i).to_numpy() for i in range(3))
+            made = a != b
+            yield _longs(a[made], b[made])
+            sig, a = sig[~made], a[~made]
+            if not len(sig):
+                continue
+            heads = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+            pivots = a[heads].copy()
+            if sig[0] == last:
+                pivots[0] = pivot
+            first = np.repeat(pivots, np.diff(np.concatenate((heads, [len(sig)]))))
+            apart = a != first
+            yield _longs(a[apart], first[apart])
+            last, pivot = sig[-1], first[-1]
+
+    sent = mapped(docs.select("text"), combine, "sig bigint, a bigint, b bigint")
+    ordered = sent.repartition(spread(docs), "sig").sortWithinPartitions("sig", "a")
+    return cut(mapped(ordered, join, "a bigint, b bigint").distinct())
+
+
+def _wanted(docs: DataFrame, classes: DataFrame, calls: DataFrame) -> DataFrame:
+    """(text, key, id, *) of a document of each class that `calls` (id, *) names; repeated rows give it more than once."""
+    named = cut(calls.join(classes.select("id", "key", F.col("first_id").alias("__id")), "id"))
+    return docs.select("doc_id", "text").join(small(named, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("__id"))).where("text is not null").drop("doc_id", "__id")
+
+
+def _pair_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """The pairs (a, b) that link: overlaps counted by fragment, each in a task of its own, and summed per pair."""
+    shares = cut(pairs.groupBy("b").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares")))
+    guests = pairs.join(shares, "b").select(F.col("a").alias("id"), F.struct(F.col("b").alias("at"), F.pmod(F.xxhash64("a"), "shares").cast("int").alias("share"), F.lit(1).alias("role")).alias("call"))
+    hosts = shares.select(F.col("b").alias("id"), F.explode(F.transform(F.sequence(F.lit(0), F.col("shares") - 1), lambda s: F.struct(F.col("b").alias("at"), s.alias("share"), F.lit(0).alias("role")))).alias("call"))
+    calls = guests.unionByName(hosts).groupBy("id").agg(F.collect_list("call").alias("calls"))
+
+    def part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = _Order(frequent)
+        columns = [[] for _ in range(7)]
+        held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["at", "share", "part", "role", "id", "size", "grams"])
+            for c in columns:
+                c.clear()
+
+        for batch in batches:
+            rows = batch.num_rows
+            keys, ids, calls = (batch.column(i).to_pylist() for i in (1, 2, 3))
+            for i, grams in zip(range(rows), ngram_sets((t.as_py() for t in batch.column(0)), n), strict=True):
+                if set_key(grams) != keys[i]:
+                    continue
+                for f, piece in enumerate(order.fragments(grams)):
+                    raw = piece.astype("<u8").tobytes()
+                    for call in calls[i]:
+                        for column, value in zip(columns, (call["at"], call["share"], f, call["role"], ids[i], len(grams), raw), strict=True):
+                            column.append(value)
+                        held += len(raw) + 64
+                if held >= 4 << 20:
+                    yield from flush()
+                    held = 0
+        yield from flush()
 
-    wanted = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi").select("text").where("text is not null")
-    return wanted.mapInArrow(work, "key bigint, grams binary")
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, host, size_b, last = None, None, 0, None
+        for batch in batches:
+            out = ([], [], [], [])
+            for at, share, f, role, who, size, raw in zip(*(batch.column(i).to_pylist() for i in range(6)), batch.column(6), strict=True):
+                grams = np.frombuffer(raw.as_buffer(), "<u8")
+                if role == 0:
+                    group, host, size_b, last = (at, share, f), grams.copy(), size, None
+                    continue
+                if group != (at, share, f) or who == last:
+                    continue
+                last, need = who, -(-percent * (size + size_b) // (100 + percent))
+                if 100 * min(size, size_b) < percent * max(size, size_b) or not len(host) or not len(grams):
+                    continue
+                where = np.minimum(np.searchsorted(host, grams), len(host) - 1)
+                common = int((host[where] == grams).sum())
+                # what one of them has alone in this fragment may not exceed all that is left for the whole sets
+                if common and len(grams) + len(host) - 2 * common <= size + size_b - 2 * need:
+                    for column, value in zip(out, (who, at, common, need), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "common", "need"])
+
+    wanted = _wanted(docs, classes, calls).select("text", "key", "id", "calls")
+    parts = mapped(wanted, part, "at bigint, share int, part int, role int, id bigint, size bigint, grams binary")
+    ordered = parts.repartition(spread(docs), "at", "share", "part").sortWithinPartitions("at", "share", "part", "role", "id")
+    counted = mapped(ordered, count, "a bigint, b bigint, common bigint, need bigint")
+    return counted.groupBy("a", "b").agg(F.sum("common").alias("common"), F.max("need").alias("need")).where("common >= need").select("a", "b")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets of one list with all of the other: partial counts by fragment, summed."""
+    """Sizes of the intersections of all sets of one list with all of the other."""
     total = np.zeros((len(left), len(right)), np.float64)
-    borders = [np.uint64(f * (1 << 64) // FRAGMENTS) for f in range(1, FRAGMENTS)]
-    for f in range(FRAGMENTS):
-        sides = []
-        for sets in (left, right):
-            parts = []
-            for s in sets:
-                a = np.searchsorted(s, borders[f - 1]) if f else 0
-                b = np.searchsorted(s, borders[f]) if f < FRAGMENTS - 1 else len(s)
-                parts.append(s[a:b])
-            sides.append((np.concatenate(parts), np.repeat(np.arange(len(sets)), [len(p) for p in parts])))
-        both = np.intersect1d(sides[0][0], sides[1][0])
-        for i in range(0, len(both), COLUMNS):
-            part = both[i : i + COLUMNS]
-            matrices = []
-            for (grams, owner), sets in zip(sides, (left, right), strict=True):
-                at = np.minimum(np.searchsorted(part, grams), len(part) - 1)
-                hit = part[at] == grams
-                m = np.zeros((len(sets), len(part)), np.float32)
-                m[owner[hit], at[hit]] = 1
-                matrices.append(m)
-            total += matrices[0] @ matrices[1].T
+    sides = [(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]), len(sets)) for sets in (left, right)]
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    for i in range(0, len(both), COLUMNS):
+        part = both[i : i + COLUMNS]
+        matrices = []
+        for grams, owner, rows in sides:
+            at = np.minimum(np.searchsorted(part, grams), len(part) - 1)
+            hit = part[at] == grams
+            m = np.zeros((rows, len(part)), np.float32)
+            m[owner[hit], at[hit]] = 1
+            matrices.append(m)
+        total += matrices[0] @ matrices[1].T
     return total
 
 
@@ -298,23 +471,32 @@ def _block_links(rows: Iterable[tuple], percent: int) -> Iterator[tuple[int, int
         if (group, i, j) != task:
             yield from finish()
             task, sides = (group, i, j), ([], [])
-        sides[side].append((key, grams))
+        if not sides[side] or sides[side][-1][0] != key:  # a repeated row gives its set again
+            sides[side].append((key, grams))
     yield from finish()
 
 
-def _links(docs: DataFrame, members: DataFrame, groups: DataFrame, percent: int, n: int) -> DataFrame:
-    """Edges (a, b) that connect the linked classes of each group (id, component) of candidates."""
-    groups = cut(groups.select(F.col("id").alias("key"), F.col("component").alias("group")))
-    ids = cut(members.join(groups, "key", "left_semi").select(F.col("first_id").alias("__id")))
-    blocks = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = cut(groups.join(cut(blocks), "group").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
-    sets = _full_sets(docs, small(ids, 200_000), n).join(placed, "key").dropDuplicates(["key"])
+def _group_links(docs: DataFrame, classes: DataFrame, members: DataFrame, percent: int, n: int) -> DataFrame:
+    """Edges (a, b) that connect the linked classes of each group; members has (id, size, group)."""
+    blocks = members.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    placed = cut(members.join(cut(blocks), "group").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+
+    def grams_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(1).to_pylist()
+            for i, grams in enumerate(ngram_sets((t.as_py() for t in batch.column(0)), n)):
+                if set_key(grams) == keys[i]:
+                    one = batch.slice(i, 1)
+                    yield pa.RecordBatch.from_arrays([*one.columns[2:6], pa.array([grams.astype("<u8").tobytes()], pa.binary())], ["id", "group", "own", "blocks", "grams"])
+
+    wanted = _wanted(docs, classes, placed.select("id", "group", "own", "blocks")).select("text", "key", "id", "group", "own", "blocks")
+    sets = mapped(wanted, grams_of, "id bigint, group bigint, own int, blocks int, grams binary")
     # block (i, j), i <= j, meets the classes of i on the left with those of j on the right
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j"), F.when(x < F.col("own"), 1).otherwise(0).alias("side")))
-    tasks = sets.select("group", F.explode(others).alias("at"), "key", "grams").select("group", "at.i", "at.j", "at.side", "key", "grams")
+    tasks = sets.select("group", F.explode(others).alias("at"), "id", "grams").select("group", "at.i", "at.j", "at.side", "id", "grams")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True))
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in range(5)), (g.as_buffer() for g in batch.column(5)), strict=True))
         found = []
         for edge in _block_links(rows, percent):
             found.append(edge)
@@ -323,14 +505,40 @@ def _links(docs: DataFrame, members: DataFrame, groups: DataFrame, percent: int,
                 found = []
         yield _edges(found)
 
-    ordered = tasks.repartition(spread(docs), "group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "key")
-    return ordered.mapInArrow(work, "a bigint, b bigint")
+    ordered = tasks.repartition(spread(docs), "group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "id")
+    return mapped(ordered, work, "a bigint, b bigint")
 
 
 def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
 
+def _judged(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, mark, size, id) of every row, and the component (id, label) of each class that has links; docs has doc_id, mark and text."""
+    for seed in range(8):
+        rows = cut(_rows(docs, n, seed))
+        classes = cut(rows.where("id is not null").groupBy("key").agg(F.first("id").alias("id"), F.min("doc_id").alias("first_id"), F.first("size").alias("size")))
+        if classes.groupBy("id").count().where("count > 1").isEmpty():
+            break
+    else:
+        raise RuntimeError("two sets share their 64-bit number under every seed")
+    frequent = frequent_ngrams(docs, n)
+    pairs = _candidates(docs, n, percent, frequent, seed)
+    direct = cut(_pair_links(docs, classes, pairs, n, percent, frequent))
+    groups, linked = components(pairs), components(direct)
+    # what is left: groups whose pairs leave them in several components
+    state = cut(groups.select("id", F.col("component").alias("group")).join(linked, "id", "left").select("id", "group", F.coalesce("component", "id").alias("label")))
+    open_ = cut(state.groupBy("group").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("group"))
+    members = cut(state.join(open_, "group").join(classes.select("id", "size"), "id").select("id", "size", "group"))
+    rest = direct.limit(0) if members.isEmpty() else cut(_group_links(docs, classes, members, percent, n))
+    merged = components(direct.unionByName(rest))
+    return rows.select("doc_id", "mark", "size", "id"), merged.select("id", F.col("component").alias("label"))
+
+
+def _with_marks(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents whose word n-gram sets have a Jaccard similarity of percent/100 or more.
 
@@ -339,32 +547,33 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     reachable by links, itself included). Null and empty texts, and those of white space only, have
     size 0 and link with nothing. Rows with equal ids and different texts are judged by their texts;
     a null doc_id never is the smallest unless its component has no other. Other columns are ignored; an empty table gives no rows.
+    N-grams are compared by 64 bits of hash, whole sets by 128.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = cut(_sets(docs, n, percent, frequent_ngrams(docs, n)))
-    ids = sets.select("doc_id", "size", "key")
-    classes = sets.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    classes = cut(classes)
-    # most prefix n-grams are in one class only, so the postings are counted and joined as narrow as can be
-    posted = classes.select("key", F.explode("prefix").alias("gram"))
-    lists = cut(posted.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1"))
-    shared = cut(posted.join(lists, "gram"))
-    members = cut(classes.join(shared.select("key").distinct(), "key", "left_semi"))
-    groups = components(_candidates(shared, members, percent))
-    merged = components(cut(_links(docs, members, groups, percent, n)))
-    linked = classes.select("key", "first_id").join(merged.select(F.col("id").alias("key"), "component"), "key", "left")
-    return _named(ids, linked.select("key", "first_id", F.coalesce("component", "key").alias("label")))
-
-
-def _named(ids: DataFrame, linked: DataFrame) -> DataFrame:
-    """Name each component by its smallest doc_id; linked has (key, first_id, label)."""
-    least = cut(linked.groupBy("label").agg(F.min("first_id").alias("component")))
-    by_key = cut(linked.join(least, "label").select("key", "component"))
-    return cut(ids.join(by_key, "key", "left").select("doc_id", "size", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component")))
+    ids, merged = _judged(_with_marks(docs), n, percent)
+    named = ids.join(merged, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    least = cut(named.where("id is not null").groupBy("label").agg(F.min("doc_id").alias("component")))
+    return cut(named.join(least, "label", "left").select("doc_id", "size", F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component")))
 
 
 def keep_one_per_component(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents with one of each component, that of the smallest doc_id, with all columns; those without words all stay."""
-    judged = jaccard_components(docs, n, percent)
-    gone = cut(judged.where("doc_id <> component").select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    """The documents with one row of each component, with all columns; those without words all stay.
+
+    The smallest doc_id stays; a null one only in a component without another. Rows are judged by id and text
+    together: of rows with one id, those with other texts stay or go by themselves, and of repeated rows one stays.
+    Null texts have no words and stay. An empty table stays empty.
+    """
+    marked = _with_marks(docs)
+    ids, merged = _judged(marked, n, percent)
+    rows = ids.where("id is not null").groupBy("doc_id", "mark", "id").agg(F.count("*").alias("rows"))
+    rows = cut(rows.join(merged, "id", "left").withColumn("label", F.coalesce("label", "id")))
+    best = cut(rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("best")))
+    placed = rows.join(best, "label").select("doc_id", "mark", "rows", (F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.mark") == F.col("mark"))).alias("stays"))
+    gone = cut(placed.where("not stays").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__gone")))
+    again = cut(placed.where("stays and rows > 1").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__gone")))
+    kept = docs.withColumn("__mark", F.xxhash64("text"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__gone"))
+    left = kept.join(small(gone, GONE_ROWS), same, "left_anti")
+    if not again.isEmpty():
+        twice = left.join(small(again, GONE_ROWS), same, "left_semi").dropDuplicates(["doc_id", "__mark"])
+        left = left.join(small(again, GONE_ROWS), same, "left_anti").unionByName(twice)
+    return left.drop("__mark")

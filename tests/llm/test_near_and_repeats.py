@@ -51,7 +51,7 @@ def test_components_equal_brute_force(documents, odd, nothing, n, percent):
 
 
 def test_large_group_of_near_copies(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "LONG_LIST", 4)
+    monkeypatch.setattr(jaccard_join, "SHARE", 4)
     monkeypatch.setattr(jaccard_join, "BLOCK", 8)
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(120)]
