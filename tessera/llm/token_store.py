@@ -3,14 +3,15 @@
 A store is a Parquet dataset, so writes commit as a whole and any Hadoop file system holds it. Documents
 are laid out in ascending doc_id order over shards; in each shard the ids are cut into blocks of a
 fixed size, every block is transposed into planes (the n-th bit or byte of all its ids), and each
-plane is compressed by itself. A block's row (`shard`, `block`, `first`, `n_ids`, `planes`) is its entry of
-the chunk index; a document's row (`shard`, `doc_id`, `first`, `n_ids`) says where its ids begin in the shard.
+plane is compressed by itself. A row holds a block: `shard`, `block`, `first` and `n_ids` are its entry of the chunk
+index, `planes` its ids, and `pieces` the documents in it. So a block can be read by itself, wherever
+a file is split; only documents over a border between blocks are put together from several rows.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -19,15 +20,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import byte_characters, pretoken_finder
-from .common import spread
+from .common import mapped
 
 #: How byte-level tokenizers cut text before merging (a fixed value of the vocabulary's format).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK_IDS = 65_536
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 200_000
 CACHE_CHARS = 64
 LITTLE = np.dtype("<u4")
-_SCHEMA = "shard int, block int, first bigint, n_ids bigint, planes array<binary>, doc_id bigint"
+#: Bytes of text that a shard holds, about; the number of shards follows from the data.
+SHARD_BYTES = 16 << 20
+#: A document in a block: its number and first id in the shard, its ids in all, and how many stand in the block.
+_PIECES = "array<struct<doc_id: bigint, number: bigint, start: bigint, size: bigint, n: bigint>>"
+_SCHEMA = f"shard int, block int, first bigint, n_ids bigint, planes array<binary>, pieces {_PIECES}"
+_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("planes", pa.list_(pa.binary())), ("pieces", pa.list_(pa.struct([(name, pa.int64()) for name in ("doc_id", "number", "start", "size", "n")])))])
 
 
 class JsonTokenizer:
@@ -98,9 +104,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
     Documents are in ascending doc_id order, null ids first, repeated ids in the order of their id
     bytes; null texts count as empty. `end_id`, if given, ends each document. An empty table gives an empty store.
     """
-    n = shards or spread(docs)
+    n = shards or max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES))
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    bounds = np.unique(np.array(ids.na.drop().approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else [], np.float64))
+    bounds = np.unique(np.array(ids.na.drop().approxQuantile("doc_id", [i / n for i in range(1, n)], max(1 / (20 * n), 1e-6)) if n > 1 else [], np.float64))
     tail = np.array([] if end_id is None else [end_id], LITTLE).tobytes()
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,39 +121,48 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=level).compress
-        shard, first, block, written, open_ids, held = None, 0, 0, 0, [], 0
-
-        def blocks(last: bool) -> Iterator[tuple]:
-            nonlocal block, written, open_ids, held
-            if held >= block_ids or (last and held):
-                joined = np.concatenate(open_ids)
-                end = len(joined) if last else len(joined) // block_ids * block_ids
-                for i in range(0, end, block_ids):
-                    part = joined[i : min(i + block_ids, end)]
-                    yield shard, block, written, len(part), [squeeze(p) for p in to_planes(part, unit)], None
-                    block, written = block + 1, written + len(part)
-                open_ids, held = [joined[end:]], len(joined) - end
+        shard, number, first, block, written, waiting, pieces, held = None, 0, 0, 0, 0, [], [], 0
+
+        def block_row(end: int) -> tuple:
+            """The next block: the first `end` of the ids that wait, with the pieces of documents that begin before its end."""
+            nonlocal block, written, waiting, pieces, held
+            joined = np.concatenate(waiting) if waiting else np.zeros(0, LITTLE)
+            inside, rest, stop = [], [], written + end
+            for doc_id, k, start, size in pieces:
+                here = min(stop, start + size) - max(written, start)
+                inside.append((doc_id, k, start, size, max(0, here)))
+                if start + size > stop:
+                    rest.append((doc_id, k, start, size))
+            row = shard, block, written, end, [squeeze(p) for p in to_planes(joined[:end], unit)], [dict(zip(("doc_id", "number", "start", "size", "n"), p, strict=True)) for p in inside]
+            block, written, waiting, pieces, held = block + 1, stop, [joined[end:]], rest, held - end
+            return row
 
         def rows() -> Iterator[tuple]:
-            nonlocal shard, first, block, written, open_ids, held
+            nonlocal shard, number, first, block, written, waiting, pieces, held
             for batch in batches:
                 for at, doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                     if at != shard:
-                        yield from blocks(True)
-                        shard, first, block, written, open_ids, held = at, 0, 0, 0, [], 0
-                    got = _widen(raw.as_py())
-                    yield shard, None, first, len(got), None, doc_id
-                    first += len(got)
-                    open_ids.append(got)
+                        if pieces:
+                            yield block_row(held)
+                        shard, number, first, block, written, waiting, pieces, held = at, 0, 0, 0, 0, [], [], 0
+                    got, size = _widen(raw.as_py()), _count(raw)
+                    pieces.append((doc_id, number, first, size))
+                    first, number = first + size, number + 1
+                    while held + len(got) >= block_ids:  # fill the block up; what is left goes on in the next
+                        fits = block_ids - held
+                        waiting.append(got[:fits])
+                        held, got = block_ids, got[fits:]
+                        yield block_row(block_ids)
+                    waiting.append(got)
                     held += len(got)
-                    yield from blocks(False)
-            yield from blocks(True)
+            if pieces:
+                yield block_row(held)
 
         yield from _batches(rows())
 
-    encoded = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(encode, "shard int, doc_id bigint, ids binary")
+    encoded = mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), encode, "shard int, doc_id bigint, ids binary")
     placed = encoded.repartition(n, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
-    placed.mapInArrow(lay_out, _SCHEMA).write.option("compression", "none").parquet(path)
+    mapped(placed, lay_out, _SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def _narrow(raw: bytes) -> bytes:
@@ -160,70 +175,64 @@ def _widen(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw[0] == 2 else LITTLE, offset=1).astype(LITTLE)
 
 
-def _batches(rows: Iterable[tuple], most: int = 2_000, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("planes", pa.list_(pa.binary())), ("doc_id", pa.int64())])
+def _count(raw: pa.Scalar) -> int:
+    """How many ids a narrowed document has."""
+    data = memoryview(raw.as_buffer())
+    return (len(data) - 1) // data[0]
+
+
+def _batches(rows: Iterable[tuple], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += sum(map(len, row[4] or ()))
-        if len(held) >= most or size >= most_bytes:
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(schema)], schema=schema)
+        size += sum(map(len, row[4])) + 40 * len(row[5])
+        if size >= most_bytes:
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(_ARROW)], schema=_ARROW)
             held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(schema)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(_ARROW)], schema=_ARROW)
 
 
 def chunk_index(spark: SparkSession, path: str) -> DataFrame:
     """(shard, block, first, n_ids) of every block of a store."""
-    return spark.read.schema(_SCHEMA).parquet(path).where("block is not null").select("shard", "block", "first", "n_ids")
+    return spark.read.schema(_SCHEMA).parquet(path).select("shard", "block", "first", "n_ids")
 
 
 def read_tokens(spark: SparkSession, path: str, unit: str = "bit") -> DataFrame:
     """(doc_id, start, n_ids, ids) of every document of a store, ids as little-endian 32-bit integers.
 
     `start` counts the ids of all documents before it. The shards' totals, a row each, are added up on the driver.
+    Blocks are read where they lie; only documents that stand in several blocks are shuffled.
     """
-    stored = spark.read.schema(_SCHEMA).parquet(path)
     totals = {r["shard"]: r["n"] for r in chunk_index(spark, path).groupBy("shard").agg(F.sum("n_ids").alias("n")).collect()}
     base, at = {}, 0
     for shard in sorted(totals):
         base[shard], at = at, at + totals[shard]
 
-    def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        expand = zstandard.ZstdDecompressor().decompress
-        shard, waiting, parts, done = None, [], [], []
-
-        def finish(last: bool) -> Iterator[pa.RecordBatch]:
-            if done and (last or sum(len(d[3]) for d in done) > 8 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "start", "n_ids", "ids"])
-                done.clear()
+    def decoded(whole: bool) -> DataFrame:
+        def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import zstandard
 
+            expand = zstandard.ZstdDecompressor().decompress
+            for batch in batches:
+                for shard, first, n, planes, pieces in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                    mine = [p for p in pieces if (p["n"] == p["size"]) is whole]
+                    if not mine:
+                        continue
+                    raw = memoryview(from_planes([expand(p) for p in planes], n, unit).tobytes())
+                    begin = [max(first, p["start"]) for p in mine]
+                    ids = [bytes(raw[4 * (b - first) : 4 * (b - first + p["n"])]) for b, p in zip(begin, mine, strict=True)]
+                    columns = [[shard] * len(mine), [p["number"] for p in mine], [b - p["start"] for b, p in zip(begin, mine, strict=True)], [p["doc_id"] for p in mine], [base[shard] + p["start"] for p in mine], [p["size"] for p in mine]]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(ids, pa.binary())], ["shard", "number", "part", "doc_id", "start", "n_ids", "ids"])
+
+        stored = spark.read.schema(_SCHEMA).parquet(path).select("shard", "first", "n_ids", "planes", "pieces")
+        return mapped(stored, decode, "shard bigint, number bigint, part bigint, doc_id bigint, start bigint, n_ids bigint, ids binary")
+
+    def put_together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, _, first, n, planes, doc_id in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if at != shard:
-                    shard, waiting, parts = at, [], []
-                if planes is None:  # a document; those of a shard come before its blocks
-                    if n:
-                        waiting.append((doc_id, first, n))
-                    else:
-                        done.append((doc_id, base.get(shard, 0) + first, 0, b""))
-                    continue
-                if not parts:
-                    waiting.reverse()
-                parts.append(from_planes([expand(p) for p in planes], n, unit))
-                have, here = sum(map(len, parts)), first + n
-                if waiting and waiting[-1][1] + waiting[-1][2] <= here:
-                    joined = np.concatenate(parts)
-                    start = here - have
-                    while waiting and waiting[-1][1] + waiting[-1][2] <= here:
-                        doc, begin, size = waiting.pop()
-                        done.append((doc, base[shard] + begin, size, joined[begin - start : begin - start + size].tobytes()))
-                    begin = waiting[-1][1] if waiting else here
-                    parts = [joined[begin - start :]]
-                yield from finish(False)
-        yield from finish(True)
-
-    ordered = stored.repartition(spread(stored), "shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first(), "first", "n_ids")
-    return ordered.mapInArrow(decode, "doc_id bigint, start bigint, n_ids bigint, ids binary")
+            joined = [b"".join(p["ids"] for p in parts) for parts in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(joined, pa.binary())], ["doc_id", "start", "n_ids", "ids"])
+
+    out = "doc_id bigint, start bigint, n_ids bigint, ids binary"
+    over = decoded(False).groupBy("shard", "number", "doc_id", "start", "n_ids").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts"))
+    return decoded(True).select("doc_id", "start", "n_ids", "ids").unionByName(mapped(over.select("doc_id", "start", "n_ids", "parts"), put_together, out))
