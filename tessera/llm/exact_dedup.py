@@ -1,8 +1,9 @@
 """Exact deduplication over a log-structured merge index of text digests.
 
 Rows flow through bounded memtables; a full one is flushed as a run sorted by digest, written as
-Parquet with Bloom filters and min/max statistics on the digest. Compaction merges all runs into one
-level that keeps the smallest identifier and the count of each digest. A digest hit is only a
+Parquet with Bloom filters and min/max statistics on the digest. Compaction reads all runs, each range of
+digests in order, and merges equal neighbours into one level that keeps the smallest identifier and the count. A filter
+of the digests that occur more than once tells which texts are needed: all others are never moved. A digest hit is only a
 candidate: its bytes are compared with those of the row that stays, and rows that differ are grouped
 anew by their whole text.
 """
@@ -15,11 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut
+from .common import Scratch, cut, mapped, remove, small, spread
 
 #: A run of white space that isn't already one space.
 _UNEVEN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 MEMTABLE_ROWS = 200_000
+#: Leading bits of a digest that the filter of repeated digests keeps, which bounds it to 2 ** FILTER_BITS rows.
+FILTER_BITS = 20
+#: Rows of (id, digest) that are broadcast at most.
+GONE_ROWS = 500_000
 
 
 def normalised(text: Column) -> Column:
@@ -64,17 +69,35 @@ class LsmIndex:
             digests = sorted(table)
             return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([table[d][0] for d in digests], pa.int64()), pa.array([table[d][1] for d in digests], pa.int64())], ["digest", "id", "n"])
 
-        flushed = rows.select("digest", F.col("id").cast("bigint").alias("id")).mapInArrow(memtable, "digest binary, id bigint, n bigint")
+        flushed = mapped(rows.select("digest", F.col("id").cast("bigint").alias("id")), memtable, "digest binary, id bigint, n bigint")
         flushed.write.options(**self._FILTERED).parquet(f"{self.path}/run={self.runs}")
         self.runs += 1
 
     def compact(self) -> None:
-        """Merge the last level and all runs since into a new level, sorted by digest within each file."""
+        """Merge the last level and all runs since, in the order of their digests, into a new level that is sorted within each file."""
         parts = [f"{self.path}/run={i}" for i in range(self.runs)] + ([f"{self.path}/level={self.level}"] if self.level else [])
-        merged = self.spark.read.parquet(*parts).groupBy("digest").agg(F.min("id").alias("id"), F.sum("n").alias("n"))
-        merged.sortWithinPartitions("digest").write.options(**self._FILTERED).parquet(f"{self.path}/level={self.level + 1}")
-        from .common import remove
+        runs = self.spark.read.parquet(*parts)
 
+        def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = None  # the entry that the next row may add to
+            for batch in batches:
+                out = []
+                for digest, row, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                    if held is not None and held[0] == digest:
+                        held[2] += n  # the smallest identifier comes first, nulls last
+                        continue
+                    if held is not None:
+                        out.append(held)
+                    held = [digest, row, n]
+                yield entries(out)
+            if held is not None:
+                yield entries([held])
+
+        def entries(out: list[list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.binary()), pa.array([e[1] for e in out], pa.int64()), pa.array([e[2] for e in out], pa.int64())], ["digest", "id", "n"])
+
+        ordered = runs.select("digest", "id", "n").repartition(spread(runs), "digest").sortWithinPartitions("digest", F.col("id").asc_nulls_last())
+        mapped(ordered, merge, "digest binary, id bigint, n bigint").write.options(**self._FILTERED).parquet(f"{self.path}/level={self.level + 1}")
         for part in parts:
             remove(self.spark, part)
         self.level, self.runs = self.level + 1, 0
@@ -88,6 +111,11 @@ class LsmIndex:
         return self.entries().where(F.col("digest").isin([bytearray(d) for d in digests]))
 
 
+def _leading(digest: str) -> Column:
+    """FILTER_BITS bits of a digest's hash."""
+    return F.shiftright(F.hash(digest), 32 - FILTER_BITS)
+
+
 def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_digest, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
     """Groups of documents whose white-space-normalised texts are equal.
 
@@ -106,7 +134,9 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_di
         index.compact()
         repeated = index.entries().where("n > 1").select("digest", F.col("id").alias("keep_id"), F.col("n").alias("group_size"))
         bodies = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(text).alias("digest"), text.alias("body"))
-        hits = cut(bodies.join(repeated, "digest"))
+        repeated = cut(repeated)
+        wanted = F.broadcast(cut(repeated.select(_leading("digest").alias("__bits")).distinct()))
+        hits = cut(bodies.join(wanted, _leading("digest") == F.col("__bits"), "left_semi").join(repeated, "digest"))
         # materialised, so that AQE may split a hot digest of the join below, whose both sides are then plain exchanges
         keepers = cut(hits.where("doc_id <=> keep_id").groupBy("digest").agg(F.min("body").alias("kept_body")))
         compared = hits.join(keepers, "digest", "left").select("doc_id", "digest", "body", F.col("body").eqNullSafe(F.col("kept_body")).alias("same"))
@@ -126,12 +156,18 @@ def _split_collisions(hits: DataFrame, differ: DataFrame, grouped: DataFrame, re
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, each with all its columns; of repeated rows of one doc_id and text, one stays."""
-    groups = exact_groups(docs).where("kept").groupBy("doc_id", "digest").agg(F.count("*").alias("rows"))
-    groups = cut(groups)
+    """The documents that stay, each with all its columns; of repeated rows of one doc_id and text, one stays.
+
+    Nulls are treated as in exact_groups; an empty table stays empty. Only the few columns that decide are shuffled, unless
+    more than GONE_ROWS rows go.
+    """
+    groups = cut(exact_groups(docs).groupBy("doc_id", "digest", "kept").agg(F.count("*").alias("rows")))
+    named = lambda rows: small(cut(rows.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"))), GONE_ROWS)
     marked = docs.withColumn("__digest", sha256_digest(normalised(F.col("text"))))
-    keys = groups.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"))
-    stay = marked.join(keys, marked["doc_id"].eqNullSafe(keys["__id"]) & (marked["__digest"] == keys["__key"]), "left_semi")
-    if not groups.where("rows > 1").isEmpty():
-        stay = stay.dropDuplicates(["doc_id", "__digest"])
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))
+    stay = marked.join(named(groups.where("not kept")), same, "left_anti")
+    twice = groups.where("kept and rows > 1")
+    if not twice.isEmpty():
+        twice = named(twice)
+        stay = stay.join(twice, same, "left_anti").unionByName(stay.join(twice, same, "left_semi").dropDuplicates(["doc_id", "__digest"]))
     return stay.drop("__digest")
