@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mapped, mix
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 14
@@ -53,7 +53,7 @@ class Model:
 
 @lru_cache(maxsize=1)
 def letter_table() -> np.ndarray:
-    """For each code point its lower case if it is a letter, else a space."""
+    """For each code point its lower case if it is a letter, itself if it is a combining mark, else a space."""
     table = np.full(0x110000, SPACE, np.uint32)
     for c in range(0x110000):
         x = chr(c)
@@ -63,6 +63,18 @@ def letter_table() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def mark_table() -> np.ndarray:
+    """The code points of combining marks, which belong to words but are no letters."""
+    return np.array([c for c in range(0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc")], np.uint64)
+
+
+def _has_letter(codes: np.ndarray) -> bool:
+    other = codes[codes != SPACE]
+    # there are no marks below U+0300
+    return bool((other < 0x300).any()) or bool(len(other)) and not np.isin(other, mark_table()).all()
+
+
 def ngram_counts(text: str) -> np.ndarray | None:
     """Counts by bucket of a whole text's n-grams, taken chunk by chunk; None without a letter."""
     counts, carry, seen = np.zeros(BUCKETS, np.int64), np.array([SPACE], np.uint64), False
@@ -73,7 +85,7 @@ def ngram_counts(text: str) -> np.ndarray | None:
         keep = np.ones(len(joined), bool)
         keep[len(carry) :] = ~(space[len(carry) :] & space[len(carry) - 1 : -1])
         joined = joined[keep]
-        seen = seen or bool((joined[len(carry) :] != SPACE).any())
+        seen = seen or _has_letter(joined[len(carry) :])
         for n in ORDERS:
             start = max(0, len(carry) - n + 1)
             part = joined[start:]
@@ -166,7 +178,7 @@ def train(docs: DataFrame, training: Training = Training(), sample_docs: int = S
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], ["bucket", "n"])
 
     df = np.zeros(BUCKETS + 1)
-    for row in usable.select("text").mapInArrow(frequencies, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for row in mapped(usable.select("text"), frequencies, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         df[row["bucket"]] = row["n"]
     if not df[BUCKETS]:
         return None
@@ -194,8 +206,8 @@ def train(docs: DataFrame, training: Training = Training(), sample_docs: int = S
             m = fit(examples, languages, idf, training)
             yield pa.RecordBatch.from_arrays([pa.array([m.weights.astype("<f4").tobytes()]), pa.array([m.bias.astype("<f8").tobytes()]), pa.array([m.temperature])], ["weights", "bias", "temperature"])
 
-    sample = drawn.select("h", "text", "lang").mapInArrow(vectors, "h bigint, label int, at binary, x binary")
-    fitted = sample.repartition(1).sortWithinPartitions("h", "label").mapInArrow(learn, "weights binary, bias binary, temperature double").collect()
+    sample = mapped(drawn.select("h", "text", "lang"), vectors, "h bigint, label int, at binary, x binary")
+    fitted = mapped(sample.repartition(1).sortWithinPartitions("h", "label"), learn, "weights binary, bias binary, temperature double").collect()
     if not fitted:
         return None
     row = fitted[0]
@@ -227,7 +239,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([j[0] for j in judged], pa.string()), pa.array([j[1] for j in judged], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(work, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return mapped(rows, work, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:
@@ -245,4 +257,4 @@ def keep_identified(docs: DataFrame, least_score: float = 0.4, **options) -> Dat
             judged = [judge(text.as_py(), model) for text in batch.column(at)]
             yield batch.filter(pa.array([lang != UNDETERMINED and score >= least_score for lang, score in judged], pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return mapped(docs, work, docs.schema)
