@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, small, spread
+from .common import components, cut, mapped, small, spread
 
 #: Codebooks and the number of visits are fitted on about this many distinct vectors; all vectors are indexed.
 SAMPLE = 20_000
@@ -92,7 +92,8 @@ def fit_index(unit: np.ndarray, k: int, threshold: float, recall: float, labels:
         for i in range(0, len(own), 500):
             a, b = np.nonzero(own[i : i + 500] @ own.T >= threshold)
             apart = a + i != b
-            take = np.flatnonzero(apart)[:5_000]
+            take = np.flatnonzero(apart)
+            take = rng.choice(take, min(len(take), 5_000), replace=False)
             if len(take):
                 real.append(_ranks(index, own[a[take] + i], own[b[take]]))
     ranks += [np.concatenate(real)] if real else []
@@ -134,7 +135,7 @@ def _doubles(rows: DataFrame, width: int) -> DataFrame:
                 out.append(np.pad(v, (0, width - len(v))).tobytes() if np.isfinite(v).all() and v.any() else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["vec_id", "label", "raw"])
 
-    return rows.mapInArrow(work, "vec_id bigint, label string, raw binary")
+    return mapped(rows, work, "vec_id bigint, label string, raw binary")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.995, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", sample: int = SAMPLE) -> DataFrame:
@@ -150,8 +151,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
     width = rows.agg(F.max(F.size("v"))).first()[0] or 0
     width = max(2, width)
-    keyed = cut(_doubles(rows, width).withColumn("key", F.when(F.col("raw").isNotNull() & F.col("label").isNotNull(), F.xxhash64("label", "raw"))))
-    classes = cut(keyed.where("key is not null").groupBy("key").agg(F.first("label").alias("label"), F.first("raw").alias("raw"), F.count("*").alias("copies"), F.min("vec_id").alias("first_id")))
+    for seed in range(8):
+        keyed = cut(_doubles(rows, width).withColumn("key", F.when(F.col("raw").isNotNull() & F.col("label").isNotNull(), F.xxhash64(F.lit(seed), "label", "raw"))))
+        classes = cut(keyed.where("key is not null").groupBy("key", "label", "raw").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id")))
+        if classes.groupBy("key").count().where("count > 1").isEmpty():
+            break
+    else:
+        raise RuntimeError("two vectors share their 64-bit key under every seed")
     sizes = classes.agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")).first()
     out = ["vec_id", "n_links", "component", "kept"]
     if not sizes["n"]:
@@ -168,7 +174,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.
             visits = [index.cells(a, b) for a, b in zip(d1, d2, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([v[0] for v in visits], pa.int32()), pa.array(visits, pa.list_(pa.int32()))], ["key", "label", "raw", "copies", "cell", "visits"])
 
-    listed = cut(classes.select("key", "label", "raw", "copies").mapInArrow(place, "key bigint, label string, raw binary, copies bigint, cell int, visits array<int>"))
+    listed = cut(mapped(classes.select("key", "label", "raw", "copies"), place, "key bigint, label string, raw binary, copies bigint, cell int, visits array<int>"))
     calls = listed.select("label", "cell", "key", F.explode("visits").alias("at"))
     loads = calls.groupBy("label", "at").agg(F.count("*").alias("visitors"), F.count_if(F.col("cell") == F.col("at")).alias("residents")).where("residents > 0")
     loads = small(cut(loads.select(F.col("label").alias("l"), "at", F.ceil(F.col("residents") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("visitors") / VISITORS).cast("int").alias("shares"))), 100_000)
@@ -184,7 +190,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _compare(batches, threshold)
 
-    met = cut(tasks.mapInArrow(compare, "key bigint, links bigint, root bigint"))
+    met = cut(mapped(tasks, compare, "key bigint, links bigint, root bigint"))
     links = met.where("links > 0").groupBy("key").agg(F.sum("links").alias("links"))
     merged = components(met.where("root is not null"), "key", "root")
     named = cut(classes.select("key", "first_id", "copies").join(merged.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")))
