@@ -19,8 +19,10 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import mapped
+
 #: Pre-tokens that a worker remembers with their ids; beyond that it starts afresh.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 100_000
 #: Characters of pre-tokens longer than this are not remembered.
 CACHE_CHARS = 64
 #: Unicode's White_Space property, which is narrower than str.isspace (no U+001C to U+001F).
@@ -182,7 +184,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
                 ids = model.encode(batch.column(1)[row].as_py() or "")
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), pa.array([ids], pa.list_(pa.int32())), pa.array([model.decode(ids)], pa.binary())], ["doc_id", "ids", "decoded"])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(work, "doc_id bigint, ids array<int>, decoded binary")
+    return mapped(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), work, "doc_id bigint, ids array<int>, decoded binary")
 
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -203,4 +205,4 @@ def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 decoded.append(hashlib.sha256(model.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(hashed), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(work, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return mapped(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), work, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODES, Powers, cut, mix, small, spread
+from .common import BYTE_CODES, Powers, cut, mapped, mix, small, spread
 
 LENGTH = 400
 GRAM = 128
@@ -86,7 +86,7 @@ def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "h", "start", "size", "offset", "anchor", "content", "times", "span"])
 
     whole = docs.where(F.octet_length("text") >= length)
-    return whole.mapInArrow(work, "doc_id bigint, h bigint, start array<int>, size array<int>, offset array<int>, anchor array<bigint>, content array<bigint>, times array<int>, span array<int>")
+    return mapped(whole, work, "doc_id bigint, h bigint, start array<int>, size array<int>, offset array<int>, anchor array<bigint>, content array<bigint>, times array<int>, span array<int>")
 
 
 def sort_columns(rows: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -187,7 +187,7 @@ def _verdicts(mixed: DataFrame, length: int, gram: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in keep], pa.int64()), pa.array([held[i][1] for i in keep], pa.int64()), pa.array([[a for a, _ in merged[i]] for i in keep], pa.list_(pa.int32())), pa.array([[b for _, b in merged[i]] for i in keep], pa.list_(pa.int32()))], ["anchor", "content", "lows", "highs"])
 
     placed = mixed.select("anchor", "content", "offset", "n", "body").repartition(spread(mixed), "anchor").sortWithinPartitions("anchor", "content")
-    return placed.mapInArrow(work, "anchor bigint, content bigint, lows array<int>, highs array<int>")
+    return mapped(placed, work, "anchor bigint, content bigint, lows array<int>, highs array<int>")
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -211,7 +211,7 @@ def _by_digest(hot: DataFrame, length: int) -> DataFrame:
                 k = len(digests)
                 yield pa.RecordBatch.from_arrays([pa.array([anchor] * k, pa.int64()), pa.array([content] * k, pa.int64()), pa.array(starts, pa.int32()), pa.array([n] * k, pa.int64()), pa.array(digests, pa.int64())], ["anchor", "content", "low", "n", "digest"])
 
-    rows = cut(hot.select("anchor", "content", "offset", "n", "body").mapInArrow(windows, "anchor bigint, content bigint, low int, n bigint, digest bigint"))
+    rows = cut(mapped(hot.select("anchor", "content", "offset", "n", "body"), windows, "anchor bigint, content bigint, low int, n bigint, digest bigint"))
     often = cut(rows.groupBy("anchor", "digest").agg(F.sum("n").alias("all")).where("all > 1").select("anchor", "digest"))
     met = rows.join(often, ["anchor", "digest"], "left_semi").groupBy("anchor", "content").agg(F.collect_list("low").alias("lows"))
     return met.select("anchor", "content", "lows", F.transform("lows", lambda x: x + length).alias("highs"))
@@ -244,7 +244,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, gro
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()), pa.array([raw[w["start"] : w["start"] + w["size"]] for w in wanted], pa.binary())], ["anchor", "content", "offset", "n", "body"])
 
     keyed = sources.join(per_doc.select(F.col("doc_id").alias("d2"), F.col("h").alias("h2"), "wanted"), F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2"))).select("text", "wanted")
-    cut_out = cut(keyed.mapInArrow(bodies, "anchor bigint, content bigint, offset int, n bigint, body binary"))
+    cut_out = cut(mapped(keyed, bodies, "anchor bigint, content bigint, offset int, n bigint, body binary"))
     crowded = cut(contents.groupBy("anchor").count().where(F.col("count") > group_contents).select("anchor"))
     if crowded.isEmpty():
         verdicts = _verdicts(cut_out, length, gram)
@@ -290,7 +290,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
 
     marked = per_doc.select(F.col("doc_id").alias("d2"), F.col("h").alias("h2"), "lows", "highs")
     touched = _only(docs, keys).join(marked, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2"))).select("doc_id", "text", "lows", "highs")
-    stripped = touched.mapInArrow(strip, "doc_id bigint, n_bytes bigint, n_removed bigint, lows array<bigint>, highs array<bigint>, kept binary")
+    stripped = mapped(touched, strip, "doc_id bigint, n_bytes bigint, n_removed bigint, lows array<bigint>, highs array<bigint>, kept binary")
     nothing = F.array().cast("array<bigint>")
     whole = _only(docs, keys, "left_anti").select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), nothing.alias("lows"), nothing.alias("highs"), F.col("text").cast("binary").alias("kept"))
     return whole.unionByName(stripped)
