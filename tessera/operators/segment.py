@@ -6,12 +6,12 @@ of a running count. Only acceptance of a number depends on what was accepted bef
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import profiles as P
 from ..functions import text as T
+from .passes import ordered_pass
 
 _EMPTY = "array<string>"
 
@@ -108,22 +108,18 @@ def keep_sequence(rows: DataFrame, book: list[str], order: list[str], number: st
     """The rows whose number continues the sequence accepted so far; forced rows always do and set it.
 
     A row is accepted if its number is at most `reach` from the last accepted one and at most `back` below it. One
-    ordered pass per book, in Arrow batches, as acceptance depends on acceptance; a null number is only kept by force.
+    ordered pass per book, as acceptance depends on acceptance; a null number is only kept by force.
     """
     plain = rows.select(*book, *order, F.col(number).cast("long").alias("__n"), F.coalesce(F.col(forced).cast("boolean"), F.lit(False)).alias("__f"))
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        keep, last = [], 0
-        for n, f in zip(group["__n"].tolist(), group["__f"].tolist(), strict=True):
-            known = n == n and n is not None
-            ok = bool(f) or (known and abs(n - last) <= reach and n >= last - back)
-            if ok and known:
-                last = n
-            keep.append(ok)
-        return group.loc[keep, [*book, *order]]
-
-    kept = plain.groupBy(*book).applyInPandas(fold, plain.select(*book, *order).schema)
+    def step(last: int | None, row: dict) -> tuple[int, tuple | None]:
+        last, n = last or 0, row["__n"]
+        follows = n is not None and last - back <= n and abs(n - last) <= reach
+        if not (row["__f"] or follows):
+            return last, None
+        return last if n is None else n, tuple(row[c] for c in order)
+
+    kept = ordered_pass(plain, book, order, step, plain.select(*book, *order).schema)
     return rows.join(kept, [*book, *order], "left_semi")
 
 
@@ -162,15 +158,13 @@ def chapter_headers(pages: DataFrame, book: str = "book_id", apart: int = 4) ->
     found = found.withColumn("title_form", T.search_form(F.col("title")))
     schema = found.select(book, "page_ix", F.lit(0).alias("header_ix"), "title").schema
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        out, last, at = [], None, 0
-        for row in group.sort_values(["page_ix", "line_ix", "piece_ix"]).itertuples(index=False):
-            if last is None or last != row.form or row.page_ix - at >= apart:
-                out.append((getattr(row, book), row.page_ix, len(out), row.title))
-                last, at = row.title_form, row.page_ix
-        return pd.DataFrame(out, columns=[book, "page_ix", "header_ix", "title"])
+    def step(listed: tuple | None, row: dict) -> tuple[tuple, tuple | None]:
+        form, page, n = listed or (None, 0, 0)
+        if form == row["form"] and row["page_ix"] - page < apart:
+            return listed, None
+        return (row["title_form"], row["page_ix"], n + 1), (row["page_ix"], n, row["title"])
 
-    return found.groupBy(book).applyInPandas(fold, schema)
+    return ordered_pass(found, [book], ["page_ix", "line_ix", "piece_ix"], step, schema)
 
 
 def signatures(segments: DataFrame, parts_chars: int = 2_000, most: int = 60_000) -> DataFrame:

@@ -61,6 +61,15 @@ MARKER_WINDOW: tuple[Rule, ...] = ((4, 0.35, 0), (3, 0.55, 0), (5, 0.25, 2), (10
 MARKER_GLOBAL: tuple[Rule, ...] = ((5, 0.5, 0), (8, 0.35, 0), (4, 0.65, 0))
 HEAD_ANCHOR: tuple[Rule, ...] = ((5, 0.35, 2),)
 
+#: Moving windows, in list positions: how far behind and ahead of the pointer, what share of the top score (and which least score)
+#: counts as tied with it, and how far the pointer may be from the proportional place.
+NUMBERED_REACH = {"behind": 30, "ahead": 250, "tied": 0.88, "tied_least": 4}
+PROPORTIONAL_REACH = {"behind": 30, "ahead": 400, "stray": 400}
+#: Anchor search, in pages: behind the pointer, past the expected page at its most, and beyond it.
+ANCHOR_REACH = {"behind": 2, "past": 10, "ahead": 12, "share": 15, "narrow": 12}
+#: Words that decide on an anchor: of the opening to be looked for, on a page to confirm it; rare ones likewise.
+ANCHOR_WORDS = {"opening": 5, "opening_confirms": 4, "rare": 2, "rare_confirms": 2}
+
 # ---- profiles ------------------------------------------------------------------------------------
 
 
