@@ -24,7 +24,7 @@ def numbering(units: DataFrame, expected: DataFrame, least: int = 10) -> DataFra
     down = units.withColumn("down", (F.lag("num").over(Window.partitionBy("slug").orderBy("unit_ix")) > F.col("num")))
     counted = down.groupBy("slug").agg(F.count("*").alias("n"), F.count_if(F.length(T.gate_form(F.coalesce("text", F.lit("")))) < least).alias("n_short"), F.max("num").alias("max_num"), F.count_if("down").alias("n_inversions"))
     ok = (F.col("n_short") == 0) & (F.col("max_num") == F.col("canon_max")) & (F.col("n") >= F.col("canon_max") - F.col("tolerance")) & ((F.col("n_inversions") == 0) | F.col("unordered"))
-    return counted.join(F.broadcast(expected), "slug").select("slug", "n", "n_short", "max_num", "n_inversions", ok.alias("ok"))
+    return counted.join(expected, "slug").select("slug", "n", "n_short", "max_num", "n_inversions", ok.alias("ok"))
 
 
 def glued_tails(units: DataFrame, residue: int = 8) -> DataFrame:
@@ -44,13 +44,13 @@ def identical_neighbours(units: DataFrame, allowed: DataFrame | None = None, lon
     pairs = forms.join(after, [by, "num"]).where((F.length("form") > longer) & (F.col("form") == F.col("next_form"))).select(by, "num", (F.col("num") + 1).alias("next"))
     if allowed is None:
         return pairs
-    return pairs.join(F.broadcast(allowed.select(F.col("a").alias("num"), F.col("b").alias("next"))), ["num", "next"], "left_anti").select(by, "num", "next")
+    return pairs.join(allowed.select(F.col("a").alias("num"), F.col("b").alias("next")), ["num", "next"], "left_anti").select(by, "num", "next")
 
 
 def keys_in_range(mapped: DataFrame, units: DataFrame) -> DataFrame:
     """(slug, key) of map keys beyond the book's greatest number; slugs that aren't among the books are left out."""
     most = units.groupBy("slug").agg(F.max("num").alias("max_num"))
-    return mapped.join(F.broadcast(most), "slug").where(F.col("key") > F.col("max_num")).select("slug", "key")
+    return mapped.join(most, "slug").where(F.col("key") > F.col("max_num")).select("slug", "key")
 
 
 def map_keys(encyclopedia: DataFrame) -> DataFrame:
@@ -90,15 +90,16 @@ def contained_elsewhere(fragments: DataFrame, units: DataFrame, key: str = "num"
 def pairing(entries: DataFrame, units: DataFrame, least_rate: float = 0.85, most_wrong: float = 0.05) -> DataFrame:
     """Whether entries quote the unit that they belong to: one row (verified, wrong, undecided, rate, ok).
 
-    entries (num, sharh), units (num, text). An entry is verified by its own unit, wrong if a fragment that doesn't
+    entries (num, sharh; a number may occur more than once), units (num, text). An entry is verified by its own unit, wrong if a fragment that doesn't
     open like a narration is in another unit only, else undecided. Without anything to compare the rate holds.
     """
-    quoted = entries.select("num", T.fragments(F.col("sharh")).alias("fragments"))
+    quoted = entries.select("num", F.xxhash64("num", "sharh").alias("entry"), T.fragments(F.col("sharh")).alias("fragments"))
     forms = units.select("num", T.gate_form(F.col("text")).alias("form"))
-    own = contained_in_own(quoted, forms).withColumn("verified", F.lit(True))
-    rest = quoted.join(own, "num", "left_anti").select("num", F.explode("fragments").alias("fragment")).where(~F.col("fragment").rlike(P.NARRATION_FRAGMENT))
-    wrong = contained_elsewhere(rest, forms).select("num").distinct().withColumn("wrong", F.lit(True))
-    judged = quoted.join(own, "num", "left").join(wrong, "num", "left")
+    own = quoted.join(forms, "num").where(F.exists("fragments", lambda f: F.contains(F.col("form"), f))).select("entry").distinct().withColumn("verified", F.lit(True))
+    rest = quoted.join(own, "entry", "left_anti").select("num", "entry", F.explode("fragments").alias("fragment")).where(~F.col("fragment").rlike(P.NARRATION_FRAGMENT))
+    elsewhere = contained_elsewhere(rest.select("num", "fragment").distinct(), forms).select("num", "fragment").distinct()
+    wrong = rest.join(elsewhere, ["num", "fragment"], "left_semi").select("entry").distinct().withColumn("wrong", F.lit(True))
+    judged = quoted.join(own, "entry", "left").join(wrong, "entry", "left")
     counts = judged.agg(F.count_if("verified").alias("verified"), F.count_if("wrong").alias("wrong"), F.count("*").alias("n"))
     total = F.col("verified") + F.col("wrong")
     rate = F.when(total > 0, F.col("verified") / total).otherwise(1.0)

@@ -73,21 +73,22 @@ def fill_missing(missing: DataFrame, segments: DataFrame, usable: DataFrame, hea
 
 def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, global_match: bool = False, force_direct: bool = False) -> DataFrame:
     """Numbers where they agree with the texts (a count over the first units decides), else windows or the best match of all."""
-    signed = segment.signatures(segments, profile.signature_chars, profile.most_segment).cache()
+    signed = segment.signatures(segments, profile.signature_chars, profile.most_segment)
     texts = _texts(segments, False).where(F.length("sharh") >= profile.least_text)
     if profile.most_text:
         texts = texts.where(F.length("sharh") <= profile.most_text)
     words = units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words"))
     first = _by_number(segments)
     heads = first.join(signed, [BOOK, "seg_ix"]).select(BOOK, "num", F.col("head_words").alias("words"))
-    trusted = force_direct
-    if not trusted:
-        counts = align.agreement(words, heads.drop(BOOK)).first()
-        trusted = counts["agree"] > 0.6 * max(1, counts["agree"] + counts["disagree"])
+    if force_direct:
+        trusted = segments.select(BOOK).distinct()
+    else:  # each book decides for itself
+        counts = align.agreement(words, heads, by=[BOOK])
+        trusted = counts.where(F.col("agree") > 0.6 * F.greatest(F.lit(1), F.col("agree") + F.col("disagree"))).select(BOOK)
     direct = None
-    if trusted:
+    if not trusted.isEmpty():
         sizes = _sized(segments, units)
-        bodies = first.join(signed, [BOOK, "seg_ix"]).join(sizes, BOOK).select(BOOK, F.col("num").alias("key"), "seg_ix", "body_words", F.when((F.col("n_units") > 5_000) & (F.col("n_segs") < 2_500), 1).otherwise(3).alias("need"))
+        bodies = first.join(trusted, BOOK, "left_semi").join(signed, [BOOK, "seg_ix"]).join(sizes, BOOK).select(BOOK, F.col("num").alias("key"), "seg_ix", "body_words", F.when((F.col("n_units") > 5_000) & (F.col("n_segs") < 2_500), 1).otherwise(3).alias("need"))
         shared = F.size(F.array_intersect("words", "body_words"))
         hits = lookup.near_key(words, bodies, "num", "key", F.when(shared >= F.col("need"), shared).otherwise(0), by=[BOOK])
         direct = hits.join(first.withColumnRenamed("num", "key"), [BOOK, "key"]).select(BOOK, "num", "seg_ix")
@@ -121,33 +122,40 @@ def cut_book(paragraphs: DataFrame, profile: P.BookProfile) -> DataFrame:
     return cut.withColumn("seg_ix", F.row_number().over(Window.partitionBy(BOOK).orderBy("seg_ix")) - 1)
 
 
+def unit_anchors(pages: DataFrame, at: DataFrame) -> DataFrame:
+    """(book_id, num, page_ix) of units (book_id, chapter_id, unit_ix, num, text, start, end) on pages (book_id, page_ix, words).
+
+    Searched are the words among a unit's first 22, and the six rarest of its second half that at most 25 pages of the book have.
+    """
+    words = pages.select(BOOK, "page_ix", F.explode("words").alias("word"))
+    frequency = words.groupBy(BOOK, "word").agg(F.count("*").alias("df"))
+    in_text = T.words(F.col("text"))
+    usable = lambda ws: F.array_except(F.filter(F.array_distinct(ws), lambda w: F.length(w) >= 4), F.array(*[F.lit(w) for w in T.STOP]))
+    listed = at.select(BOOK, "unit_ix", usable(F.slice(in_text, 1, 22)).alias("head"), usable(T.second_half(in_text)).alias("tail"))
+    # only words that some page has count; of the tail, the rarest six
+    head = listed.select(BOOK, "unit_ix", F.explode("head").alias("word")).join(frequency, [BOOK, "word"])
+    tail = listed.select(BOOK, "unit_ix", F.explode("tail").alias("word")).join(frequency.where("df <= 25"), [BOOK, "word"])
+    tail = lookup.lowest(tail, [BOOK, "unit_ix"], ["df", "word"], 6)
+    hits = lambda rows: rows.join(words, [BOOK, "word"]).groupBy(BOOK, "unit_ix", "page_ix").agg(F.count("*").alias("hits"))
+    counts = lambda rows, name: rows.groupBy(BOOK, "unit_ix").agg(F.count("*").alias(name))
+    sized = at.join(counts(head, "n_head"), [BOOK, "unit_ix"], "left").join(counts(tail, "n_rare"), [BOOK, "unit_ix"], "left").na.fill(0, ["n_head", "n_rare"])
+    return spans.find_anchors(sized.select(BOOK, "chapter_id", "num", "unit_ix", "start", "end", "n_head", "n_rare"), hits(head), hits(tail))
+
+
 def chapter_book(pages: DataFrame, units: DataFrame, chapters: DataFrame, least: int = 250) -> DataFrame:
     """Chapters find their pages by title, units their page in the chapter; an entry is the pages up to the next unit's.
 
     pages (book_id, page_ix, text), chapters (book_id, chapter_id, title).
     """
-    pages = pages.withColumn("words", T.content_words(F.col("text"))).cache()
+    pages = pages.withColumn("words", T.content_words(F.col("text")))
     last = pages.groupBy(BOOK).agg(F.max("page_ix").alias("last_page"))
-    headers = segment.chapter_headers(pages).cache()
+    headers = segment.chapter_headers(pages)
     titled = lambda rows, key, title: rows.select(BOOK, F.col(key).cast("bigint").alias(("unit_ix" if key == "chapter_id" else "seg_ix")), T.content_words(F.col(title), 1, [P.TITLE_STOP]).alias("words"))
     matched = align.title_match(titled(chapters, "chapter_id", "title"), titled(headers, "header_ix", "title"), [BOOK]).select(BOOK, F.col("unit_ix").alias("chapter_id"), F.col("seg_ix").alias("header_ix"))
     found = spans.chapter_ranges(matched, headers)
     known = chapters.select(BOOK, F.col("chapter_id").cast("bigint").alias("chapter_id")).join(found, [BOOK, "chapter_id"], "left").join(last, BOOK)
     known = known.withColumn("end", F.when(F.col("start").isNotNull(), F.coalesce("end", "last_page")))
     ranges = spans.interpolate(known).select(BOOK, "chapter_id", "start", "end")
-    frequency = spans.document_frequency(pages)
-    at = units.join(ranges, [BOOK, "chapter_id"])
-    in_text = T.words(F.col("text"))
-    usable = lambda ws: F.array_except(F.filter(F.array_distinct(ws), lambda w: F.length(w) >= 4), F.array(*[F.lit(w) for w in T.STOP]))
-    listed = at.select(BOOK, "unit_ix", usable(F.slice(in_text, 1, 22)).alias("head"), usable(T.second_half(in_text)).alias("tail"))
-    # only words that some page has count; of the tail, the rarest six
-    head = listed.select(BOOK, "unit_ix", F.explode("head").alias("word")).join(frequency, "word")
-    tail = listed.select(BOOK, "unit_ix", F.explode("tail").alias("word")).join(frequency.where("df <= 25"), "word")
-    tail = lookup.lowest(tail, [BOOK, "unit_ix"], ["df", "word"], 6)
-    words = pages.select(BOOK, "page_ix", F.explode("words").alias("word"))
-    hits = lambda rows: rows.join(words, [BOOK, "word"]).groupBy(BOOK, "unit_ix", "page_ix").agg(F.count("*").alias("hits"))
-    counts = lambda rows, name: rows.groupBy(BOOK, "unit_ix").agg(F.count("*").alias(name))
-    sized = at.join(counts(head, "n_head"), [BOOK, "unit_ix"], "left").join(counts(tail, "n_rare"), [BOOK, "unit_ix"], "left").na.fill(0, ["n_head", "n_rare"])
-    anchors = spans.find_anchors(sized.select(BOOK, "chapter_id", "num", "unit_ix", "start", "end", "n_head", "n_rare"), hits(head), hits(tail))
+    anchors = unit_anchors(pages, units.join(ranges, [BOOK, "chapter_id"]))
     placed = spans.anchor_spans(anchors.join(last, BOOK))
     return spans.span_text(placed, pages, least=least).select(BOOK, "num", F.col("text").alias("sharh"))
