@@ -71,7 +71,51 @@ _STRAY_N = rf"(select count(*) n from documents where regexp_matches(text, '{P.S
 _FRAGS = f"(select item_id, substr({_gate('text')}, 5, 60) f from benchmark)"
 _ENTRIES = "(select source, doc_id::int num, text from documents where doc_id in (select doc_id from labels where quality = 1))"
 
+_WINDOW_UNITS = f"""g as (select source, row_number() over (partition by source order by doc_id) - 1 as seg_ix, w from (select source, doc_id, {_words('text')} w from documents)),
+    z as (select source, count(*) n_segs from g group by source), it as (select item_id, item_id + 1 as num, w, len(w) n_words from {_ITEM_WORDS}),
+    sc as (select source, item_id, seg_ix, count(*) p from (select item_id, unnest(w) word from it) join (select source, seg_ix, unnest(w) word from g) using (word) group by all having count(*) >= 3),
+    li as (select source, item_id, list({{'s': seg_ix, 'p': p}} order by seg_ix) l from sc group by all),
+    u as (select z.source, row_number() over (partition by z.source order by it.item_id) k, num, n_words, n_segs, (select count(*) from it) n_units, case when num % 10 = 0 then num end as direct, coalesce(l, []) l
+        from it cross join z left join li on li.source = z.source and li.item_id = it.item_id)"""
+
+
+def _passing(rules) -> str:
+    return "(" + " or ".join(f"(best >= {b} and best / n_words >= {r} and best - second >= {m})" for b, r, m in rules) + ")"
+
+
+def _numbered_sql() -> str:
+    """A recursion over a book's units, a row per unit, that carries the pointer."""
+    points = lambda x: f"list_transform({x}, lambda y: y.p)"
+    return f"""with recursive {_WINDOW_UNITS}, f as (select source, 0::bigint k, 0::bigint pointer, null::bigint num, null::bigint pick from z union all
+        select source, k, case when direct is null then coalesce(pick, pointer) else greatest(pointer, direct) end, num, pick from (
+        select *, case when direct is null and len(seen) > 0 and {_passing(P.NUMBERED_WINDOW)} then c.s end as pick from (
+        select *, c.p as best, coalesce(list_max({points("list_filter(seen, lambda x: not list_contains(list_transform(tied, lambda t: t.s), x.s))")}), 0) as second from (
+        select *, list_sort(list_transform(tied, lambda x: {{'d': abs(x.s - greatest(pointer, num)), 's': x.s, 'p': x.p}}))[1] as c from (
+        select *, case when len(high) > 0 then high else list_filter(seen, lambda x: x.p = top) end as tied from (
+        select *, list_filter(seen, lambda x: x.p >= greatest(floor(0.88::double * top), 4)) as high from (
+        select *, list_max({points("seen")}) as top from (
+        select u.*, pointer, list_filter(l, lambda x: x.s >= pointer - 30 and x.s < pointer + 250) as seen from f join u on u.source = f.source and u.k = f.k + 1))))))))
+        select source, num, pick as seg_ix from f where pick is not null"""
+
+
+def _proportional_sql(between: bool, direct: bool) -> str:
+    far = "greatest(pointer - 30, place)" if between else "place"
+    ends = ("least", "greatest") if between else ("", "")
+    spot = lambda end: f"case when abs(pointer - place) > 400 then {end}({'pointer, ' if between else ''}{far}) else pointer end"
+    units = _WINDOW_UNITS if direct else _WINDOW_UNITS.replace("case when num % 10 = 0 then num end", "null::bigint")
+    return f"""with recursive {units}, f as (select source, 0::bigint k, 0::bigint pointer, null::bigint num, null::bigint pick from z union all
+        select source, k, case when direct is null then coalesce(pick, pointer) else greatest(pointer, direct) end, num, pick from (
+        select *, case when direct is null and len(o) > 0 and {_passing(P.MARKER_WINDOW)} then o[1].s end as pick from (
+        select *, -o[1].n as best, coalesce(-o[2].n, 0) as second from (
+        select *, list_sort(list_transform(list_filter(l, lambda x: x.s >= {spot(ends[0])} - 30 and x.s < {spot(ends[1])} + 400), lambda x: {{'n': -x.p, 's': x.s}})) as o from (
+        select u.*, pointer, floor(u.num * n_segs / greatest(1, n_units))::bigint as place from f join u on u.source = f.source and u.k = f.k + 1)))))
+        select source, num, pick as seg_ix from f where pick is not null"""
+
+
 ORACLES = {
+    "window_align_numbered": _numbered_sql(),
+    "window_align_marker": _proportional_sql(True, True),
+    "window_align_other": _proportional_sql(False, False),
     "page_status": f"select {_STATUS} as status, count(*) n from pages group by 1",
     "crawl_work": "select r::int as page from range(0, (select max(page_id) from pages) + 1) t(r) where r not in (select page_id from pages where strlen(html) > 4000)",
     "page_paragraphs": f"select page_id, para_ix::int as para_ix, body from ({_BODIES})",

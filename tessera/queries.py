@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import profiles as P
+from .book_oracles import ORACLES as BOOK_ORACLES
+from .book_queries import QUERIES as BOOK_QUERIES
 from .functions import text as T
 from .operators import align, gate, lookup, pages, segment, spans
+from .oracles import ORACLES as TABLE_ORACLES
 from .plans import books
 from .sources import package as packages
 from .sources import pages as sources
@@ -356,6 +359,5 @@ def book_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (page_status, crawl_work, page_paragraphs, paragraph_runs, clean_text, page_documents, normalize_text, gate_text, content_words, doc_frequency, rare_words, text_fragments, segment_lines, merge_adjacent, sequence_validate, mega_segments, first_wins, direct_map, missing_anti, membership_semi, near_key, xref_forward, xref_reverse, priority_fill, overlap_best_second, overlap_global, title_match, number_agreement, window_align_numbered, window_align_marker, window_align_other, span_concat, chapter_interpolate, next_header, gate_numbering, gate_adjacent_dups, gate_prefix, gate_tail, gate_range, gate_overall, containment_own, containment_foreign, package_entries, package_coverage, book_global)
-QUERIES = {f.__name__: f for f in _ALL}
-
-from .oracles import ORACLES  # noqa: E402, F401
+QUERIES = {f.__name__: f for f in _ALL} | BOOK_QUERIES
+ORACLES = TABLE_ORACLES | BOOK_ORACLES
