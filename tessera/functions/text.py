@@ -24,15 +24,29 @@ def ascii_digits(text: Column) -> Column:
     return F.translate(text, P.ARABIC_DIGITS, P.ASCII_DIGITS)
 
 
+def _spelled(ranges: str) -> str:
+    """All characters of a class like [\\u0610-\\u061A\\u0640]."""
+    out = []
+    for low, high in re.findall(r"\\u([0-9A-F]{4})(?:-\\u([0-9A-F]{4}))?", ranges):
+        out += map(chr, range(int(low, 16), int(high or low, 16) + 1))
+    return "".join(out)
+
+
+#: One table for digits, letter variants and what is deleted, so that a text is gone through once.
+_KEPT = len(P.LETTERS_TO)
+_SEARCH_FROM = P.ARABIC_DIGITS + P.LETTERS_FROM[:_KEPT] + P.LETTERS_FROM[_KEPT:] + _spelled(P.MARKS_SEARCH)
+_SEARCH_TO = P.ASCII_DIGITS + P.LETTERS_TO
+
+
 def search_form(text: Column) -> Column:
     """For matching: ASCII digits, no marks, letter variants as one, all else than Arabic, digits and Latin letters a space."""
-    bare = F.translate(F.regexp_replace(ascii_digits(text), P.MARKS_SEARCH, ""), P.LETTERS_FROM, P.LETTERS_TO)
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, P.NOT_SEARCHABLE, " "), " +", " "))
+    # spaces aren't searchable either, so a run of both becomes one space
+    return F.trim(F.regexp_replace(F.translate(text, _SEARCH_FROM, _SEARCH_TO), P.NOT_SEARCHABLE.replace(" ]", "]+"), " "))
 
 
 def gate_form(text: Column) -> Column:
     """For the gate: no marks, fewer letter variants as one, single spaces; punctuation, digits and the ends stay."""
-    bare = F.translate(F.regexp_replace(text, P.MARKS_GATE, ""), P.GATE_LETTERS_FROM, P.GATE_LETTERS_TO)
+    bare = F.translate(text, P.GATE_LETTERS_FROM + _spelled(P.MARKS_GATE), P.GATE_LETTERS_TO)
     return F.regexp_replace(bare, r"(?U)[\s\x1c-\x1f]+", " ")
 
 
