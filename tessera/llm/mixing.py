@@ -39,7 +39,7 @@ def text_quality(text: Column, size: Column) -> Column:
 
 def uniform(doc_id: Column, text: Column, seed: int) -> Column:
     """A number in (0, 1) from id and text alone, the same in every run: 52 bits of an MD5 digest."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.xxhash64(text).cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.md5(text), F.lit("null"))))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -119,12 +119,12 @@ def mix_plan(rows: DataFrame, weights: Sequence[float], epochs: int, bucket_rows
         sums = able.groupBy("source", "bucket", budget).agg(F.sum("size").alias("bucket_size")).withColumn("start", F.coalesce(F.sum("bucket_size").over(order), F.lit(0)))
         sums = cut(sums.select(F.col("source").alias("__s"), F.col("bucket").alias("__b"), "bucket_size", "start", F.col(budget).alias("budget")))
         edges = sums.where("start <= budget and start + bucket_size > budget")
-        at_edge = able.join(small(cut(edges), BROADCAST_ROWS), F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
+        at_edge = able.join(small(edges, BROADCAST_ROWS), F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
         running = F.col("start") + F.sum("size").over(Window.partitionBy("source").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
         over = at_edge.select("source", position.alias("at"), "size", "budget", running.alias("running")).where("running > budget")
         crossing = over.groupBy(F.col("source").alias("__s")).agg(F.min(F.struct("at", (F.col("budget") - F.col("running") + F.col("size")).alias("left"))).alias("c"))
         used = sums.groupBy(F.col("__s").alias("__t")).agg((F.first("budget") - F.sum("bucket_size")).alias("all_left"))
-        plan = plan.join(cut(crossing), F.col("source").eqNullSafe(F.col("__s")), "left").join(used, F.col("source").eqNullSafe(F.col("__t")), "left")
+        plan = plan.join(crossing, F.col("source").eqNullSafe(F.col("__s")), "left").join(used, F.col("source").eqNullSafe(F.col("__t")), "left")
         # without a crossing document all that may be are taken; without any that may be, or without a budget, none is
         none = F.struct(F.lit(float("-inf")).alias("key"), F.lit(-1).cast("bigint").alias("tie"))
         at = F.when(F.col(budget).isNull() | (F.col(budget) <= 0), none).otherwise(F.col("c.at"))
@@ -132,7 +132,7 @@ def mix_plan(rows: DataFrame, weights: Sequence[float], epochs: int, bucket_rows
     left = F.col(f"left{PASSES - 1}")
     able = _by_source(rows.where("size > 0"), plan).where((F.col("rest") > 0) & ~_more(PASSES, position, "at") & (F.col("size") < 2 * left))
     last = able.groupBy(F.col("source").alias("__s")).agg(F.min(position).alias("last"))
-    return cut(plan.join(cut(last), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s"))
+    return cut(plan.join(last, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s"))
 
 
 def _copies(position: Column, border: str, last: str) -> Column:

@@ -12,11 +12,11 @@ from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
 from .jaccard_join import jaccard_components
 from .language_id import identify
-from .mixing import mix_sources
+from .mixing import PASSES, mix_sources
 from .repeats import remove_repeats
 from .secrets import secret_report
 from .token_store import read_tokens, write_tokens
-from .url_filter import judge_urls
+from .url_filter import RULES, judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,7 +99,72 @@ def _secret_sql() -> str:
         select d.doc_id, coalesce(n0, 0) as n_assign, coalesce(n1, 0) as n_access, coalesce(n2, 0) as n_hex, sha256(coalesce(b, '')) as base_sha256, coalesce(al, '') as spans from d left join a on d.doc_id = a.doc_id"""
 
 
+_SPACE = r"[^\x20\x09-\x0D]+"
+_ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _reach(edges: str) -> str:
+    """(id, node): what is reachable from each end of edges (a, b), which hold both directions; for small tables."""
+    return f"reach as (select a as id, a as node from {edges} union select r.id, e.b from reach r join {edges} e on e.a = r.node)"
+
+
+def _jaccard_sql(n: int, percent: int) -> str:
+    shingle = " || ' ' || ".join(f"w[i + {j}]" for j in range(n))
+    return rf"""with recursive d as (select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), {_ALPHABET}), '{_SPACE}') w from documents),
+        s as (select r, doc_id, case when len(w) = 0 then [] when len(w) < {n} then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - {n - 2}), lambda i: {shingle})) end s from d),
+        g as (select r, unnest(s) x from s), z as (select r, doc_id, len(s) n from s),
+        c as (select a.r a, b.r b, count(*) n from g a join g b on a.x = b.x and a.r <> b.r group by all),
+        e as (select c.a, c.b from c join z x on x.r = c.a join z y on y.r = c.b where 100 * c.n >= {percent} * (x.n + y.n - c.n)),
+        {_reach("e")}, named as (select id, min(doc_id) component_id from (select k.id, z.doc_id from reach k join z on z.r = k.node) group by id)
+        select doc_id, n::bigint as n_shingles, coalesce(component_id, doc_id) as component_id from z left join named on id = z.r"""
+
+
+def _url_sql() -> str:
+    """Verdicts where no link leads from one host to another, as in these tables: a host then holds what its own pages give it."""
+    fits = lambda r: f"((host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}'))"
+    longest = lambda field: "case " + " ".join(f"when {fits(r)} then '{getattr(r, field)}'" for r in sorted(RULES, key=lambda r: -len(r.prefix))) + " end"
+    part = lambda k: rf"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {k})"
+    return f"""with p as (select page_id, translate({part(1)}, {_ALPHABET}) as host, {part(2)} as path from pages), r as (select *, {longest('prefix')} as rule, {longest('verdict')} as ruling from p),
+        h as (select host, avg((coalesce(ruling, '') = 'allow')::int::double) trust, avg((coalesce(ruling, '') = 'block')::int::double) distrust from r where host <> '' group by host)
+        select page_id, r.host, path, rule, coalesce(ruling, case when distrust >= 0.5 and distrust > trust then 'block' else 'allow' end) as verdict, coalesce(trust, 0) as trust, coalesce(distrust, 0) as distrust from r left join h on h.host = r.host"""
+
+
+def _mix_sql(weights=(1, 2, 3), epochs: int = 3, seed: int = 17) -> str:
+    """The mix without buckets: every source is ordered as a whole."""
+    listed = f"[{', '.join(f'{w}::double' for w in weights)}]"
+    passes = []
+    for p in range(PASSES):
+        before = "n0" if not p else f"b{p - 1}"
+        able = "size > 0 and budget > 0" + ("" if not p else f" and size <= budget and key > at{p - 1}")
+        budget = "rest" if not p else f"left{p - 1}"
+        keep = "".join(f", at{q}, left{q}" for q in range(p))
+        passes.append(f"""r{p} as (select *, case when {able} then sum(case when {able} then size else 0 end) over (partition by source order by key rows unbounded preceding) end running from (select *, {budget} as budget from {before})),
+        c{p} as (select source s, min(key) filter (running > budget) as k, arg_min(budget - running + size, key) filter (running > budget) as l, max(budget) - coalesce(max(running), 0) as rest_left from r{p} group by source),
+        b{p} as (select r{p}.* exclude (running, budget), case when budget <= 0 then '-infinity'::double else k end as at{p}, coalesce(l, rest_left) as left{p} from r{p} join c{p} on s is not distinct from source)""")
+    taken = " or ".join("(" + (f"(at{p} is null or key < at{p})" if not p else f"(at{p} is null or key < at{p}) and at{p - 1} is not null and key > at{p - 1} and size <= left{p - 1}") + ")" for p in range(PASSES))
+    return rf"""with d as (select doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) as size from documents),
+        q as (select doc_id, source, size, case when size > 0 then 1 / (1 + abs(ln(((length(text) + 1) / size) / 6.5))) else 1.0 end as q,
+            (('0x' || md5('{seed}:' || coalesce(doc_id::varchar, 'null') || ':' || coalesce(md5(text), 'null'))[1:13])::bigint::double + 0.5) / 4503599627370496.0 as u from d),
+        s as (select source, sum(size)::double as source_size from q group by source), w as (select *, list_extract({listed}, (row_number() over (order by source is null, source) - 1) % {len(weights)} + 1) as w, source_size * {epochs} as cap from s),
+        o as (select *, sum(source_size) over () as total, sum(w) over () as ws, coalesce(sum(cap) over x, 0) as caps, coalesce(sum(w) over x, 0) as used from w window x as (order by cap / w, source is null, source rows between unbounded preceding and 1 preceding)),
+        f as (select *, (total - caps) * w / (ws - used) > cap as "full" from o), t as (select source, source_size, case when "full" then cap else (total - sum(case when "full" then cap else 0 end) over ()) * w / sum(case when "full" then 0 else w end) over () end as target from f),
+        e as (select *, case when source_size > 0 then least(floor(target / source_size), {epochs}) else 1 end as whole from t),
+        n0 as (select doc_id, q.source, size, -ln(u) / greatest(q, 1e-6) as key, source_size, target, whole, case when source_size > 0 and whole < {epochs} then target - whole * source_size else 0 end as rest from q join e on e.source is not distinct from q.source),
+        {", ".join(passes)},
+        m as (select *, {taken} as more from b{PASSES - 1}), la as (select source s, min(key) as last from m where size > 0 and rest > 0 and not coalesce(more, false) and size < 2 * left{PASSES - 1} group by source)
+        select doc_id, size::bigint as size, source_size::bigint as source_size, target, source, case when size = 0 then 0 else size * (whole::bigint + (coalesce(more, false) or coalesce(key = last, false))::bigint) end::bigint as taken from m left join la on s is not distinct from source"""
+
+
+_NEAR_SQL = rf"""with recursive v as (select row_number() over () as r, vec_id, label, embedding::double[] x from embeddings), ok as (select * from v where label is not null and x is not null and len(list_filter(x, lambda y: y is null or not isfinite(y))) = 0 and len(list_filter(x, lambda y: y <> 0)) > 0),
+    e as (select a.r a, b.r b from ok a join ok b on a.label = b.label and a.r <> b.r and list_cosine_similarity(a.x, b.x) >= 0.93), {_reach("e")},
+    named as (select id, min(vec_id) as c from (select reach.id, v.vec_id from reach join v on v.r = reach.node) group by id), n as (select a, count(*) n from e group by a)
+    select vec_id, coalesce(n.n, 0)::bigint as n_links, coalesce(c, vec_id) as component_id, vec_id = coalesce(c, vec_id) as kept from v left join named on id = v.r left join n on n.a = v.r"""
+
 ORACLES = {
+    "op6_jaccard_join": _jaccard_sql(3, 90),
+    "op7_url_filter": _url_sql(),
+    "op9_source_mixing": _mix_sql(),
+    "op10_embedding_dedup": _NEAR_SQL,
     "op2_secret_scan": _secret_sql(),
     "op3_exact_dedup": r"""
         with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents),
