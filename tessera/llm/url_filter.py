@@ -21,8 +21,11 @@ _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 DAMPING = 0.85
 THRESHOLD = 0.5
-ROUNDS = 40
-TOLERANCE = 1e-6
+#: Rounds end when no score moves by more than the tolerance, which the damping reaches in about 70; more than ROUNDS are an error.
+ROUNDS = 160
+TOLERANCE = 1e-5
+#: Rounds between two cuts of the lineage.
+STRIDE = 4
 
 
 class Rule(NamedTuple):
@@ -76,7 +79,7 @@ def spread_scores(seeds: DataFrame, links: DataFrame, damping: float = DAMPING,
     a host without links in that direction keeps what it would send. Distrust runs against the links.
     A host that keeps ends at seed + damping / (1 - damping) what comes in, one that sends at 1 - damping of
     that; held_trust and held_distrust are the former for both, never below the seed.
-    Rounds end when no score moves by more than the tolerance, or after `rounds`.
+    Rounds end when no score moves by more than the tolerance; scores that don't settle in `rounds` raise an error.
     """
     links = cut(links)
     hosts = seeds.groupBy("host").agg(F.max("trust").alias("trust0"), F.max("distrust").alias("distrust0"))
@@ -97,11 +100,15 @@ def spread_scores(seeds: DataFrame, links: DataFrame, damping: float = DAMPING,
         new = nodes.join(got, "host", "left").na.fill(0.0, ["t", "d"])
         trust = (1 - damping) * F.col("trust0") + damping * (F.col("t") + F.when(F.col("keeps_trust"), F.col("trust")).otherwise(0.0))
         distrust = (1 - damping) * F.col("distrust0") + damping * (F.col("d") + F.when(F.col("keeps_distrust"), F.col("distrust")).otherwise(0.0))
-        new = cut(new.select("host", "trust0", "distrust0", "keeps_trust", "keeps_distrust", trust.alias("trust"), distrust.alias("distrust"), F.greatest(F.abs(trust - F.col("trust")), F.abs(distrust - F.col("distrust"))).alias("moved")))
-        moved = new.agg(F.max("moved")).first()[0]
+        new = new.select("host", "trust0", "distrust0", "keeps_trust", "keeps_distrust", trust.alias("trust"), distrust.alias("distrust"), F.greatest(F.abs(trust - F.col("trust")), F.abs(distrust - F.col("distrust"))).alias("moved"))
+        if step % STRIDE == STRIDE - 1:
+            new = cut(new)
+            if new.where(F.col("moved") > tolerance).isEmpty():
+                nodes = new.drop("moved")
+                break
         nodes = new.drop("moved")
-        if moved is None or moved <= tolerance:
-            break
+    else:
+        raise RuntimeError(f"scores did not settle in {rounds} rounds")
     # rounded, so that the last bits of a sum don't part equal scores
     held = [F.round(F.greatest(F.col(f"{c}0"), F.when(F.col(f"keeps_{c}"), F.col(c)).otherwise(F.col(c) / (1 - damping))), 9).alias(f"held_{c}") for c in ("trust", "distrust")]
     return nodes.select("host", "trust", "distrust", *held)

@@ -31,7 +31,7 @@ def test_scores_equal_a_dense_solution(spark):
         out = m.sum(1)
         p = np.where(out[:, None] > 0, m / np.maximum(out, 1)[:, None], np.eye(n))
         want = np.linalg.solve(np.eye(n) - d * p.T, (1 - d) * seed)
-        assert np.allclose([got[f"h{i}"][column] for i in range(n)], want, atol=2e-2)
+        assert np.allclose([got[f"h{i}"][column] for i in range(n)], want, atol=1e-5)
 
 
 def linked_pages(spark):
