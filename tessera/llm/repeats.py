@@ -9,6 +9,9 @@ All windows of an anchor are aligned at it, so the suffix array of a batch of co
 going from right to left, each column's order and its array of longest common prefixes follow from
 those of the column before. A stack scan of the prefix array gives the interval tree; intervals
 whose occurrences differ in the byte to the left (or begin their stretch) are maximal repeats.
+
+A stretch has at most 2 * length - gram bytes, too few for the strings that polynomial hashes modulo 2 ** 64 are known to
+confuse; its content stands for its bytes within an anchor.
 """
 
 from __future__ import annotations
@@ -207,11 +210,11 @@ def _by_digest(hot: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for anchor, content, offset, n, body in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 starts = range(len(body) - length + 1)
-                digests = [int.from_bytes(hashlib.blake2b(body[s : s + length], digest_size=8).digest(), "little", signed=True) for s in starts]
+                digests = [hashlib.blake2b(body[s : s + length], digest_size=16).digest() for s in starts]
                 k = len(digests)
-                yield pa.RecordBatch.from_arrays([pa.array([anchor] * k, pa.int64()), pa.array([content] * k, pa.int64()), pa.array(starts, pa.int32()), pa.array([n] * k, pa.int64()), pa.array(digests, pa.int64())], ["anchor", "content", "low", "n", "digest"])
+                yield pa.RecordBatch.from_arrays([pa.array([anchor] * k, pa.int64()), pa.array([content] * k, pa.int64()), pa.array(starts, pa.int32()), pa.array([n] * k, pa.int64()), pa.array(digests, pa.binary())], ["anchor", "content", "low", "n", "digest"])
 
-    rows = cut(mapped(hot.select("anchor", "content", "offset", "n", "body"), windows, "anchor bigint, content bigint, low int, n bigint, digest bigint"))
+    rows = cut(mapped(hot.select("anchor", "content", "offset", "n", "body"), windows, "anchor bigint, content bigint, low int, n bigint, digest binary"))
     often = cut(rows.groupBy("anchor", "digest").agg(F.sum("n").alias("all")).where("all > 1").select("anchor", "digest"))
     met = rows.join(often, ["anchor", "digest"], "left_semi").groupBy("anchor", "content").agg(F.collect_list("low").alias("lows"))
     return met.select("anchor", "content", "lows", F.transform("lows", lambda x: x + length).alias("highs"))
