@@ -305,15 +305,16 @@ def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, see
         def flush() -> Iterator[pa.RecordBatch]:
             if not sigs:
                 return
-            sig, a = np.concatenate(sigs), np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
-            at = np.lexsort((a, sig))
-            sig, a = sig[at], a[at]
+            sig, owners = np.concatenate(sigs), np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
+            at = np.lexsort((owners, sig))
+            sig, a = sig[at], owners[at]
             heads = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
             first = np.repeat(a[heads], np.diff(np.concatenate((heads, [len(sig)]))))
             apart = a != first
             pairs = np.unique(np.stack((a[apart], first[apart])), axis=1)
-            # a posting is (signature, id, id), a pair (hash, a, b)
-            yield _longs(sig[heads], a[heads], a[heads])
+            # a posting is (signature, id, id), a pair (hash, a, b); postings of a document stay together, which compresses well
+            first_of = np.sort(at[heads])
+            yield _longs(np.concatenate(sigs)[first_of], owners[first_of], owners[first_of])
             yield _longs(mix(pairs[0].astype(np.uint64) ^ mix(pairs[1].astype(np.uint64))), np.ascontiguousarray(pairs[0]), np.ascontiguousarray(pairs[1]))
             sigs.clear()
             ids.clear()
