@@ -25,11 +25,13 @@ from .common import mapped
 #: How byte-level tokenizers cut text before merging (a fixed value of the vocabulary's format).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK_IDS = 65_536
-CACHE_PIECES = 200_000
+CACHE_PIECES = 400_000
 CACHE_CHARS = 64
 LITTLE = np.dtype("<u4")
-#: Bytes of text that a shard holds, about; the number of shards follows from the data.
-SHARD_BYTES = 16 << 20
+#: Bytes of text that a shard holds, about, so that the number of shards follows from the data; with so many shards they grow
+#: instead, as the driver holds their borders. A shard is written and read in constant memory.
+SHARD_BYTES = 8 << 20
+MOST_SHARDS = 50_000
 #: A document in a block: its number and first id in the shard, its ids in all, and how many stand in the block.
 _PIECES = "array<struct<doc_id: bigint, number: bigint, start: bigint, size: bigint, n: bigint>>"
 _SCHEMA = f"shard int, block int, first bigint, n_ids bigint, planes array<binary>, pieces {_PIECES}"
@@ -79,23 +81,24 @@ def json_tokenizer(path: str) -> JsonTokenizer:
 
 def to_planes(ids: np.ndarray, unit: str = "bit") -> list[bytes]:
     """Planes of a block of 32-bit ids, lowest first; planes above the highest that is used are left out."""
-    raw = ids.astype(LITTLE).view(np.uint8).reshape(-1, 4)
-    used = (int(ids.max(initial=0)).bit_length() + 7) // 8
-    if unit == "byte":
-        return [np.ascontiguousarray(raw[:, i]).tobytes() for i in range(used)]
     bits = int(ids.max(initial=0)).bit_length()
-    return [np.packbits((raw[:, i // 8] >> (i % 8)) & 1, bitorder="little").tobytes() for i in range(bits)]
+    raw = np.ascontiguousarray(ids.astype(LITTLE).view(np.uint8).reshape(-1, 4)[:, : (bits + 7) // 8].T)
+    if unit == "byte":
+        return [column.tobytes() for column in raw]
+    return [np.packbits(raw[i // 8] & np.uint8(1 << i % 8), bitorder="little").tobytes() for i in range(bits)]
 
 
-def from_planes(planes: list[bytes], n: int, unit: str = "bit") -> np.ndarray:
-    raw = np.zeros((n, 4), np.uint8)
+def from_planes(planes: list[bytes], n: int, unit: str = "bit", first: int = 0) -> np.ndarray:
+    """The n ids from the `first` on; only their part of the planes is gone through."""
+    raw = np.zeros((4, n), np.uint8)
+    low = first // 8
     for i, plane in enumerate(planes):
-        part = np.frombuffer(plane, np.uint8)
         if unit == "byte":
-            raw[:, i] = part
-        else:
-            raw[:, i // 8] |= np.unpackbits(part, count=n, bitorder="little") << (i % 8)
-    return raw.reshape(-1).view(LITTLE)
+            raw[i] = np.frombuffer(plane, np.uint8)[first : first + n]
+            continue
+        part = np.frombuffer(plane, np.uint8)[low : (first + n + 7) // 8]
+        raw[i // 8] |= np.unpackbits(part, bitorder="little")[first - 8 * low : first - 8 * low + n] << np.uint8(i % 8)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(LITTLE)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None, shards: int | None = None, block_ids: int = BLOCK_IDS, unit: str = "bit", level: int = 1) -> None:
@@ -104,7 +107,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
     Documents are in ascending doc_id order, null ids first, repeated ids in the order of their id
     bytes; null texts count as empty. `end_id`, if given, ends each document. An empty table gives an empty store.
     """
-    n = shards or max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES))
+    n = shards or min(MOST_SHARDS, max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES)))
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
     bounds = np.unique(np.array(ids.na.drop().approxQuantile("doc_id", [i / n for i in range(1, n)], max(1 / (20 * n), 1e-6)) if n > 1 else [], np.float64))
     tail = np.array([] if end_id is None else [end_id], LITTLE).tobytes()
@@ -219,10 +222,14 @@ def read_tokens(spark: SparkSession, path: str, unit: str = "bit") -> DataFrame:
                     mine = [p for p in pieces if (p["n"] == p["size"]) is whole]
                     if not mine:
                         continue
-                    raw = memoryview(from_planes([expand(p) for p in planes], n, unit).tobytes())
-                    begin = [max(first, p["start"]) for p in mine]
-                    ids = [bytes(raw[4 * (b - first) : 4 * (b - first + p["n"])]) for b, p in zip(begin, mine, strict=True)]
-                    columns = [[shard] * len(mine), [p["number"] for p in mine], [b - p["start"] for b, p in zip(begin, mine, strict=True)], [p["doc_id"] for p in mine], [base[shard] + p["start"] for p in mine], [p["size"] for p in mine]]
+                    expanded = [expand(p) for p in planes]
+                    begin = [max(first, p["start"]) - first for p in mine]
+                    if whole:
+                        raw = memoryview(from_planes(expanded, n, unit).tobytes())
+                        ids = [bytes(raw[4 * b : 4 * (b + p["n"])]) for b, p in zip(begin, mine, strict=True)]
+                    else:  # the ends of a block
+                        ids = [from_planes(expanded, p["n"], unit, b).tobytes() for b, p in zip(begin, mine, strict=True)]
+                    columns = [[shard] * len(mine), [p["number"] for p in mine], [first + b - p["start"] for b, p in zip(begin, mine, strict=True)], [p["doc_id"] for p in mine], [base[shard] + p["start"] for p in mine], [p["size"] for p in mine]]
                     yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(ids, pa.binary())], ["shard", "number", "part", "doc_id", "start", "n_ids", "ids"])
 
         stored = spark.read.schema(_SCHEMA).parquet(path).select("shard", "first", "n_ids", "planes", "pieces")
