@@ -143,6 +143,16 @@ def _plain(begins: str, number: str, header: str, keep_head: bool) -> str:
 
 
 ORACLES = {
+    "lenient_text": "select doc_id, sha256(replace(text, chr(65533), '')) as text_sha256 from documents",
+    "book_agreement": f"""with g as (select source, row_number() over (partition by source order by documents.doc_id) - 1 as num, d.w from documents join {_DOC_WORDS} d using (doc_id)),
+        m as (select b.source, u.w, g.w as v, len(list_intersect(u.w, g.w)) i, len(u.w) n from {_ITEM_WORDS} u cross join (select distinct source from documents) b left join g on g.source = b.source and g.num = u.item_id where u.item_id < 1500),
+        k as (select *, v is not null as known, i >= 4 or (n > 0 and i / n >= 0.2) or (i >= 3 and n >= 15) as same from m)
+        select source as book_id, count(*) filter (known and same) as agree, count(*) filter (known and not same) as disagree, count(*) filter (not known) as missing from k group by source""",
+    "fill_order": """with n as (select o_orderkey num from orders), us as (select p_partkey num from part where p_size >= 40), e as (select l_orderkey src, l_partkey dst, l_linenumber pos from lineitem where l_linenumber <= 2),
+        al as (select num, num target, 0 p from n where num in (select num from us) union all select num, num + 1, 1 from n where num + 1 in (select num from us)
+        union all (select num, dst, 2 from (select n.num, dst, row_number() over (partition by n.num order by pos, dst) k from n join e on n.num = e.src where dst in (select num from us)) where k = 1)
+        union all (select num, min(src), 3 from n join e on n.num = e.dst where src in (select num from us) group by num) union all select num, 0, 4 from n where num % 3 = 0)
+        select num, target, priority from (select num, target, p::int as priority, row_number() over (partition by num order by p) k from al) where k = 1""",
     "number_parsers": f"""select ix, {_number('s', P.NUMBER_PREFIX)} as number, {_REST} as rest, {_number('s', P.UNIT_MARKER)} as marker, {_bracket('text')} as bracket, {_HEADER_NUMBER} as header, {_FORMULA} as formula,
         {_starts('s', P.NARRATION_STARTS)} as narration, {_starts('s', _CHAPTER)} as chapter, regexp_matches(s, {_pattern(P.CHAPTER_TITLE)}) and length(s) > 3 and length(s) < 90 as title from {_LINES}""",
     "commentary_texts": f"""select ix, {_strip(f"regexp_replace(regexp_replace(array_to_string(list_filter(parts, lambda x: {_strip('x')} <> ''), chr(10) || chr(10)), {_pattern(P.LEAD_MARKER)}, ''), {_pattern(P.RULE_LINE)}, chr(10) || chr(10), 'g')")} as text,

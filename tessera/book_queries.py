@@ -69,6 +69,12 @@ def base_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.join(chapters.select("book_id", "chapter_id", "title"), ["book_id", "chapter_id"], "left").select("book_id", "unit_ix", "num", "chapter_id", "text", "title")
 
 
+def lenient_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' bytes between two that no text has."""
+    broken = F.concat(F.unhex(F.lit("FF")), F.col("text").cast("binary"), F.unhex(F.lit("C3")))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(sources.lenient_utf8(broken), 256).alias("text_sha256"))
+
+
 # ---- cutting -------------------------------------------------------------------------------------
 
 
@@ -134,6 +140,26 @@ def direct_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select(F.col("num").alias("item_id"), F.col("key").alias("doc_id"), "offset", "score")
 
 
+def book_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the benchmark's numbers agree with the places of each source's documents."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("bigint").alias("num"), T.content_words(F.col("text")).alias("words"))
+    items = _words(spark, sf_dir, "benchmark", "item_id", "unit_ix").withColumn("num", F.col("unit_ix"))
+    # every unit counts in every book: twenty books at any size
+    return align.agreement(items.crossJoin(docs.select("book_id").distinct()), docs, by=["book_id"])
+
+
+def fill_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders filled from five sources in turn: the part of their number, of the next one, listed parts, listing orders, any part."""
+    numbers = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("num"))
+    usable = _table(spark, sf_dir, "part").where("p_size >= 40").select(F.col("p_partkey").alias("num"))
+    edges = _table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_linenumber").alias("pos"), F.col("l_orderkey").alias("src_ix"))
+    own = lookup.among(numbers, usable, ["num"]).withColumn("target", F.col("num"))
+    following = numbers.withColumn("target", F.col("num") + 1).join(usable.withColumnRenamed("num", "target"), "target", "left_semi").select("num", "target")
+    listed, listing = lookup.forward_reference(numbers, edges, usable), lookup.reverse_reference(numbers, edges, usable)
+    rest = numbers.where("num % 3 = 0").withColumn("target", F.lit(0).cast("bigint"))
+    return lookup.by_priority([own, following, listed, listing, rest], ["num"]).select("num", "target", "priority")
+
+
 def anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each source is a book of pages, the benchmark items are its units, in chapters of twenty that may be anywhere."""
     docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("bigint").alias("page_ix"), T.content_words(F.col("text")).alias("words"))
@@ -169,5 +195,5 @@ def gate_unit_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.numbering(units, expected).select("slug", "n", "n_short", "max_num", "n_inversions", "ok")
 
 
-_ALL = (number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
+_ALL = (lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
 QUERIES = {f.__name__: f for f in _ALL}
