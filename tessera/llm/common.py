@@ -88,6 +88,10 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Edges that one task contracts at most: some tens of megabytes.
+ONE_TASK_EDGES = 200_000
+
+
 def contract(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with the same components: each partition's become a star for each of its own components.
 
@@ -123,17 +127,19 @@ def contract(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """Connected components of an edge list: (id, component), the component being its smallest id.
 
-    Edges are contracted within their partitions first. Then minimum labels travel along the edges and labels jump to their label's label, so a chain of n
+    Edges are contracted within their partitions first. If few are left by count, one task contracts the rest, with the same
+    result. Else minimum labels travel along the edges and labels jump to their label's label, so a chain of n
     nodes needs about log n rounds. Joins have one row per id on one side, which leaves AQE free to
     split a hot id on the other. Nodes are those that occur in an edge; a null end is ignored.
     An edge list that doesn't settle in `rounds` rounds raises an error.
     """
     both = edges.select(F.col(a).cast("bigint").alias("u"), F.col(b).cast("bigint").alias("v")).where("u is not null and v is not null and u <> v")
-    both = contract(contract(both).repartition(spread(edges), "v"))
-    both = cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    both = cut(contract(contract(both).repartition(spread(edges), "v")).distinct())
+    if both.count() <= ONE_TASK_EDGES:
+        stars = cut(contract(both.repartition(1)))
+        return stars.select(F.col("v").alias("id"), F.col("u").alias("component")).unionByName(stars.select(F.col("u").alias("id"), F.col("u").alias("component")).distinct())
+    both = cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))))
     labels = cut(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("l")))
-    if both.isEmpty():
-        return labels.select(F.col("u").alias("id"), F.col("l").alias("component"))
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("l").alias("m"))
         low = labels.join(near, "u").select("u", F.least("l", "m").alias("m"), F.col("l").alias("was"))

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.llm import jaccard_join
+from tessera.llm import common, jaccard_join
 from tessera.llm.jaccard_join import jaccard_components, keep_one_per_component
 from tessera.llm.repeats import intervals, maximal_repeats, remove_repeats
 
@@ -64,6 +64,15 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert got(jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 90)) == brute_components(rows, 3, 90)
 
 
+@pytest.mark.parametrize("least", [0, 200_000])
+def test_components_of_chains_and_stars(spark, monkeypatch, least):
+    monkeypatch.setattr(common, "ONE_TASK_EDGES", least)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, k) for k in range(200, 230)] + [(300, 300), (None, 5), (401, 400), (402, 401)]
+    found = {r.id: r.component for r in common.components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(7)).collect()}
+    assert found == {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys([7, *range(200, 230)], 7), **dict.fromkeys([400, 401, 402], 400)}
+    assert common.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 def test_stage_keeps_the_smallest(documents, odd):
     kept = {r.doc_id for r in keep_one_per_component(documents).collect()}
     assert kept == {int(x.split(",")[0][1:]) for x in brute_components([(r.doc_id, r.text) for r in documents.collect()], 5, 80) if x.split(",")[0][1:] == x.rstrip(")").split(", ")[2]}
