@@ -97,6 +97,27 @@ def test_links_equal_brute_force(spark, sf_dir):
     assert near_vectors(kept).count() == kept.count()
 
 
+def test_recall_of_the_default_on_planted_vectors(spark):
+    rng = np.random.default_rng(8)
+    rows, label = [], []
+    for k in range(1_200):
+        x = rng.normal(size=64)
+        x /= np.linalg.norm(x)
+        rows.append(x)
+        for _ in range(int(rng.integers(0, 3))):  # turned away at random, across the threshold
+            away = rng.normal(size=64)
+            away -= (away @ x) * x
+            c = rng.uniform(0.9, 1)
+            rows.append(c * x + np.sqrt(1 - c * c) * away / np.linalg.norm(away))
+        label += [k % 4] * (len(rows) - len(label))
+    unit, label = np.array(rows), np.array(label)
+    near = (unit @ unit.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    vectors = spark.createDataFrame([(i, [float(y) for y in x], int(label[i])) for i, x in enumerate(unit)], "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in near_vectors(vectors).collect()}
+    assert all(got[i] <= n for i, n in enumerate(near.sum(1))) and sum(got.values()) >= 0.99 * near.sum() > 100
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
