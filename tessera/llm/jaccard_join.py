@@ -35,7 +35,7 @@ FREQUENT = 50_000
 COUNT_CHUNK = 1_000_000
 TEXT_CHUNK = 1 << 20
 #: Signatures that a task combines before it sends them on.
-COMBINE = 1_000_000
+COMBINE = 500_000
 #: Partners of one class that a task compares with it; more are shared out over tasks.
 SHARE = 256
 #: Classes on a side of a block, and n-grams in a matrix of it.
