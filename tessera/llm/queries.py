@@ -10,9 +10,11 @@ from .bpe import token_digests
 from .common import Scratch, cut
 from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
+from .filter_audit import audit
 from .jaccard_join import jaccard_components
 from .language_id import identify
 from .mixing import PASSES, mix_sources
+from .pieces import piece_digests
 from .repeats import remove_repeats
 from .secrets import secret_report
 from .token_store import read_tokens, write_tokens
@@ -72,7 +74,15 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op4_repeat_removal, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup)}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op4_repeat_removal, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup, op12_filter_audit, op13_sentence_pieces)}
 
 #: Kinds as in the scan, in patterns that RE2 reads alike: kind, pattern, least characters, group, base.
 _SECRETS = (
@@ -160,7 +170,21 @@ _NEAR_SQL = rf"""with recursive v as (select row_number() over () as r, vec_id,
     named as (select id, min(vec_id) as c from (select reach.id, v.vec_id from reach join v on v.r = reach.node) group by id), n as (select a, count(*) n from e group by a)
     select vec_id, coalesce(n.n, 0)::bigint as n_links, coalesce(c, vec_id) as component_id, vec_id = coalesce(c, vec_id) as kept from v left join named on id = v.r left join n on n.a = v.r"""
 
+#: Documents by the set of filters that they fail, then every step of every order over those sums.
+_AUDIT_SQL = rf"""with l as (select doc_id, coalesce(bool_or(quality = 1), false) good, coalesce(bool_or(toxic = 1), false) toxic from labels group by doc_id),
+    d as (select doc_id, coalesce(lang, '') part, coalesce(text, '') t from documents), w as (select *, regexp_extract_all(t, '{_SPACE}') w, min(doc_id) over (partition by t) lowest from d),
+    m as (select part, coalesce(good, false) good, coalesce(toxic, false) toxic, (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::int
+        + 8 * regexp_matches(t, '[#$%&*|]')::int + 16 * coalesce(lowest < w.doc_id, false)::int as m from w left join l on l.doc_id = w.doc_id),
+    g as (select part, m, count(*) n, count(*) filter (good) good, count(*) filter (toxic) toxic from m group by part, m),
+    x as (select unnest(['A', 'B', 'C', 'D', 'E']) x), o as (select a.x || b.x || c.x || d.x || e.x as o from x a, x b, x c, x d, x e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s as (select o, step, 1 << (ascii(o[step]) - 65) as f, list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(o[i]) - 65)))::int as p from o, (select unnest(range(1, 6)) step)),
+    c as (select part, o as filter_order, step::int as step, f, coalesce(p, 0) p, sum(n) filter (m & (f | coalesce(p, 0)) = 0) kept, sum(n) filter (m & f > 0 and m & coalesce(p, 0) = 0) removed, sum(n) filter (m & f > 0 and m & coalesce(p, 0) > 0) redundant,
+        sum(n) filter (m = f) alone, sum(good) filter (m & f > 0 and m & coalesce(p, 0) = 0) good_lost, sum(toxic) filter (m & f > 0 and m & coalesce(p, 0) = 0) toxic_lost from g, s group by all)
+    select part, filter_order, step, coalesce(kept, 0)::bigint kept, coalesce(removed, 0)::bigint removed, coalesce(redundant, 0)::bigint redundant, coalesce(alone, 0)::bigint unique_fails, coalesce(good_lost, 0)::bigint good_lost, coalesce(toxic_lost, 0)::bigint toxic_lost,
+        sum(coalesce(removed, 0)) over (partition by part, f)::bigint shapley from c"""
+
 ORACLES = {
+    "op12_filter_audit": _AUDIT_SQL,
     "op6_jaccard_join": _jaccard_sql(3, 90),
     "op7_url_filter": _url_sql(),
     "op9_source_mixing": _mix_sql(),
