@@ -11,6 +11,7 @@ from .common import Scratch, cut
 from .embedding_dedup import near_vectors
 from .exact_dedup import exact_groups
 from .filter_audit import audit
+from .hard_negatives import mine_negatives
 from .jaccard_join import jaccard_components
 from .language_id import identify
 from .mixing import PASSES, mix_sources
@@ -74,6 +75,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
 
@@ -82,7 +88,7 @@ def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op4_repeat_removal, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup, op12_filter_audit, op13_sentence_pieces)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_exact_dedup, op4_repeat_removal, op5_bpe_codec, op6_jaccard_join, op7_url_filter, op8_token_planes, op9_source_mixing, op10_embedding_dedup, op11_hard_negatives, op12_filter_audit, op13_sentence_pieces)}
 
 #: Kinds as in the scan, in patterns that RE2 reads alike: kind, pattern, least characters, group, base.
 _SECRETS = (
@@ -170,6 +176,13 @@ _NEAR_SQL = rf"""with recursive v as (select row_number() over () as r, vec_id,
     named as (select id, min(vec_id) as c from (select reach.id, v.vec_id from reach join v on v.r = reach.node) group by id), n as (select a, count(*) n from e group by a)
     select vec_id, coalesce(n.n, 0)::bigint as n_links, coalesce(c, vec_id) as component_id, vec_id = coalesce(c, vec_id) as kept from v left join named on id = v.r left join n on n.a = v.r"""
 
+_NEGATIVES_SQL = """with v as (select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as l, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (select a.r, a.vec_id as anchor_id, b.vec_id, a.l = b.l as same, list_inner_product(a.q, b.q)::bigint as score from v a join v b on a.vec_id % 100 = 0 and a.r <> b.r),
+    p as (select *, row_number() over (partition by r order by score desc, vec_id) as k from s where same qualify k <= 5)
+    select p.anchor_id, p.vec_id as positive_id, (row_number() over (partition by p.r, p.k order by s.score desc, s.vec_id))::int as rank, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score
+        from p join s on s.r = p.r and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score qualify rank <= 5"""
+
 #: Documents by the set of filters that they fail, then every step of every order over those sums.
 _AUDIT_SQL = rf"""with l as (select doc_id, coalesce(bool_or(quality = 1), false) good, coalesce(bool_or(toxic = 1), false) toxic from labels group by doc_id),
     d as (select doc_id, coalesce(lang, '') part, coalesce(text, '') t from documents), w as (select *, regexp_extract_all(t, '{_SPACE}') w, min(doc_id) over (partition by t) lowest from d),
@@ -184,6 +197,7 @@ _AUDIT_SQL = rf"""with l as (select doc_id, coalesce(bool_or(quality = 1), false
         sum(coalesce(removed, 0)) over (partition by part, f)::bigint shapley from c"""
 
 ORACLES = {
+    "op11_hard_negatives": _NEGATIVES_SQL,
     "op12_filter_audit": _AUDIT_SQL,
     "op6_jaccard_join": _jaccard_sql(3, 90),
     "op7_url_filter": _url_sql(),
