@@ -68,7 +68,10 @@ _REVERSE = "rv as (select num, min(src) target from n join e on n.num = e.dst wh
 _SEARCH_TAIL = _marks(P.GLUED_TAIL).replace("(?d)", "").replace("'", "''")
 _TAIL_N = f"(select count(*) n from documents where regexp_matches(regexp_replace(text, '{_WS}+$', ''), '{_SEARCH_TAIL}') and length({_gate('text')}) > 80)"
 _STRAY_N = rf"(select count(*) n from documents where regexp_matches(text, '{P.STRAY_PREFIX}'))"
-_FRAGS = f"(select item_id, substr({_gate('text')}, 5, 60) f from benchmark)"
+#: All passages of 60 characters of each item, a shorter item as one, and all pieces of that length of each document.
+_PASSAGES = f"""b as (select item_id, {_gate('text')} form from benchmark), d as (select doc_id, {_gate('text')} form from documents),
+    f as (select distinct item_id, substr(form, i, 60) f from (select item_id, form, unnest(range(1, greatest(length(form) - 58, 2))) i from b) where length(substr(form, i, 60)) >= 18),
+    w as (select doc_id, substr(form, i, 60) f from (select doc_id, form, unnest(range(1, length(form) - 58)) i from d))"""
 _ENTRIES = "(select source, doc_id::int num, text from documents where doc_id in (select doc_id from labels where quality = 1))"
 
 _WINDOW_UNITS = f"""g as (select source, row_number() over (partition by source order by doc_id) - 1 as seg_ix, w from (select source, doc_id, {_words('text')} w from documents)),
@@ -145,7 +148,7 @@ ORACLES = {
         f as (select user_id, k, event_id, n, forced, (forced or (abs(n) <= 20 and n >= -5)) ok, case when forced or (abs(n) <= 20 and n >= -5) then n else 0 end as last from e where k = 1
         union all select e.user_id, e.k, e.event_id, e.n, e.forced, (e.forced or (abs(e.n - f.last) <= 20 and e.n >= f.last - 5)), case when e.forced or (abs(e.n - f.last) <= 20 and e.n >= f.last - 5) then e.n else f.last end from f join e on e.user_id = f.user_id and e.k = f.k + 1)
         select user_id, event_id, n, forced from f where ok""",
-    "mega_segments": f"select doc_id, 0::int as n_head, case when length(replace(text, chr(10), '')) > 5000 then 0 else len({_words("' ' || substr(replace(text, chr(10), ' '), 1, 500)")}) end::int as n_body from documents",
+    "mega_segments": f"select doc_id, 0::int as n_head, case when length(replace(text, chr(10), '')) > 60000 then 0 else len({_words("' ' || substr(replace(text, chr(10), ' '), 1, 2000)")}) end::int as n_body from documents",
     "first_wins": "select source, lang, doc_id, n_chars from (select *, row_number() over (partition by source, lang order by doc_id) k from documents) where k = 1",
     "direct_map": "select d.doc_id as num, source, quality, toxic from documents d join (select *, row_number() over (partition by doc_id order by quality) k from labels) l on d.doc_id = l.doc_id and k = 1",
     "missing_anti": "select doc_id, source from documents where doc_id not in (select doc_id from labels)",
@@ -160,7 +163,7 @@ ORACLES = {
     "overlap_best_second": f'with {_SCORES} select item_id, doc_id, best, "second", best - "second" as margin from top',
     "overlap_global": f"""with {_SCORES}, z as (select top.*, len(w)::int n_words from top join {_ITEM_WORDS} using (item_id))
         select item_id, doc_id, best, n_words from z where (best >= 5 and best / greatest(1, n_words) >= 0.5) or (best >= 8 and best / greatest(1, n_words) >= 0.35) or (best >= 4 and best / greatest(1, n_words) >= 0.65)""",
-    "title_match": f"""with u as (select item_id, unnest({_words('text[1:80]', 1, ['the'])}) word from benchmark), s as (select doc_id, unnest({_words('string_split(text, chr(10))[1]', 1, ['the'])}) word from documents),
+    "title_match": f"""with u as (select item_id, unnest({_words('text', 1, ['the'])}) word from benchmark), s as (select doc_id, unnest({_words('string_split(text, chr(10))[1]', 1, ['the'])}) word from documents),
         sc as (select item_id, doc_id, count(*) best from u join s using (word) group by all)
         select item_id, doc_id, best from (select *, row_number() over (partition by item_id order by best desc, doc_id) k from sc) where k = 1""",
     "number_agreement": f"""with m as (select u.item_id, u.w, d.doc_id, len(list_intersect(u.w, d.w)) i, len(u.w) n from {_ITEM_WORDS} u left join {_DOC_WORDS} d on u.item_id = d.doc_id where u.item_id < 1500)
@@ -186,8 +189,11 @@ ORACLES = {
     "gate_range": """with u as (select case when o_orderstatus = 'F' then 'A' when o_orderstatus = 'O' then 'N' else 'X' end slug, max(o_orderkey // 100) m from orders group by 1)
         select slug, count(*) n, min(l_partkey) least from lineitem join u on slug = l_returnflag where l_partkey > m group by slug""",
     "gate_overall": f"select 2::bigint as n_checks, ((a.n > 0)::int + (b.n > 8)::int)::bigint as n_failed, a.n = 0 and b.n <= 8 as ok from {_STRAY_N} a, {_TAIL_N} b",
-    "containment_own": f"select distinct item_id as num from {_FRAGS} join benchmark using (item_id) where contains({_gate('text')}, f)",
-    "containment_foreign": f"select distinct item_id, doc_id from {_FRAGS} join (select doc_id, {_gate('text')} form from documents) on contains(form, f) where length(f) >= 18 and item_id <> doc_id",
+    "containment_own": f"""with b as ({_BODIES}), t as (select page_id, string_agg({_gate(_clean("body"))}, ' ' order by para_ix) form from b group by page_id),
+        h as (select page_id, {_gate(_clean("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"))} f from pages)
+        select page_id as num from h join t using (page_id) where length(f) >= 18 and contains(form, f)""",
+    "containment_foreign": f"""with {_PASSAGES} select distinct item_id, doc_id from f join w using (f) where item_id <> doc_id
+        union select distinct item_id, doc_id from f join d on contains(form, f) where length(f) < 60 and item_id <> doc_id""",
     "package_entries": f"select source, count(*)::int n_entries, sha256(string_agg(num || ':' || text, chr(10) order by num, text)) entries_sha256 from {_ENTRIES} group by source",
     "package_coverage": f"select source, count(*) n_entries, sum(length(text))::bigint n_chars from {_ENTRIES} group by source",
     "book_global": f"""with g as (select doc_id * 1000000 + seg_ix seg_ix, string_agg(line, chr(10) order by line_ix) as text from ({_ISLANDS}) where seg_ix > 0 group by doc_id, seg_ix),

@@ -315,9 +315,12 @@ def _doc_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def containment_own(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items a passage of which is in the document of the same number."""
-    passages = _fragments(spark, sf_dir).withColumn("fragments", F.filter("fragments", lambda f: F.length(f) >= 18))
-    return gate.contained_in_own(passages, _doc_forms(spark, sf_dir))
+    """Pages whose article holds their own title."""
+    held = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("num"), "html")
+    title = T.gate_form(pages.clean(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1), P.ARTICLE_PAGES.entities))
+    titles = held.select("num", F.filter(F.array(title), lambda f: F.length(f) >= 18).alias("fragments"))
+    body = F.transform(pages.raw_paragraphs(F.col("html"), P.ARTICLE_PAGES), lambda p: T.gate_form(pages.clean(p, P.ARTICLE_PAGES.entities)))
+    return gate.contained_in_own(titles, held.select("num", F.array_join(body, " ").alias("form")))
 
 
 def containment_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
