@@ -185,7 +185,7 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlap_best_second(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = align.best_and_second(align.overlap(_units(spark, sf_dir), _segments(spark, sf_dir)), ["unit_ix"])
+    found = align.top_two(_units(spark, sf_dir), _segments(spark, sf_dir))
     return found.select(F.col("unit_ix").alias("item_id"), F.col("seg_ix").alias("doc_id"), "best", "second", (F.col("best") - F.col("second")).alias("margin"))
 
 
