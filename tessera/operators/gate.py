@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import profiles as P
 from ..functions import text as T
-
-#: Pieces that are sent to the units at most: some megabytes.
-MOST_PIECES = 200_000
+from ..storage import cut, small
 
 
 def _row(check: str, scope: Column | str, metric: Column, threshold: Column, ok: Column) -> list[Column]:
@@ -81,54 +74,41 @@ def contained_in_own(entries: DataFrame, units: DataFrame) -> DataFrame:
     return met.where(F.exists("fragments", lambda f: F.contains(F.col("form"), f))).select("num").distinct()
 
 
-def contained_elsewhere(fragments: DataFrame, units: DataFrame, key: str = "num", head: int = 18, most_pieces: int = MOST_PIECES) -> DataFrame:
+def _grid(least: int) -> tuple[int, int]:
+    """Characters of a piece, and how far apart a text's pieces stand so that whatever shares `least` characters with it shares one."""
+    piece = max(1, min(least, max(12, least // 2)))
+    return piece, least - piece + 1
+
+
+def grid_pieces(form: Column, least: int = 18) -> Column:
+    """Hashes of a text's pieces on a grid: any `least` characters of it hold one of them whole."""
+    piece, apart = _grid(least)
+    return F.transform(F.regexp_extract_all(form, F.lit(f"(?s)(?=(.{{{piece}}})).{{1,{apart}}}"), 1), lambda p: F.xxhash64(p))
+
+
+def first_pieces(fragment: Column, least: int = 18) -> Column:
+    """Hashes of a fragment's pieces from each of its first characters; wherever it stands, one of them is on the grid."""
+    piece, apart = _grid(least)
+    return F.transform(F.sequence(F.lit(1), F.lit(apart)), lambda i: F.xxhash64(F.substr(fragment, i, F.lit(piece))))
+
+
+def contained_elsewhere(fragments: DataFrame, units: DataFrame, key: str = "num", least: int = 18) -> DataFrame:
     """(key, fragment, other): fragments (key, fragment) that are a substring of a unit (key, form) with another key.
 
-    Every fragment has at least `head` characters, so it is met through its first `head` characters among the units' pieces of that
-    length, by an equi-join, and verified. No pair is missed, and none is formed without a common piece. Up to
-    `most_pieces` different heads are sent to the units, of which only pieces that are wanted leave; more are joined with all pieces.
+    Fragments have at least `least` characters; shorter ones aren't looked for. Units are sampled on a grid so fine that each fragment in them
+    shares a piece, by which the two meet; only pieces that some fragment has are moved. What meets is verified, and a unit's
+    text is moved once for each key that may have a fragment in it.
     """
-    heads = fragments.select(F.col(key).alias("__k"), "fragment", F.substring("fragment", 1, head).alias("piece")).where(F.length("fragment") >= head)
-    long = units.where(F.length("form") >= head).select(F.col(key).alias("other"), "form")
-    wanted = heads.select("piece").distinct()
-    few = wanted.limit(most_pieces + 1).collect()
-    if len(few) <= most_pieces:
-        pieces = _wanted_pieces(long, {r["piece"] for r in few}, head)
-    else:
-        pieces = long.select("other", F.explode(F.array_distinct(F.regexp_extract_all("form", F.lit(f"(?s)(?=(.{{{head}}}))"), 1))).alias("piece")).join(wanted, "piece", "left_semi")
-    found = pieces.join(heads, "piece").where(F.col("__k") != F.col("other"))
-    return found.join(long, "other").where(F.contains("form", F.col("fragment"))).select(F.col("__k").alias(key), "fragment", "other").distinct()
-
-
-def _rolling(text: str, size: int) -> np.ndarray:
-    """A hash of every substring of `size` characters, in order."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    out = np.zeros(max(0, len(codes) - size + 1), np.uint64)
-    for i in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + len(out)]
-    return out ^ (out >> np.uint64(29))
-
-
-def _wanted_pieces(units: DataFrame, wanted: set[str], size: int) -> DataFrame:
-    """(other, piece): which of the wanted pieces each unit (other, form) holds."""
-    sent = units.sparkSession.sparkContext.broadcast(wanted)
-    schema = StructType([units.schema["other"], StructField("piece", StringType())])
-    arrow = to_arrow_schema(schema)
-
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = sent.value
-        hashes = np.sort(np.concatenate([_rolling(p, size) for p in pieces])) if pieces else np.zeros(0, np.uint64)
-        for batch in batches:
-            out = []
-            for other, form in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = form.as_py()
-                own = _rolling(text, size)
-                at = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
-                hits = np.flatnonzero(hashes[at] == own) if len(hashes) else ()
-                out += [{"other": other, "piece": p} for p in {text[i : i + size] for i in hits} & pieces]
-            yield pa.RecordBatch.from_pylist(out, schema=arrow)
-
-    return units.select("other", "form").mapInArrow(find, schema)
+    asked = fragments.select(F.col(key).alias("__k"), "fragment").where(F.length("fragment") >= least).distinct()
+    asked = cut(asked.select("__k", "fragment", F.explode(F.array_distinct(first_pieces(F.col("fragment"), least))).alias("piece")))
+    wanted = small(cut(asked.select("piece").distinct()))
+    long = units.where(F.length("form") >= least).select(F.col(key).alias("other"), "form")
+    held = long.select("other", F.explode(grid_pieces(F.col("form"), least)).alias("piece")).join(wanted, "piece", "left_semi").distinct()
+    met = asked.join(held, "piece").where(F.col("__k") != F.col("other"))
+    met = cut(met.groupBy("__k", "other").agg(F.collect_set("fragment").alias("fragments")))
+    few = long.join(small(cut(met.select("other").distinct())), "other", "left_semi")
+    found = met.join(few, "other").select("__k", "other", F.explode(F.filter("fragments", lambda f: F.contains(F.col("form"), f))).alias("fragment"))
+    return found.select(F.col("__k").alias(key), "fragment", "other").distinct()
 
 
 def pairing(entries: DataFrame, units: DataFrame, least_rate: float = 0.85, most_wrong: float = 0.05) -> DataFrame:

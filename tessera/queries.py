@@ -326,8 +326,7 @@ def containment_own(spark: SparkSession, sf_dir: str) -> DataFrame:
 def containment_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items a passage of which is in a document of another number."""
     passages = _fragments(spark, sf_dir).select("num", F.explode("fragments").alias("fragment"))
-    # whole passages are met through all their characters, as their heads alone may be in very many documents
-    found = gate.contained_elsewhere(passages, _doc_forms(spark, sf_dir), head=PASSAGE)
+    found = gate.contained_elsewhere(passages, _doc_forms(spark, sf_dir), least=PASSAGE)
     shorter = passages.where(F.length("fragment") < PASSAGE)
     if not shorter.isEmpty():
         found = found.unionByName(gate.contained_elsewhere(shorter, _doc_forms(spark, sf_dir)))
