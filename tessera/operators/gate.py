@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import profiles as P
 from ..functions import text as T
 from ..storage import cut, small
+from .passes import previous
 
 
 def _row(check: str, scope: Column | str, metric: Column, threshold: Column, ok: Column) -> list[Column]:
@@ -22,7 +23,7 @@ def numbering(units: DataFrame, expected: DataFrame, least: int = 10) -> DataFra
 
     units (slug, unit_ix, num, text), expected (slug, canon_max, tolerance, unordered). Returns the counts and ok.
     """
-    down = units.withColumn("down", (F.lag("num").over(Window.partitionBy("slug").orderBy("unit_ix")) > F.col("num")))
+    down = previous(units, ["slug"], ["unit_ix"], "num", "before").withColumn("down", F.col("before") > F.col("num"))
     counted = down.groupBy("slug").agg(F.count("*").alias("n"), F.count_if(F.length(T.gate_form(F.coalesce("text", F.lit("")))) < least).alias("n_short"), F.max("num").alias("max_num"), F.count_if("down").alias("n_inversions"))
     ok = (F.col("n_short") == 0) & (F.col("max_num") == F.col("canon_max")) & (F.col("n") >= F.col("canon_max") - F.col("tolerance")) & ((F.col("n_inversions") == 0) | F.col("unordered"))
     return counted.join(expected, "slug").select("slug", "n", "n_short", "max_num", "n_inversions", ok.alias("ok"))

@@ -1,42 +1,131 @@
-"""Ordered passes: what depends on earlier decisions of the same book, one row after the other.
+"""Ordered work on books of any length: running values by chunks, and passes whose steps depend on earlier ones.
 
-A pass streams over rows that are sorted within their book; all it holds is one batch and the state of the
-book at hand, so its memory doesn't grow with a book. Books run in parallel.
+A book's order begins with an integer; rows whose integers fall into the same stretch of it are a chunk, which is what one task
+sorts. Values that run through a book (counts, the row before, the next value) take a pass over each chunk, one
+row a chunk that tells what it hands on, and a window over those rows.
+
+A pass whose decisions depend on earlier ones runs over all chunks at once, each from a guess of the state in which it
+begins. Where the chunk before ends in another state than was guessed, the chunk runs again from that one, until all states
+meet. What a pass forgets soon (a pointer, a last number) meets after few rounds; the result is that of one pass in any case.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from ..storage import cut, small
+
 Step = Callable[[Any, dict], tuple[Any, tuple | None]]
 
+#: The stretch of a book's order that is one chunk.
+CHUNK = 50_000
+
+
+def chunk_of(order: str, size: int | None = None) -> Column:
+    """The chunk of a row, by the first column of its book's order; rows without one come first, as in any ascending order."""
+    return F.coalesce(F.floor(F.col(order).cast("double") / (size or CHUNK)).cast("bigint"), F.lit(-(1 << 62)))
+
+
+def running_count(rows: DataFrame, by: Sequence[str], order: Sequence[str], begins: Column, name: str, size: int | None = None) -> DataFrame:
+    """Add how many rows of the book, up to this one in order, hold `begins`."""
+    by = list(by)
+    rows = rows.withColumn("__begins", F.coalesce(begins, F.lit(False))).withColumn("__chunk", chunk_of(order[0], size))
+    counted = rows.groupBy(*by, "__chunk").agg(F.count_if("__begins").alias("__n"))
+    earlier = Window.partitionBy(*by).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.select(*by, "__chunk", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__handed"))
+    inside = Window.partitionBy(*by, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("__here", F.count_if("__begins").over(inside))
+    return _with(local, before, [*by, "__chunk"]).withColumn(name, F.col("__handed") + F.col("__here")).drop("__begins", "__chunk", "__here", "__handed")
+
+
+def previous(rows: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, size: int | None = None) -> DataFrame:
+    """Add the value of the row before in the book's order; null for the first row."""
+    by = list(by)
+    rows = rows.withColumn("__chunk", chunk_of(order[0], size))
+    last = rows.groupBy(*by, "__chunk").agg(F.max_by(value, F.struct(*order)).alias("__last"))
+    before = last.select(*by, "__chunk", F.lag("__last").over(Window.partitionBy(*by).orderBy("__chunk")).alias("__handed"))
+    place = Window.partitionBy(*by, "__chunk").orderBy(*order)
+    local = rows.withColumn("__place", F.row_number().over(place)).withColumn("__lag", F.lag(value).over(place))
+    found = F.when(F.col("__place") == 1, F.col("__handed")).otherwise(F.col("__lag"))
+    return _with(local, before, [*by, "__chunk"]).withColumn(name, found).drop("__chunk", "__place", "__lag", "__handed")
+
 
-def ordered_pass(rows: DataFrame, by: Sequence[str], order: Sequence[str], step: Step, schema: StructType) -> DataFrame:
+def _with(rows: DataFrame, of_chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Join what chunks are handed, by keys that may be null."""
+    there = of_chunks.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[c for c in of_chunks.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return rows.join(there, same).drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def ordered_pass(rows: DataFrame, by: Sequence[str], order: Sequence[str], step: Step, schema: StructType, size: int | None = None) -> DataFrame:
     """What `step` puts out over each book's rows in order.
 
     step(state, row) returns the state after a row and the values that follow the book's keys in the output (None: no
-    row); the state is None where a book begins. A null key is a book of its own.
+    row); the state is None where a book begins, and else holds integers, strings, nulls, and tuples of these. A null key is a book of its own.
     """
-    by, arrow = list(by), to_arrow_schema(schema)
-    names = schema.names
+    by = list(by)
+    rows = rows.withColumn("__chunk", chunk_of(order[0], size))
+    chunks = cut(rows.groupBy(*by, "__chunk").agg(F.count("*").alias("__rows")))
+    long = cut(chunks.groupBy(*by).agg(F.count("*").alias("__chunks")).where("__chunks > 1").drop("__chunks"))
+    if long.isEmpty():
+        return _run(rows.withColumn("__state", F.lit(None).cast("string")), by, order, step, schema, False)
+    several = cut(_with(rows, small(long), by))
+    states = cut(_with(chunks.drop("__rows"), small(long), by).withColumn("__state", F.lit(None).cast("string")))
+    changed, ends = None, None
+    along = Window.partitionBy(*by).orderBy("__chunk")
+    while True:
+        todo = states if changed is None else changed
+        ran = _run(_with(several, small(cut(todo)), [*by, "__chunk"]), by, order, step, schema, True)
+        ends = cut(ran if ends is None else ran.unionByName(_without(ends, todo, [*by, "__chunk"])))
+        reached = ends.select(*by, "__chunk", F.lag("__end").over(along).alias("__state"))
+        fresh = cut(_with(states.withColumnRenamed("__state", "__was"), reached, [*by, "__chunk"]))
+        changed = fresh.where(~F.col("__was").eqNullSafe(F.col("__state"))).drop("__was")
+        states = fresh.drop("__was")
+        if changed.isEmpty():
+            break
+    others = _without(chunks.drop("__rows"), states, [*by, "__chunk"]).withColumn("__state", F.lit(None).cast("string"))
+    begun = states.unionByName(others)
+    return _run(_with(rows, begun, [*by, "__chunk"]), by, order, step, schema, False)
+
+
+def _without(ends: DataFrame, todo: DataFrame, keys: list[str]) -> DataFrame:
+    gone = todo.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    return ends.join(gone, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], "left_anti")
+
+
+def _frozen(x: Any) -> Any:
+    return tuple(map(_frozen, x)) if isinstance(x, list) else x
+
+
+def _run(rows: DataFrame, by: list[str], order: Sequence[str], step: Step, schema: StructType, ends: bool) -> DataFrame:
+    """A pass over each chunk from its `__state`: what step puts out, or with `ends` the state after each chunk (*by, __chunk, __end)."""
+    keys = [*by, "__chunk"]
+    out = rows.select(*keys, F.lit("").alias("__end")).schema if ends else schema
+    arrow, names = to_arrow_schema(out), out.names
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book, state = None, None
+        chunk, state = None, None
         for batch in batches:
-            out = []
+            found_rows = []
             for row in batch.to_pylist():
-                key = tuple(row[b] for b in by)
-                if key != book:
-                    book, state = key, None
+                key = tuple(row[b] for b in keys)
+                if key != chunk:
+                    if ends and chunk is not None:
+                        found_rows.append(dict(zip(names, (*chunk, json.dumps(state)), strict=True)))
+                    chunk, state = key, _frozen(json.loads(row["__state"] or "null"))
                 state, found = step(state, row)
-                if found is not None:
-                    out.append(dict(zip(names, (*key, *found), strict=True)))
-            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+                if found is not None and not ends:
+                    found_rows.append(dict(zip(names, (*key[:-1], *found), strict=True)))
+            yield pa.RecordBatch.from_pylist(found_rows, schema=arrow)
+        if ends and chunk is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(names, (*chunk, json.dumps(state)), strict=True))], schema=arrow)
 
-    return rows.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(work, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(work, out)

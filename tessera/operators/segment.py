@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from .. import profiles as P
 from ..functions import text as T
-from .passes import ordered_pass
+from .passes import ordered_pass, previous, running_count
 
 _EMPTY = "array<string>"
 
 
 def islands(rows: DataFrame, book: list[str], order: list[str], begins: Column, seg_ix: str = "seg_ix") -> DataFrame:
     """Number the rows by how many beginnings there were so far; rows before the first have 0."""
-    return rows.withColumn(seg_ix, F.count_if(begins).over(Window.partitionBy(*book).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))
+    return running_count(rows, book, order, begins, seg_ix).withColumn(seg_ix, F.col(seg_ix).cast("int"))
 
 
 def _gather(rows: DataFrame, book: list[str], order: list[str]) -> DataFrame:
@@ -128,10 +128,9 @@ def merge_adjacent(segments: DataFrame, book: str = "book_id") -> DataFrame:
 
     Segments with neither header nor number (or number 0) go; segments keep the place of their first part.
     """
-    order = Window.partitionBy(book).orderBy("seg_ix")
     number = F.col("hdr_num")
-    begins = number.isNull() | ~number.eqNullSafe(F.lag("hdr_num").over(order))
-    rows = segments.withColumn("__run", F.count_if(begins).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = previous(segments, [book], ["seg_ix"], "hdr_num", "__prior")
+    rows = running_count(rows, [book], ["seg_ix"], number.isNull() | ~number.eqNullSafe(F.col("__prior")), "__run")
     listed = F.sort_array(F.collect_list(F.struct("seg_ix", "parts")))
     merged = rows.groupBy(book, "__run").agg(F.min("seg_ix").alias("seg_ix"), F.first("hdr_num").alias("hdr_num"), F.min_by("header", "seg_ix").alias("h0"), F.min_by("header", F.when(F.col("header") != "", F.col("seg_ix"))).alias("h1"), F.flatten(F.transform(listed, lambda s: s["parts"])).alias("parts"), F.min_by("page", "seg_ix").alias("page"))
     merged = merged.select(book, "seg_ix", "hdr_num", F.coalesce("h1", "h0", F.lit("")).alias("header"), "parts", "page")
