@@ -1,4 +1,4 @@
-"""SQL for the queries of book_queries, in DuckDB's dialect; sample rows are VALUES."""
+"""SQL for the queries of book_queries, in DuckDB's dialect; the patterns that dress the tables' lines are VALUES."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from . import profiles as P
 from . import samples as S
 from .functions.text import STOP
 from .oracles import _DOC_WORDS, _ITEM_WORDS, _SCORES, _gate, _marks, _search, _strip
+from .oracles import _LINES as _DOC_LINES
 
 
 def _literal(x) -> str:
@@ -48,7 +49,10 @@ def _bracket(x: str) -> str:
 
 
 _PAGE = P.PageProfile()
-_PARAGRAPHS = f"(select *, array_to_string(list_transform(runs, lambda r: r.text), '') as text from {_values(S.PARAGRAPHS, 'book_id, page, para_ix, runs')})"
+_N = len(S.PARAGRAPHS)
+_RUNS = f"""select (doc_id % 50)::int as book_id, doc_id as page, line_ix::int as para_ix, case when (doc_id + line_ix) // {_N} % 2 = 0 then list_append(runs, {{'cls': '', 'text': ' ' || line}}) else runs end as runs
+    from ({_DOC_LINES}) join {_values([(r,) for *_, r in S.PARAGRAPHS], 'runs', True)} on ix = (doc_id + line_ix) % {_N}"""
+_PARAGRAPHS = f"(select *, array_to_string(list_transform(runs, lambda r: r.text), '') as text from ({_RUNS}))"
 _CHAPTER = [*P.CHAPTER_STARTS, *(P.AND + w for w in P.CHAPTER_STARTS)]
 _HEADER_NUMBER = f"case when regexp_matches(regexp_extract(s, {_pattern(P.HEADER_NUMBER)}, 2), {_pattern(P.HEADER_REST)}) then {_number('s', P.HEADER_NUMBER)} end"
 _FORMULA = f"(length(s) > 60 and regexp_matches(s, {_pattern(P.OPENING_FORMULA)}))"
@@ -107,12 +111,24 @@ def _anchors() -> str:
         select source as book_id, num, page as page_ix from f where page is not null"""
 
 
+def _contained() -> str:
+    html = "html"
+    for plain, styled in S.STYLES:
+        html = f"replace({html}, '{plain}', '{styled}')"
+    opened = f"replace({html}, '<article>', '{S.CONTAINER}')"
+    closed, left_open = f"replace({opened}, '</article>', '{S.CLOSED}')", f"replace({opened}, '</article>', '{S.LEFT_OPEN}')"
+    return f"select page_id, case page_id % 5 when 0 then {closed} when 1 then {left_open} when 2 then {html} when 3 then '{S.CHALLENGE}' || {closed} end as html from pages"
+
+
 def _pairing() -> str:
     start = "(?s)^(.*?)(?:" + P.COMMENT_START + ")"
+    quoted = lambda marks, x: f"'{marks[0]}' || {x} || '{marks[1]}'"
+    sharh = f"""select a.doc_id as num, case when a.doc_id % 5 <= 1 then {quoted(S.QUOTE_OWN, "substr(a.text, 11, 60)")} when a.doc_id % 5 = 2 then {quoted(S.QUOTE_NEXT, "coalesce(substr(b.text, 21, 60), '')")}
+        when a.doc_id % 5 = 3 then '{S.QUOTE_NARRATION}' else '' end || ' ' || substr(a.text, 1, 20) as sharh from documents a left join documents b on b.doc_id = a.doc_id + 1"""
     skip = f"length(regexp_extract(sharh[1:1200], '{start}', 1))"
     part = f"case when regexp_matches(sharh[1:1200], '{P.COMMENT_START}') then substr(sharh, {skip} + 1, 3000) else sharh[1:3000] end"
     listed = f"list_filter(list_transform(regexp_extract_all({part}, {_pattern(P.FRAGMENT)}, 1), lambda x: {_gate('x')}), lambda x: length(x) >= 18)[1:4]"
-    return f"""with q as (select num, {listed} fs from {_values(S.QUOTING, 'num, sharh')}), u as (select num, {_gate('text')} form from {_values(S.QUOTED_UNITS, 'num, text')}),
+    return f"""with q as (select num, {listed} fs from ({sharh})), u as (select doc_id as num, {_gate('text')} form from documents),
         fr as (select num, unnest(fs) f from q), own as (select distinct num from fr join u using (num) where contains(form, f)),
         bad as (select distinct fr.num from fr join u on u.num <> fr.num and contains(form, f) where fr.num not in (select num from own) and not regexp_matches(f, {_pattern(P.NARRATION_FRAGMENT)})),
         c as (select (select count(*) from own) verified, (select count(*) from bad) wrong, (select count(*) from q) n)
@@ -120,7 +136,7 @@ def _pairing() -> str:
             case when verified + wrong > 0 then verified / (verified + wrong) else 1.0 end >= 0.85 and wrong <= 0.05 * n as ok from c"""
 
 
-_TITLES = f"""with recursive p as (select book_id, page_ix, i as line_ix, string_split(text, chr(10))[i] as line from {_values(S.TITLE_PAGES, 'book_id, page_ix, text')}, unnest(range(1, len(string_split(text, chr(10))) + 1)) l(i)),
+_TITLES = f"""with recursive p as (select book_id, page_ix, i as line_ix, string_split(text, chr(10))[i] as line from (select (doc_id % 50)::int as book_id, (doc_id // 50)::int as page_ix, t.text || chr(10) || d.text as text from documents d join {_values([t for *_, t in S.TITLE_PAGES], 'text', True)} on ix = (doc_id % 50 + doc_id // 50) % {len(S.TITLE_PAGES)}), unnest(range(1, len(string_split(text, chr(10))) + 1)) l(i)),
     c as (select book_id, page_ix, line_ix, i as piece_ix, regexp_split_to_array(line, '[()]')[i] as piece from p, unnest(range(1, len(regexp_split_to_array(line, '[()]')) + 1)) l(i)),
     t as (select *, {_search('piece')} as form, trim(piece, '()[]،,. ') as title from c),
     k as (select book_id, page_ix, form, title, {_search('title')} as title_form, row_number() over (partition by book_id order by page_ix, line_ix, piece_ix) k from t where regexp_matches(form, {_pattern(P.CHAPTER_TITLE)}) and length(form) > 3 and length(form) < 90 and title <> ''),
@@ -129,7 +145,8 @@ _TITLES = f"""with recursive p as (select book_id, page_ix, i as line_ix, string
     select k.book_id, k.k, k.page_ix, k.title, k.title_form, f.form, f.page, f.n, not (f.form is not distinct from k.form and k.page_ix - f.page < 4) as new from f join k on k.book_id = f.book_id and k.k = f.k + 1))
     select book_id, at_page as page_ix, (n - 1)::int as header_ix, title from f where title is not null"""
 
-_LINES = f"(select *, {_search('text')} as s from {_values(S.NUMBER_LINES, 'text', True)})"
+_M = len(S.NUMBER_LINES)
+_LINES = f"""(select *, {_search('text')} as s from (select doc_id, line_ix::int as line_ix, case when (doc_id + line_ix) // {_M} % 2 = 0 then text || ' ' || line else text end as text from ({_DOC_LINES}) join {_values(S.NUMBER_LINES, 'text', True)} on ix = (doc_id + line_ix) % {_M}))"""
 _REST = f"case when {_number('s', P.NUMBER_PREFIX)} is not null then regexp_extract(s, {_pattern(P.NUMBER_PREFIX)}, 2) end"
 _WITH_SEARCH = f"(select *, {_search('text')} as s from {_PARAGRAPHS})"
 _NUMBERED = f"""select book_id, page, para_ix, 0 as sub, heads or marker is not null as begins, coalesce(marker, number) as hdr_num, case when heads then text else '' end as header, case when not heads then text end as part from (
@@ -153,25 +170,23 @@ ORACLES = {
         union all (select num, dst, 2 from (select n.num, dst, row_number() over (partition by n.num order by pos, dst) k from n join e on n.num = e.src where dst in (select num from us)) where k = 1)
         union all (select num, min(src), 3 from n join e on n.num = e.dst where src in (select num from us) group by num) union all select num, 0, 4 from n where num % 3 = 0)
         select num, target, priority from (select num, target, p::int as priority, row_number() over (partition by num order by p) k from al) where k = 1""",
-    "number_parsers": f"""select ix, {_number('s', P.NUMBER_PREFIX)} as number, {_REST} as rest, {_number('s', P.UNIT_MARKER)} as marker, {_bracket('text')} as bracket, {_HEADER_NUMBER} as header, {_FORMULA} as formula,
+    "number_parsers": f"""select doc_id, line_ix, {_number('s', P.NUMBER_PREFIX)} as number, {_REST} as rest, {_number('s', P.UNIT_MARKER)} as marker, {_bracket('text')} as bracket, {_HEADER_NUMBER} as header, {_FORMULA} as formula,
         {_starts('s', P.NARRATION_STARTS)} as narration, {_starts('s', _CHAPTER)} as chapter, regexp_matches(s, {_pattern(P.CHAPTER_TITLE)}) and length(s) > 3 and length(s) < 90 as title from {_LINES}""",
-    "commentary_texts": f"""select ix, {_strip(f"regexp_replace(regexp_replace(array_to_string(list_filter(parts, lambda x: {_strip('x')} <> ''), chr(10) || chr(10)), {_pattern(P.LEAD_MARKER)}, ''), {_pattern(P.RULE_LINE)}, chr(10) || chr(10), 'g')")} as text,
-        array_to_string(list_filter(list_transform(parts, lambda x: {_strip('x')}), lambda x: x not in ('', '{P.RULE_PART}')), '|') as cleaned from {_values(S.COMMENTS, 'parts', True)}""",
-    "cross_references": f"""select ix, array_to_string(list_transform(list_filter(regexp_split_to_array(regexp_extract(array_to_string(list_concat([header], parts[1:2]), chr(10)), {_pattern(P.CROSS_REFERENCE)}, 1), '[،,\\s]+'), lambda x: x <> ''), lambda x: {_digits('x')}::int), ',') as numbers
-        from {_values(S.REFERENCES, 'header, parts', True)}""",
+    "commentary_texts": f"""select doc_id, {_strip(f"regexp_replace(regexp_replace(array_to_string(list_filter(parts, lambda x: {_strip('x')} <> ''), chr(10) || chr(10)), {_pattern(P.LEAD_MARKER)}, ''), {_pattern(P.RULE_LINE)}, chr(10) || chr(10), 'g')")} as text,
+        array_to_string(list_filter(list_transform(parts, lambda x: {_strip('x')}), lambda x: x not in ('', '{P.RULE_PART}')), '|') as cleaned from (select doc_id, list_concat(t.parts, string_split(text, chr(10))) as parts from documents join {_values([(c,) for c in S.COMMENTS], 'parts', True)} on ix = doc_id % {len(S.COMMENTS)})""",
+    "cross_references": f"""select doc_id, array_to_string(list_transform(list_filter(regexp_split_to_array(regexp_extract(array_to_string(list_concat([header], parts[1:2]), chr(10)), {_pattern(P.CROSS_REFERENCE)}, 1), '[،,\\s]+'), lambda x: x <> ''), lambda x: {_digits('x')}::int), ',') as numbers
+        from (select doc_id, header, list_concat(t.parts, string_split(text, chr(10))) as parts from documents join {_values(S.REFERENCES, 'header, parts', True)} on ix = doc_id % {len(S.REFERENCES)})""",
     "second_half": f"select item_id, array_to_string({_HALF('ws')}, ' ') as words from (select item_id, {_IN_TEXT} ws from benchmark)",
-    "container_text": f"""with c as (select ix, case when html is null or contains(html[1:{_PAGE.challenge_chars}], '{_PAGE.challenge}') then null when regexp_matches(html, {_pattern(_PAGE.container)}) then regexp_extract(html, {_pattern(_PAGE.container)}, 1)
-            when regexp_matches(html, {_pattern(_PAGE.open_container)}) then string_split(regexp_extract(html, {_pattern(_PAGE.open_container)}, 1), '{_PAGE.open_end}')[1] else '' end as body from {_values(S.HTML, 'html', True)}),
+    "container_text": f"""with c as (select page_id as ix, case when html is null or contains(html[1:{_PAGE.challenge_chars}], '{_PAGE.challenge}') then null when regexp_matches(html, {_pattern(_PAGE.container)}) then regexp_extract(html, {_pattern(_PAGE.container)}, 1)
+            when regexp_matches(html, {_pattern(_PAGE.open_container)}) then string_split(regexp_extract(html, {_pattern(_PAGE.open_container)}, 1), '{_PAGE.open_end}')[1] else '' end as body from ({_contained()})),
         p as (select ix, regexp_extract_all(body, {_pattern(_PAGE.paragraph)}, 1) ps from c),
         r as (select ix, i - 1 as para_ix, string_split(regexp_replace(ps[i], {_pattern(_PAGE.run)}, chr(1) || '\\1' || chr(2) || '\\2' || chr(1), 'g'), chr(1)) xs from p, unnest(range(1, len(ps) + 1)) u(i)),
         x as (select ix, para_ix, i as run_ix, case when contains(xs[i], chr(2)) and split_part(xs[i], chr(2), 1) <> 'anchor' then split_part(xs[i], chr(2), 1) else '' end as cls,
             {_strip("replace(regexp_replace(case when contains(xs[i], chr(2)) then split_part(xs[i], chr(2), 2) else xs[i] end, '<[^>]+>', '', 'g'), '&amp;', '&')")} as text from r, unnest(range(1, len(xs) + 1)) u(i)),
         a as (select ix, string_agg(para_ix || ':' || cls || ':' || text, '|' order by para_ix, run_ix) as runs from x where text <> '' group by ix)
-        select p.ix, len(ps)::int as n_paragraphs, runs from p left join a on a.ix = p.ix""",
-    "base_book": f"""with b as (select {_literal(S.BASE_BOOK)}::json j), u as (select (j->>'id')::int book_id, i - 1 as unit_ix, j->'hadiths'->(i - 1)::int h from b, unnest(range(1, json_array_length(j, 'hadiths')::bigint + 1)) t(i)),
-        c as (select (j->'chapters'->(i - 1)::int->>'id')::int chapter_id, j->'chapters'->(i - 1)::int->>'arabic' title from b, unnest(range(1, json_array_length(j, 'chapters')::bigint + 1)) t(i)),
-        k as (select book_id, unit_ix::int as unit_ix, (h->>'idInBook')::int as num, coalesce((h->>'chapterId')::int, 1) as chapter_id, h->>'arabic' as text from u)
-        select k.*, title from k left join c using (chapter_id)""",
+        select p.ix as page_id, len(ps)::int as n_paragraphs, runs from p left join a on a.ix = p.ix""",
+    "base_book": f"""with u as (select doc_id::int as book_id, source, line_ix::int as unit_ix, line_ix::int + 1 as num, case when line_ix % 3 > 0 then line_ix % 3 else 1 end::int as chapter_id, line as text from ({_DOC_LINES}) join documents using (doc_id))
+        select book_id, unit_ix, num, chapter_id, text, source || ' ' || chapter_id as title from u""",
     "numbered_segments": _cut(_NUMBERED, clean=False),
     "header_segments": _plain(f"({_HEADER_NUMBER}) is not null", _HEADER_NUMBER, "text[1:400]", False),
     "formula_segments": _plain(_FORMULA, "null::int", "text[1:500]", True),
@@ -190,10 +205,12 @@ ORACLES = {
     "direct_verify": f"""with s as (select item_id, doc_id, (doc_id - item_id)::int as "offset", len(list_intersect(u.w, d.w))::int as score from {_ITEM_WORDS} u join {_DOC_WORDS} d on d.doc_id between u.item_id - 1 and u.item_id + 1)
         select item_id, doc_id, "offset", score from (select *, row_number() over (partition by item_id order by score desc, "offset") k from s where score >= 8) where k = 1""",
     "anchor_search": _anchors(),
-    "gate_identical_pairs": f"""with f as (select slug, num, {_gate('text')} form from {_values(S.TWINS, 'slug, num, text')})
+    "gate_identical_pairs": f"""with f as (select slug, num, {_gate('text')} form from (select 'events' as slug, event_id as num, repeat('value ' || floor(value / 20)::bigint || ' ', case when event_type = 'click' then 5 else 12 end) as text from events))
         select a.slug, a.num, b.num as "next" from f a join f b on a.slug = b.slug and b.num = a.num + 1 and a.form = b.form where length(a.form) > 60 and (a.num, b.num) not in ({', '.join(map(str, P.IDENTICAL_ALLOWED))})""",
     "gate_spot_case": f"""select 'spot_case' as "check", 'all' as scope, 3::double as metric, 3::double as threshold, coalesce(contains(a, 'the') and a <> b, false) as ok
         from (select max(case when item_id = 3 then {_gate('text')} end) a, max(case when item_id = 4 then {_gate('text')} end) b from benchmark)""",
     "gate_pairing": _pairing(),
-    "gate_unit_maxima": f"""select slug, (m - t)::bigint as n, 0::bigint as n_short, m::int as max_num, 0::bigint as n_inversions, true as ok from (values {', '.join(f"('{s}', {n}, {P.UNIT_TOLERANCE.get(s, 0)})" for s, n in P.UNIT_MAXIMA.items())}) v(slug, m, t)""",
+    "gate_unit_maxima": f"""with x as (select * from (values {', '.join(f"({i}, '{s}', {n}, {P.UNIT_TOLERANCE.get(s, 0)}, {s in P.UNORDERED_BOOKS})" for i, (s, n) in enumerate(P.UNIT_MAXIMA.items()))}) v(k, slug, m, t, free)),
+        u as (select slug, m, t, (o_orderkey // {len(P.UNIT_MAXIMA)})::int num, o_orderpriority || ' ' || trunc(o_totalprice)::int as text from orders join x on k = o_orderkey % {len(P.UNIT_MAXIMA)} where o_orderkey // {len(P.UNIT_MAXIMA)} between 1 and m)
+        select slug, count(*) as n, count(*) filter (length({_gate('text')}) < 10) as n_short, max(num) as max_num, 0::bigint as n_inversions, count(*) filter (length({_gate('text')}) < 10) = 0 and max(num) = m and count(*) >= m - t as ok from u group by slug, m, t""",
 }

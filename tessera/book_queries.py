@@ -1,8 +1,10 @@
-"""Queries of the operators that read a commentary's own text, over the sample rows, and of those that join such rows with the tables."""
+"""Queries of the operators that read a commentary's own text: the lines and pages of the tables, dressed in the patterns of a commentary."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import profiles as P
@@ -19,14 +21,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _paragraphs(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(S.PARAGRAPHS, f"book_id int, page int, para_ix int, runs {RUNS}")
-    return rows.withColumn("text", F.array_join(F.transform("runs", lambda r: r["text"]), ""))
+def _pattern(rows: list, schema: str, turn: Column) -> Column:
+    """The pattern whose turn it is, a struct; they take turns."""
+    named = [dict(zip([f.split(" ")[0] for f in schema.split(", ")], r if isinstance(r, tuple) else (r,), strict=True)) for r in rows]
+    return F.from_json(F.lit(json.dumps(named)), f"array<struct<{schema}>>")[(turn % len(rows)).cast("int")]
+
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, line_ix, line, turn): the documents' lines, and whose turn it is among patterns."""
+    lines = _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_ix", "line"))
+    return lines.withColumn("turn", F.col("doc_id") + F.col("line_ix"))
 
-def _listed(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """Rows with their place in the list as `ix`."""
-    return spark.createDataFrame([(i, *(r if isinstance(r, tuple) else (r,))) for i, r in enumerate(rows)], f"ix int, {schema}")
+
+def _dressed(turn: Column, n: int) -> Column:
+    """Of n patterns, each stands before its line in one round and alone in the next."""
+    return F.floor(turn / n) % 2 == 0
+
+
+def _paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as pages of fifty books, their lines as paragraphs with runs."""
+    runs = [[{"cls": c, "text": t} for c, t in r] for *_, r in S.PARAGRAPHS]
+    lines = _lines(spark, sf_dir)
+    pattern = _pattern([(r,) for r in runs], f"runs {RUNS}", F.col("turn"))["runs"]
+    line = F.array(F.struct(F.lit("").alias("cls"), F.concat(F.lit(" "), "line").alias("text")))
+    rows = lines.select((F.col("doc_id") % 50).cast("int").alias("book_id"), F.col("doc_id").alias("page"), F.col("line_ix").alias("para_ix"), F.when(_dressed(F.col("turn"), len(runs)), F.concat(pattern, line)).otherwise(pattern).alias("runs"))
+    return rows.withColumn("text", F.array_join(F.transform("runs", lambda r: r["text"]), ""))
 
 
 def _segments(segments: DataFrame) -> DataFrame:
@@ -37,34 +56,57 @@ def _segments(segments: DataFrame) -> DataFrame:
 
 
 def number_parsers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _listed(spark, S.NUMBER_LINES, "text string").withColumn("search", T.search_form(F.col("text")))
+    """The documents' lines behind, or in place of, a line that a parser reads or almost reads."""
+    lines = _lines(spark, sf_dir)
+    pattern = _pattern(S.NUMBER_LINES, "text string", F.col("turn"))["text"]
+    lines = lines.select("doc_id", "line_ix", F.when(_dressed(F.col("turn"), len(S.NUMBER_LINES)), F.concat(pattern, F.lit(" "), "line")).otherwise(pattern).alias("text")).withColumn("search", T.search_form(F.col("text")))
     search, (number, rest) = F.col("search"), T.number_prefix(F.col("search"))
-    return lines.select("ix", number.alias("number"), rest.alias("rest"), T.unit_marker(search).alias("marker"), T.bracket_number(F.col("text")).alias("bracket"), T.header_number(search).alias("header"), T.opens_by_formula(search).alias("formula"), T.is_narration(search).alias("narration"), T.is_chapter(search).alias("chapter"), T.is_chapter_title(search).alias("title"))
+    return lines.select("doc_id", "line_ix", number.alias("number"), rest.alias("rest"), T.unit_marker(search).alias("marker"), T.bracket_number(F.col("text")).alias("bracket"), T.header_number(search).alias("header"), T.opens_by_formula(search).alias("formula"), T.is_narration(search).alias("narration"), T.is_chapter(search).alias("chapter"), T.is_chapter_title(search).alias("title"))
 
 
 def commentary_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _listed(spark, S.COMMENTS, "parts array<string>").select("ix", T.commentary_text(F.col("parts")).alias("text"), F.array_join(T.clean_parts(F.col("parts"), [P.RULE_PART]), "|").alias("cleaned"))
+    """Each document's lines behind the parts of a commentary."""
+    parts = F.concat(_pattern([(c,) for c in S.COMMENTS], "parts array<string>", F.col("doc_id"))["parts"], F.split("text", "\n"))
+    rows = _table(spark, sf_dir, "documents").select("doc_id", parts.alias("parts"))
+    return rows.select("doc_id", T.commentary_text(F.col("parts")).alias("text"), F.array_join(T.clean_parts(F.col("parts"), [P.RULE_PART]), "|").alias("cleaned"))
 
 
 def cross_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _listed(spark, S.REFERENCES, "header string, parts array<string>")
-    return rows.select("ix", F.array_join(T.cross_references(F.col("header"), F.col("parts")), ",").alias("numbers"))
+    """Each document's lines behind a header and parts that list other places, near enough or too far down."""
+    pattern = _pattern(S.REFERENCES, "header string, parts array<string>", F.col("doc_id"))
+    rows = _table(spark, sf_dir, "documents").select("doc_id", pattern["header"].alias("header"), F.concat(pattern["parts"], F.split("text", "\n")).alias("parts"))
+    return rows.select("doc_id", F.array_join(T.cross_references(F.col("header"), F.col("parts")), ",").alias("numbers"))
 
 
 def second_half(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "benchmark").select("item_id", F.array_join(T.second_half(T.words(F.col("text"))), " ").alias("words"))
 
 
+def _contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with their article as a container that is closed, as one that is left open, without one, behind a challenge, and none; bold as runs."""
+    html = F.col("html")
+    for plain, styled in S.STYLES:
+        html = F.replace(html, F.lit(plain), F.lit(styled))
+    kind = F.col("page_id") % 5
+    opened = F.replace(html, F.lit("<article>"), F.lit(S.CONTAINER))
+    closed, left_open = F.replace(opened, F.lit("</article>"), F.lit(S.CLOSED)), F.replace(opened, F.lit("</article>"), F.lit(S.LEFT_OPEN))
+    return _table(spark, sf_dir, "pages").select("page_id", F.when(kind == 0, closed).when(kind == 1, left_open).when(kind == 2, html).when(kind == 3, F.concat(F.lit(S.CHALLENGE), closed)).alias("html"))
+
+
 def container_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _listed(spark, S.HTML, "html string")
-    runs = pages.page_runs(rows, P.PageProfile(entities={"&amp;": "&"}), ["ix"])
-    bodies = rows.select("ix", F.size(pages.raw_paragraphs(F.col("html"), P.PageProfile())).alias("n"))
-    return bodies.join(runs.groupBy("ix").agg(F.concat_ws("|", F.transform(F.sort_array(F.collect_list(F.struct("para_ix", "run_ix", "cls", "text"))), lambda r: F.concat_ws(":", r["para_ix"], r["cls"], r["text"]))).alias("runs")), "ix", "left").select("ix", F.when(F.col("n") >= 0, F.col("n")).alias("n_paragraphs"), "runs")
+    rows = _contained(spark, sf_dir)
+    runs = pages.page_runs(rows, P.PageProfile(entities={"&amp;": "&"}), ["page_id"])
+    bodies = rows.select("page_id", F.size(pages.raw_paragraphs(F.col("html"), P.PageProfile())).alias("n"))
+    return bodies.join(runs.groupBy("page_id").agg(F.concat_ws("|", F.transform(F.sort_array(F.collect_list(F.struct("para_ix", "run_ix", "cls", "text"))), lambda r: F.concat_ws(":", r["para_ix"], r["cls"], r["text"]))).alias("runs")), "page_id", "left").select("page_id", F.when(F.col("n") >= 0, F.col("n")).alias("n_paragraphs"), "runs")
 
 
 def base_book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units of a base book with the titles of their chapters."""
-    held = spark.createDataFrame([(S.BASE_BOOK,)], "value string").select(F.from_json("value", sources.BOOK).alias("b")).select("b.*")
+    """Each document as a base book in JSON, its lines as units of two chapters, some without one; units with the titles of their chapters."""
+    ident = F.col("doc_id").cast("int")
+    chapter = lambda n: F.struct(F.lit(n).alias("id"), ident.alias("bookId"), F.concat("source", F.lit(f" {n}")).alias("arabic"), F.lit("").alias("english"))
+    unit = lambda line, i: F.struct((i + 1).alias("id"), (i + 1).alias("idInBook"), F.when(i % 3 > 0, i % 3).alias("chapterId"), ident.alias("bookId"), line.alias("arabic"))
+    book = F.struct(ident.alias("id"), F.array(chapter(1), chapter(2)).alias("chapters"), F.transform(F.split("text", "\n"), unit).alias("hadiths"))
+    held = _table(spark, sf_dir, "documents").select(F.to_json(book).alias("value")).select(F.from_json("value", sources.BOOK).alias("b")).select("b.*")
     units, chapters = sources.book_units(held), sources.book_chapters(held)
     return units.join(chapters.select("book_id", "chapter_id", "title"), ["book_id", "chapter_id"], "left").select("book_id", "unit_ix", "num", "chapter_id", "text", "title")
 
@@ -79,27 +121,27 @@ def lenient_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _segments(segment.numbered_segments(_paragraphs(spark)))
+    return _segments(segment.numbered_segments(_paragraphs(spark, sf_dir)))
 
 
 def header_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _segments(segment.header_segments(_paragraphs(spark)))
+    return _segments(segment.header_segments(_paragraphs(spark, sf_dir)))
 
 
 def formula_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _segments(segment.formula_segments(_paragraphs(spark)))
+    return _segments(segment.formula_segments(_paragraphs(spark, sf_dir)))
 
 
 def styled_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _segments(segment.styled_segments(_paragraphs(spark)))
+    return _segments(segment.styled_segments(_paragraphs(spark, sf_dir)))
 
 
 def marker_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _segments(segment.marker_segments(_paragraphs(spark)))
+    return _segments(segment.marker_segments(_paragraphs(spark, sf_dir)))
 
 
 def marker_after_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _segments(segment.marker_segments(_paragraphs(spark), after=True))
+    return _segments(segment.marker_segments(_paragraphs(spark, sf_dir), after=True))
 
 
 def merged_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +153,10 @@ def merged_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chapter_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.chapter_headers(spark.createDataFrame(S.TITLE_PAGES, "book_id int, page_ix int, text string"))
+    """The documents as pages of fifty books, behind pieces that are titles, almost are, or repeat the one before."""
+    book, page = (F.col("doc_id") % 50).cast("int"), F.floor(F.col("doc_id") / 50).cast("int")
+    pattern = _pattern([t for *_, t in S.TITLE_PAGES], "text string", book + page)["text"]
+    return segment.chapter_headers(_table(spark, sf_dir, "documents").select(book.alias("book_id"), page.alias("page_ix"), F.concat(pattern, F.lit("\n"), "text").alias("text")))
 
 
 # ---- alignment -----------------------------------------------------------------------------------
@@ -174,8 +219,10 @@ def anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_identical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    allowed = spark.createDataFrame(P.IDENTICAL_ALLOWED, "a int, b int")
-    return gate.identical_neighbours(spark.createDataFrame(S.TWINS, "slug string, num int, text string"), allowed)
+    """Events as the units of a book; neighbours are alike where their values are near."""
+    allowed = spark.createDataFrame(P.IDENTICAL_ALLOWED, "a bigint, b bigint")
+    text = F.repeat(F.concat(F.lit("value "), F.floor(F.col("value") / 20).cast("string"), F.lit(" ")), F.when(F.col("event_type") == "click", 5).otherwise(12))
+    return gate.identical_neighbours(_table(spark, sf_dir, "events").select(F.lit("events").alias("slug"), F.col("event_id").alias("num"), text.alias("text")), allowed)
 
 
 def gate_spot_case(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,15 +231,21 @@ def gate_spot_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.pairing(spark.createDataFrame(S.QUOTING, "num int, sharh string"), spark.createDataFrame(S.QUOTED_UNITS, "num int, text string"))
+    """Documents as units; commentaries quote their own one, the next one, a narration's opening, or nothing."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("num"), "text")
+    after = docs.select((F.col("num") - 1).alias("num"), F.substring("text", 21, 60).alias("next"))
+    own, kind = F.substring("text", 11, 60), F.col("num") % 5
+    quote = F.when(kind <= 1, F.concat(F.lit(S.QUOTE_OWN[0]), own, F.lit(S.QUOTE_OWN[1]))).when(kind == 2, F.concat(F.lit(S.QUOTE_NEXT[0]), F.coalesce("next", F.lit("")), F.lit(S.QUOTE_NEXT[1]))).when(kind == 3, F.lit(S.QUOTE_NARRATION)).otherwise("")
+    return gate.pairing(docs.join(after, "num", "left").select("num", F.concat(quote, F.lit(" "), F.substring("text", 1, 20)).alias("sharh")), docs)
 
 
 def gate_unit_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The greatest number of each base book, with how many may be missing."""
-    rows = [(slug, n, P.UNIT_TOLERANCE.get(slug, 0), slug in P.UNORDERED_BOOKS) for slug, n in P.UNIT_MAXIMA.items()]
-    expected = spark.createDataFrame(rows, "slug string, canon_max int, tolerance int, unordered boolean")
-    units = expected.select("slug", F.explode(F.sequence(F.lit(1), F.col("canon_max") - F.col("tolerance"))).alias("unit_ix"), "canon_max", "tolerance").select("slug", "unit_ix", F.when(F.col("unit_ix") == F.col("canon_max") - F.col("tolerance"), F.col("canon_max")).otherwise(F.col("unit_ix")).alias("num"), F.lit("نص طويل بما يكفي").alias("text"))
-    return gate.numbering(units, expected).select("slug", "n", "n_short", "max_num", "n_inversions", "ok")
+    """Orders dealt out over the base books, up to the greatest number that each has: complete or not."""
+    rows = [(i, slug, n, P.UNIT_TOLERANCE.get(slug, 0), slug in P.UNORDERED_BOOKS) for i, (slug, n) in enumerate(P.UNIT_MAXIMA.items())]
+    expected = spark.createDataFrame(rows, "at int, slug string, canon_max int, tolerance int, unordered boolean")
+    dealt = _table(spark, sf_dir, "orders").select((F.col("o_orderkey") % len(rows)).cast("int").alias("at"), F.floor(F.col("o_orderkey") / len(rows)).cast("int").alias("num"), F.concat_ws(" ", "o_orderpriority", F.col("o_totalprice").cast("int")).alias("text"))
+    units = dealt.join(expected.select("at", "slug", "canon_max"), "at").where(F.col("num").between(1, F.col("canon_max"))).select("slug", F.col("num").alias("unit_ix"), "num", "text")
+    return gate.numbering(units, expected.drop("at")).select("slug", "n", "n_short", "max_num", "n_inversions", "ok")
 
 
 _ALL = (lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)

@@ -1,4 +1,4 @@
-"""A small made-up commentary for the queries of operators that the driver's tables have no text for."""
+"""Patterns of a commentary, in which the queries dress the lines and pages of the tables, as those hold no such text themselves."""
 
 from __future__ import annotations
 
@@ -47,23 +47,8 @@ TITLE_PAGES = [
     (1, 0, "كتاب الإيمان"), (1, 1, "نص (كتاب الإيمان) نص"), (1, 2, "x"), (1, 3, "كتاب"), (1, 4, "كتاب الإيمان\n[كتاب الصلاة]"),
     (1, 5, "(كتاب الصلاة)"), (1, 9, "كتاب الصلاة، "), (2, 0, "لا شيء"), (2, 1, "كتاب " + "طويل " * 20), (2, 2, "كتاب الزكاة"), (2, 3, "كتاب الصوم"), (2, 4, "كتاب الزكاة"),
 ]
-_SAME = "هذا نص متطابق طويل جدا يتكرر في موضعين متجاورين من الكتاب نفسه"
-#: (slug, num, text): 2201 and 2202 may be alike.
-TWINS = [("b", 2201, _SAME), ("b", 2202, _SAME), ("b", 2203, _SAME), ("b", 2205, _SAME), ("b", 3000, "قصير"), ("b", 3001, "قصير"), ("c", 5, _SAME), ("c", 6, _SAME.replace("ا", "أ"))]
-#: (num, text) and (num, commentary)
-QUOTED_UNITS = [(1, "نص الحديث الاول كما ورد في الكتاب"), (2, "كلام اخر من حديث مختلف تماما هنا"), (3, "وهذا حديث ثالث لا يشبه غيره ابدا"), (4, "رابع الاحاديث في هذا الباب الصغير")]
-QUOTING = [
-    (1, "مقدمة (ليست من الشرح في شيء ابدا) قوله (الحديث الاول كما ورد) ثم كلام"),
-    (2, "قوله (نص الحديث الاول كما ورد في) نقل من غيره"),
-    (3, "قوله (حدثنا رجل من اهل المدينة عن ابيه) فقط"),
-    (4, "«رابع الاحاديث في هذا الباب» بلا بداية"),
-]
-#: Pages of the page profile: closed container, container up to the end, none, challenge, and styled runs.
-HTML = [
-    '<div class="nass margin-top-10" id="a"><p>اول</p><p><span class="c2" x="1">ثان</span> ثم <span class="anchor">7</span></p></div>\n<div class="next">',
-    '<div class="nass"><p>بلا نهاية</p></section><p>خارج</p>',
-    "<p>لا وعاء</p>",
-    "<title>Just a moment...</title>" + '<div class="nass"><p>x</p></div><div>',
-    None,
-]
-BASE_BOOK = '{"id": 7, "metadata": {"id": 7, "length": 3, "arabic": "كتاب", "english": ""}, "chapters": [{"id": 1, "bookId": 7, "arabic": "باب", "english": ""}, {"id": 2, "bookId": 7, "arabic": "باب ثان", "english": ""}], "hadiths": [{"id": 1, "idInBook": 1, "chapterId": 1, "bookId": 7, "arabic": "الاول"}, {"id": 2, "idInBook": 2, "chapterId": null, "bookId": 7, "arabic": "الثاني"}, {"id": 3, "idInBook": 3, "chapterId": 2, "bookId": 7, "arabic": "الثالث"}]}'
+#: What stands before and after a quoted text, and a quoted opening.
+QUOTE_OWN, QUOTE_NEXT, QUOTE_NARRATION = ("مقدمة (ليست من الشرح في شيء ابدا) قوله (", ") ثم كلام"), ("قوله «", "» نقل"), "قوله (حدثنا رجل من اهل المدينة عن ابيه) فقط"
+#: A container's beginning, its end in a page where another follows, and in one where none does; a challenge; plain marks and runs in their place.
+CONTAINER, CLOSED, LEFT_OPEN, CHALLENGE = '<div class="nass margin-top-10" id="a">', '</div>\n<div class="next">', "</section>", "<title>Just a moment...</title>"
+STYLES = [("<b>", '<span class="c2" x="1">'), ("</b>", "</span>"), ("<h1>", '<p><span class="anchor">7</span>'), ("</h1>", "</p>")]
