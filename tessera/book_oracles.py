@@ -7,6 +7,7 @@ from . import samples as S
 from .functions.text import STOP
 from .oracles import _DOC_WORDS, _ITEM_WORDS, _SCORES, _gate, _marks, _search, _strip
 from .oracles import _LINES as _DOC_LINES
+from .oracles import _words as _doc_words
 
 
 def _literal(x) -> str:
@@ -58,17 +59,17 @@ _HEADER_NUMBER = f"case when regexp_matches(regexp_extract(s, {_pattern(P.HEADER
 _FORMULA = f"(length(s) > 60 and regexp_matches(s, {_pattern(P.OPENING_FORMULA)}))"
 
 
-def _cut(rows: str, clean: bool = True, drop: str = "") -> str:
+def _cut(rows: str, clean: bool = True, drop: str = "", joint: str = "'|'") -> str:
     """Segments of rows (book_id, page, para_ix, sub, begins, hdr_num, header, part)."""
     part = _strip("part") if clean else "part"
     keep = f"part is not null and {part} not in ('', '{drop}')" if clean else "part is not null"
     return f"""with r as ({rows}), i as (select *, count(*) filter (begins) over (partition by book_id order by page, para_ix, sub rows unbounded preceding) seg_ix from r)
         select book_id, seg_ix::int as seg_ix, max(case when begins then hdr_num end)::int as hdr_num, max(case when begins then header end) as header,
-            coalesce(array_to_string(list({part} order by page, para_ix, sub) filter ({keep}), '|'), '') as parts, max(case when begins then page end) as page
+            coalesce(array_to_string(list({part} order by page, para_ix, sub) filter ({keep}), {joint}), '') as parts, max(case when begins then page end) as page
         from i where seg_ix > 0 group by book_id, seg_ix"""
 
 
-def _markers(after: bool) -> str:
+def _markers(after: bool, joint: str = "'|'") -> str:
     chars = 500 if after else 400
     join = lambda part: f"array_to_string(list_transform({part}, lambda r: r.text), '')"
     numbers = f"""select *, list_transform(runs, lambda r: case when r.cls = 'c4' then {_bracket('r.text')} end) n from {_PARAGRAPHS}"""
@@ -77,7 +78,7 @@ def _markers(after: bool) -> str:
     left = "" if after else f" union all select book_id, page, para_ix, 0, false, null, null, before from m where {_strip('before')} <> ''"
     rows = f"""select * from (with a as ({at}), m as ({split}) select book_id, page, para_ix, 0 as sub, false as begins, null::int as hdr_num, null::varchar as header, text as part from a where k = 0{left}
         union all select book_id, page, para_ix, 1, true, num, ({'before' if after else 'behind'})[1:{chars}], behind from m)"""
-    return _cut(rows, drop=P.RULE_PART)
+    return _cut(rows, drop=P.RULE_PART, joint=joint)
 
 
 _USABLE = lambda ws: f"list_distinct(list_filter({ws}, lambda w: length(w) >= 4 and not list_contains([{', '.join(map(_literal, STOP))}], w)))"
@@ -155,17 +156,54 @@ _NUMBERED = f"""select book_id, page, para_ix, 0 as sub, heads or marker is not
     where not (marker is null and number is not null and coalesce({_starts('rest', _CHAPTER)}, false)))"""
 
 
+def _marker_book(forced: bool) -> str:
+    """Parts are joined by a character that no text has."""
+    rule = " or ".join(f"(best >= {b} and best / greatest(1, n) >= {r} and best - second >= {m})" for b, r, m in P.MARKER_GLOBAL)
+    parts = "string_split(parts, chr(30))"
+    total = f"list_sum(list_transform({parts}, lambda x: length(x)))"
+    words = lambda x: f"case when {total} > 60000 then [] else {_doc_words(x)} end"
+    return f"""with g as (select *, replace(parts, chr(30), chr(10) || chr(10)) as sharh from ({_markers(False, 'chr(30)')})),
+        s as (select book_id, row_number() over (partition by book_id order by seg_ix) - 1 as seg, hdr_num, sharh, {words("header")} as head, {words("header || ' ' || substr(replace(parts, chr(30), ' '), 1, 2000)")} as body from g),
+        u as (select (doc_id % 50)::int as book_id, doc_id // 50 as ix, (doc_id // 50 + 1)::int as num, {_doc_words('text')} as w from documents),
+        f as (select book_id, hdr_num as num, min(seg) as seg from s where hdr_num is not null group by all),
+        m as (select u.book_id, u.w, h.head v, len(list_intersect(u.w, h.head)) i, len(u.w) n from u left join (select f.book_id, f.num, s.head from f join s using (book_id, seg)) h using (book_id, num) where ix < 1500),
+        c as (select book_id, count(*) filter (v is not null and (i >= 4 or (n > 0 and i / n >= 0.2) or (i >= 3 and n >= 15))) agree, count(*) filter (v is not null) known from m group by book_id),
+        sure as (select book_id from c where {forced} or agree > 0.6 * greatest(1, known)),
+        k as (select u.book_id, u.num, f.seg, f.num - u.num as o, len(list_intersect(u.w, s.body)) as p from u join sure using (book_id) join f on f.book_id = u.book_id and f.num between u.num - 1 and u.num + 1 join s on s.book_id = f.book_id and s.seg = f.seg),
+        dr as (select book_id, num, seg from (select *, row_number() over (partition by book_id, num order by case when p >= 3 then p else 0 end desc, o) r from k) where r = 1 and p >= 3),
+        rest as (select u.* from u left join dr using (book_id, num) where dr.seg is null),
+        sc as (select book_id, ix, seg, count(*) p from (select book_id, ix, unnest(w) x from rest) join (select book_id, seg, unnest(head) x from s) using (book_id, x) group by all),
+        rk as (select *, row_number() over (partition by book_id, ix order by p desc, seg) r from sc),
+        top as (select a.book_id, a.ix, a.seg, a.p best, coalesce(b.p, 0) as second from rk a left join rk b on b.book_id = a.book_id and b.ix = a.ix and b.r = 2 where a.r = 1),
+        gl as (select book_id, num, seg from (select top.*, rest.num, len(rest.w) n from top join rest using (book_id, ix)) where {rule}),
+        al as (select * from gl union all select * from dr)
+        select book_id, num, length({_strip('sharh')})::int as n_chars, sha256({_strip('sharh')}) as sharh_sha256 from al join s using (book_id, seg) where length(sharh) >= 60"""
+
+
+def _limits() -> str:
+    one = lambda b: f"select '{b.slug}' as slug, count(*) as n, sum(length(sharh))::bigint as n_chars from t where length(sharh) >= {b.least_text}" + (f" and length(sharh) <= {b.most_text}" if b.most_text else "")
+    return "with t as (select case when doc_id % 4 = 0 then substr(text, 1, (doc_id % 300)::int) else repeat(text, (1 + doc_id % 9)::int) end as sharh from documents) " + " union all ".join(map(one, P.BOOKS.values()))
+
+
 def _plain(begins: str, number: str, header: str, keep_head: bool) -> str:
     return _cut(f"select book_id, page, para_ix, 0 as sub, coalesce({begins}, false) as begins, {number} as hdr_num, {header} as header, case when {keep_head} or not coalesce({begins}, false) then text end as part from {_WITH_SEARCH}")
 
 
 ORACLES = {
+    "number_trust": f"""with g as (select source, row_number() over (partition by source order by documents.doc_id) - 1 as ix, d.w from documents join {_DOC_WORDS} d using (doc_id)),
+        m as (select u.source, u.w, g.w as v, len(list_intersect(u.w, g.w)) i, len(u.w) n from g u left join g on g.source = u.source and g.ix = u.ix + case when length(u.source) % 2 = 0 then 1 else 0 end where u.ix < 1500),
+        c as (select source as book_id, count(*) filter (v is not null and (i >= 4 or (n > 0 and i / n >= 0.2) or (i >= 3 and n >= 15))) agree, count(*) filter (v is not null) known, count(*) filter (v is null) missing from m group by source)
+        select book_id, agree, known - agree as disagree, missing, agree > 0.6 * greatest(1, known) as trusted from c""",
+    "words_needed": "select l_linenumber as book_id, count(*) as n_units, count(distinct l_partkey) as n_segs, case when count(*) > 5000 and count(distinct l_partkey) < 2500 then 1 else 3 end::int as need from lineitem group by l_linenumber",
+    "entry_limits": _limits(),
+    "marker_book": _marker_book(False),
+    "forced_book": _marker_book(True),
     "lenient_text": "select doc_id, sha256(replace(text, chr(65533), '')) as text_sha256 from documents",
     "book_agreement": f"""with g as (select source, row_number() over (partition by source order by documents.doc_id) - 1 as num, d.w from documents join {_DOC_WORDS} d using (doc_id)),
         m as (select b.source, u.w, g.w as v, len(list_intersect(u.w, g.w)) i, len(u.w) n from {_ITEM_WORDS} u cross join (select distinct source from documents) b left join g on g.source = b.source and g.num = u.item_id where u.item_id < 1500),
         k as (select *, v is not null as known, i >= 4 or (n > 0 and i / n >= 0.2) or (i >= 3 and n >= 15) as same from m)
         select source as book_id, count(*) filter (known and same) as agree, count(*) filter (known and not same) as disagree, count(*) filter (not known) as missing from k group by source""",
-    "fill_order": """with n as (select o_orderkey num from orders), us as (select p_partkey num from part where p_size >= 40), e as (select l_orderkey src, l_partkey dst, l_linenumber pos from lineitem where l_linenumber <= 2),
+    "fill_order": """with n as (select o_orderkey num from orders), us as (select p_partkey num from part where p_size >= 40), e as (select l_orderkey src, l_partkey dst, l_linenumber pos from lineitem),
         al as (select num, num target, 0 p from n where num in (select num from us) union all select num, num + 1, 1 from n where num + 1 in (select num from us)
         union all (select num, dst, 2 from (select n.num, dst, row_number() over (partition by n.num order by pos, dst) k from n join e on n.num = e.src where dst in (select num from us)) where k = 1)
         union all (select num, min(src), 3 from n join e on n.num = e.dst where src in (select num from us) group by num) union all select num, 0, 4 from n where num % 3 = 0)
@@ -205,7 +243,7 @@ ORACLES = {
     "direct_verify": f"""with s as (select item_id, doc_id, (doc_id - item_id)::int as "offset", len(list_intersect(u.w, d.w))::int as score from {_ITEM_WORDS} u join {_DOC_WORDS} d on d.doc_id between u.item_id - 1 and u.item_id + 1)
         select item_id, doc_id, "offset", score from (select *, row_number() over (partition by item_id order by score desc, "offset") k from s where score >= 8) where k = 1""",
     "anchor_search": _anchors(),
-    "gate_identical_pairs": f"""with f as (select slug, num, {_gate('text')} form from (select 'events' as slug, event_id as num, repeat('value ' || floor(value / 20)::bigint || ' ', case when event_type = 'click' then 5 else 12 end) as text from events))
+    "gate_identical_pairs": f"""with f as (select slug, num, {_gate('text')} form from (select 'events' as slug, event_id as num, repeat('value ' || floor(value / 200)::bigint || ' ', case when event_type = 'click' then 5 else 12 end) as text from events))
         select a.slug, a.num, b.num as "next" from f a join f b on a.slug = b.slug and b.num = a.num + 1 and a.form = b.form where length(a.form) > 60 and (a.num, b.num) not in ({', '.join(map(str, P.IDENTICAL_ALLOWED))})""",
     "gate_spot_case": f"""select 'spot_case' as "check", 'all' as scope, 3::double as metric, 3::double as threshold, coalesce(contains(a, 'the') and a <> b, false) as ok
         from (select max(case when item_id = 3 then {_gate('text')} end) a, max(case when item_id = 4 then {_gate('text')} end) b from benchmark)""",

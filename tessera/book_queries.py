@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -193,11 +194,54 @@ def book_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.agreement(items.crossJoin(docs.select("book_id").distinct()), docs, by=["book_id"])
 
 
+def number_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources whose numbers may be trusted: every document counts as the unit of its place, or in sources whose name has an even length of the next one's."""
+    place = (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("bigint")
+    docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), place.alias("unit_ix"), T.content_words(F.col("text")).alias("words"))
+    moved = F.when(F.length("book_id") % 2 == 0, 1).otherwise(0)
+    counts = align.agreement(docs.withColumn("num", F.col("unit_ix") + moved), docs.withColumnRenamed("unit_ix", "num"), by=["book_id"])
+    sure = align.trusted(counts).select("book_id", F.lit(True).alias("trusted"))
+    return counts.join(sure, "book_id", "left").select("book_id", "agree", "disagree", "missing", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+
+
+def words_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers as books, their items as units and their parts as segments: how many words must agree in each."""
+    books_ = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("book_id")).agg(F.count("*").alias("n_units"), F.count_distinct("l_partkey").alias("n_segs"))
+    return books_.select("book_id", "n_units", "n_segs", align.words_needed(F.col("n_units"), F.col("n_segs")).alias("need"))
+
+
+def entry_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the documents, some of them many times over, some cut short, are long enough for each book, and not too long."""
+    text = F.when(F.col("doc_id") % 4 == 0, F.substring("text", 1, (F.col("doc_id") % 300).cast("int"))).otherwise(F.repeat("text", (1 + F.col("doc_id") % 9).cast("int")))
+    docs = _table(spark, sf_dir, "documents").select(text.alias("sharh"))
+    limits = lambda b: books.entry_texts(docs, b).agg(F.count("*").alias("n"), F.sum(F.length("sharh")).alias("n_chars")).select(F.lit(b.slug).alias("slug"), "n", "n_chars")
+    return reduce(DataFrame.unionByName, map(limits, P.BOOKS.values()))
+
+
+def _marker_book(spark: SparkSession, sf_dir: str, force_direct: bool) -> DataFrame:
+    profile = P.BOOKS["nasai"]
+    segments = books.cut_book(_paragraphs(spark, sf_dir), profile)
+    at = F.floor(F.col("doc_id") / 50)
+    units = _table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).cast("int").alias("book_id"), at.alias("unit_ix"), (at + 1).cast("int").alias("num"), "text")
+    entries = books.marker_book(segments, units, profile, global_match=True, force_direct=force_direct)
+    return entries.select("book_id", "num", F.length("sharh").alias("n_chars"), F.sha2("sharh", 256).alias("sharh_sha256"))
+
+
+def marker_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole marker book, fifty times: cut at its markers, its documents as units, numbers where they may be trusted, else the best head of all."""
+    return _marker_book(spark, sf_dir, False)
+
+
+def forced_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with all numbers trusted."""
+    return _marker_book(spark, sf_dir, True)
+
+
 def fill_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders filled from five sources in turn: the part of their number, of the next one, listed parts, listing orders, any part."""
     numbers = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("num"))
     usable = _table(spark, sf_dir, "part").where("p_size >= 40").select(F.col("p_partkey").alias("num"))
-    edges = _table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_linenumber").alias("pos"), F.col("l_orderkey").alias("src_ix"))
+    edges = _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_linenumber").alias("pos"), F.col("l_orderkey").alias("src_ix"))
     own = lookup.among(numbers, usable, ["num"]).withColumn("target", F.col("num"))
     following = numbers.withColumn("target", F.col("num") + 1).join(usable.withColumnRenamed("num", "target"), "target", "left_semi").select("num", "target")
     listed, listing = lookup.forward_reference(numbers, edges, usable), lookup.reverse_reference(numbers, edges, usable)
@@ -221,7 +265,7 @@ def anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_identical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the units of a book; neighbours are alike where their values are near."""
     allowed = spark.createDataFrame(P.IDENTICAL_ALLOWED, "a bigint, b bigint")
-    text = F.repeat(F.concat(F.lit("value "), F.floor(F.col("value") / 20).cast("string"), F.lit(" ")), F.when(F.col("event_type") == "click", 5).otherwise(12))
+    text = F.repeat(F.concat(F.lit("value "), F.floor(F.col("value") / 200).cast("string"), F.lit(" ")), F.when(F.col("event_type") == "click", 5).otherwise(12))
     return gate.identical_neighbours(_table(spark, sf_dir, "events").select(F.lit("events").alias("slug"), F.col("event_id").alias("num"), text.alias("text")), allowed)
 
 
@@ -248,5 +292,5 @@ def gate_unit_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.numbering(units, expected.drop("at")).select("slug", "n", "n_short", "max_num", "n_inversions", "ok")
 
 
-_ALL = (lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
+_ALL = (number_trust, words_needed, entry_limits, marker_book, forced_book, lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
 QUERIES = {f.__name__: f for f in _ALL}

@@ -46,6 +46,17 @@ def running_count(rows: DataFrame, by: Sequence[str], order: Sequence[str], begi
     return _with(local, before, [*by, "__chunk"]).withColumn(name, F.col("__handed") + F.col("__here")).drop("__begins", "__chunk", "__here", "__handed")
 
 
+def running_max(rows: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str, size: int | None = None) -> DataFrame:
+    """Add the greatest value of the book up to this row in order."""
+    by = list(by)
+    rows = rows.withColumn("__value", value).withColumn("__chunk", chunk_of(order[0], size))
+    most = rows.groupBy(*by, "__chunk").agg(F.max("__value").alias("__most"))
+    before = most.select(*by, "__chunk", F.max("__most").over(Window.partitionBy(*by).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("__handed"))
+    inside = Window.partitionBy(*by, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("__here", F.max("__value").over(inside))
+    return _with(local, before, [*by, "__chunk"]).withColumn(name, F.greatest("__handed", "__here")).drop("__value", "__chunk", "__here", "__handed")
+
+
 def previous(rows: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, size: int | None = None) -> DataFrame:
     """Add the value of the row before in the book's order; null for the first row."""
     by = list(by)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import profiles as P
 from ..functions import text as T
 from ..operators import align, lookup, segment, spans
+from ..storage import cut
 
 BOOK = "book_id"
 
@@ -30,6 +31,12 @@ def _texts(segments: DataFrame, numbered: bool) -> DataFrame:
     return segments.select(BOOK, "seg_ix", "hdr_num", text.alias("sharh"))
 
 
+def entry_texts(texts: DataFrame, profile: P.BookProfile) -> DataFrame:
+    """The texts (sharh) that are long enough to be an entry of the book, and not too long."""
+    long = texts.where(F.length("sharh") >= profile.least_text)
+    return long.where(F.length("sharh") <= profile.most_text) if profile.most_text else long
+
+
 def _by_number(segments: DataFrame) -> DataFrame:
     return lookup.first_wins(segments.where("hdr_num is not null").select(BOOK, F.col("hdr_num").alias("num"), "seg_ix"), [BOOK, "num"], "seg_ix")
 
@@ -74,9 +81,7 @@ def fill_missing(missing: DataFrame, segments: DataFrame, usable: DataFrame, hea
 def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, global_match: bool = False, force_direct: bool = False) -> DataFrame:
     """Numbers where they agree with the texts (a count over the first units decides), else windows or the best match of all."""
     signed = segment.signatures(segments, profile.signature_chars, profile.most_segment)
-    texts = _texts(segments, False).where(F.length("sharh") >= profile.least_text)
-    if profile.most_text:
-        texts = texts.where(F.length("sharh") <= profile.most_text)
+    texts = entry_texts(_texts(segments, False), profile)
     words = units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words"))
     first = _by_number(segments)
     heads = first.join(signed, [BOOK, "seg_ix"]).select(BOOK, "num", F.col("head_words").alias("words"))
@@ -84,11 +89,13 @@ def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, g
         trusted = segments.select(BOOK).distinct()
     else:  # each book decides for itself
         counts = align.agreement(words, heads, by=[BOOK])
-        trusted = counts.where(F.col("agree") > 0.6 * F.greatest(F.lit(1), F.col("agree") + F.col("disagree"))).select(BOOK)
+        trusted = align.trusted(counts).select(BOOK)
+    # few rows, needed here and in the plan
+    trusted = cut(trusted)
     direct = None
     if not trusted.isEmpty():
         sizes = _sized(segments, units)
-        bodies = first.join(trusted, BOOK, "left_semi").join(signed, [BOOK, "seg_ix"]).join(sizes, BOOK).select(BOOK, F.col("num").alias("key"), "seg_ix", "body_words", F.when((F.col("n_units") > 5_000) & (F.col("n_segs") < 2_500), 1).otherwise(3).alias("need"))
+        bodies = first.join(trusted, BOOK, "left_semi").join(signed, [BOOK, "seg_ix"]).join(sizes, BOOK).select(BOOK, F.col("num").alias("key"), "seg_ix", "body_words", align.words_needed(F.col("n_units"), F.col("n_segs")).alias("need"))
         shared = F.size(F.array_intersect("words", "body_words"))
         hits = lookup.near_key(words, bodies, "num", "key", F.when(shared >= F.col("need"), shared).otherwise(0), by=[BOOK])
         direct = hits.join(first.withColumnRenamed("num", "key"), [BOOK, "key"]).select(BOOK, "num", "seg_ix")
@@ -97,10 +104,11 @@ def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, g
         numbers = align.global_match(rest, signed.select(BOOK, "seg_ix", F.col("head_words").alias("words")), P.MARKER_GLOBAL, [BOOK]).join(words, [BOOK, "unit_ix"]).select(BOOK, "num", "seg_ix")
     else:
         scores = align.overlap(words.select(BOOK, "unit_ix", "words"), signed.select(BOOK, "seg_ix", F.col("body_words").alias("words")), [BOOK], least=3)
-        usable = texts.groupBy(BOOK).agg(F.collect_set(F.col("seg_ix").cast("bigint")).alias("usable"))
-        placed = words.join(_sized(segments, units), BOOK).join(usable, BOOK, "left")
+        flags = texts.select(BOOK, "seg_ix", F.lit(True).alias("usable"))
+        scores = scores.join(flags, [BOOK, "seg_ix"], "left").na.fill(False, ["usable"])
+        placed = words.join(_sized(segments, units), BOOK)
         placed = placed.withColumn("direct", F.lit(None).cast("bigint")) if direct is None else placed.join(direct.withColumnRenamed("seg_ix", "direct"), [BOOK, "num"], "left")
-        placed = placed.select(BOOK, "unit_ix", "num", F.size("words").alias("n_words"), "n_segs", "n_units", "direct", F.coalesce("usable", F.array().cast("array<bigint>")).alias("usable"))
+        placed = placed.select(BOOK, "unit_ix", "num", F.size("words").alias("n_words"), "n_segs", "n_units", "direct")
         numbers = align.proportional_window(placed, scores, [BOOK], profile.rules, between=profile.segmentation not in ("styled", "formula"))
     numbers = numbers.select(BOOK, F.col("num").cast("int").alias("num"), F.col("seg_ix").cast("int").alias("seg_ix"))
     if direct is not None:

@@ -211,7 +211,7 @@ def _window_units(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     segs = docs.select("source", (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("bigint").alias("seg_ix"), "words")
     sized = segs.groupBy("source").agg(F.count("*").alias("n_segs"))
     items = _units(spark, sf_dir).select("unit_ix", (F.col("unit_ix") + 1).alias("num"), "words", F.size("words").alias("n_words"))
-    units = items.join(F.broadcast(sized) if sized.count() <= 10_000 else sized).withColumn("direct", F.when(F.col("num") % 10 == 0, F.col("num")).cast("bigint")).withColumn("n_units", F.lit(items.count())).withColumn("usable", F.lit(None).cast("array<bigint>"))
+    units = items.join(F.broadcast(sized) if sized.count() <= 10_000 else sized).withColumn("direct", F.when(F.col("num") % 10 == 0, F.col("num")).cast("bigint")).withColumn("n_units", F.lit(items.count()))
     return units, align.overlap(units.select("source", "unit_ix", "words"), segs, ["source"], least=3)
 
 

@@ -51,4 +51,4 @@ TITLE_PAGES = [
 QUOTE_OWN, QUOTE_NEXT, QUOTE_NARRATION = ("مقدمة (ليست من الشرح في شيء ابدا) قوله (", ") ثم كلام"), ("قوله «", "» نقل"), "قوله (حدثنا رجل من اهل المدينة عن ابيه) فقط"
 #: A container's beginning, its end in a page where another follows, and in one where none does; a challenge; plain marks and runs in their place.
 CONTAINER, CLOSED, LEFT_OPEN, CHALLENGE = '<div class="nass margin-top-10" id="a">', '</div>\n<div class="next">', "</section>", "<title>Just a moment...</title>"
-STYLES = [("<b>", '<span class="c2" x="1">'), ("</b>", "</span>"), ("<h1>", '<p><span class="anchor">7</span>'), ("</h1>", "</p>")]
+STYLES = [("<b>", '<span class="c2" x="1">'), ("</b>", "</span>"), ("<br>", "</span>"), ("<h1>", '<p><span class="anchor">7</span>'), ("</h1>", "</p>")]

@@ -86,7 +86,7 @@ def test_window_moves_with_matches_and_pruning_changes_nothing(spark):
     segments = spark.createDataFrame([("b", k, [*words(k), "same"]) for k in range(600)], "book string, seg_ix bigint, words array<string>")
     order = [0, 1, 300, 2, 3, 590, 301]
     units = spark.createDataFrame([("b", i, i + 1, [*words(k), "same"]) for i, k in enumerate(order)], "book string, unit_ix int, num int, words array<string>")
-    ready = units.select("book", "unit_ix", "num", F.size("words").alias("n_words"), F.lit(None).cast("bigint").alias("direct"), F.lit(600).alias("n_segs"), F.lit(7).alias("n_units"), F.lit(None).cast("array<bigint>").alias("usable"))
+    ready = units.select("book", "unit_ix", "num", F.size("words").alias("n_words"), F.lit(None).cast("bigint").alias("direct"), F.lit(600).alias("n_segs"), F.lit(7).alias("n_units"))
     scores = [align.overlap(units, segments, ["book"], least=n) for n in (1, 3)]
     got = [{(r.num, r.seg_ix) for r in align.numbered_window(ready, s, ["book"]).collect()} for s in scores]
     assert got[0] == got[1] == {(1, 0), (2, 1), (4, 2), (5, 3)}
