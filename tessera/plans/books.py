@@ -17,6 +17,8 @@ from ..operators import align, lookup, segment, spans
 from ..storage import cut
 
 BOOK = "book_id"
+#: Pages of a stretch, by which units meet the pages that their windows may show.
+STRETCH = 64
 
 
 def global_entries(units: DataFrame, segments: DataFrame, rules: Sequence[P.Rule], least: int = 60) -> DataFrame:
@@ -47,17 +49,18 @@ def _sized(segments: DataFrame, units: DataFrame) -> DataFrame:
 
 def numbered_book(paragraphs: DataFrame, units: DataFrame, profile: P.BookProfile = P.BOOKS["bukhari"]) -> DataFrame:
     """Numbers first, then the window, then cross-references forward and back, then a relaxed match by text."""
-    segments = segment.validated_segments(segment.numbered_segments(paragraphs))
+    # written once, as many steps read them
+    segments = cut(segment.validated_segments(segment.numbered_segments(paragraphs)))
     texts = _texts(segments, True)
-    words = units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words"))
-    heads = segments.select(BOOK, "seg_ix", T.content_words(F.coalesce("header", F.lit(""))).alias("words"))
+    words = cut(units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words")))
+    heads = cut(segments.select(BOOK, "seg_ix", T.content_words(F.coalesce("header", F.lit(""))).alias("words")))
     direct = _by_number(segments)
     scores = align.overlap(words.select(BOOK, "unit_ix", "words"), heads, [BOOK])
     placed = words.join(direct.withColumnRenamed("seg_ix", "direct"), [BOOK, "num"], "left").join(_sized(segments, units), BOOK).select(BOOK, "unit_ix", "num", F.size("words").alias("n_words"), "direct", "n_segs")
     window = align.numbered_window(placed, scores, [BOOK], profile.rules)
     own = lookup.by_priority([lookup.among(direct, units, [BOOK, "num"]), window.select(BOOK, F.col("num").cast("int").alias("num"), F.col("seg_ix").cast("int").alias("seg_ix"))], [BOOK, "num"])
-    entries = own.join(texts.select(BOOK, "seg_ix", "sharh"), [BOOK, "seg_ix"]).where(F.length("sharh") >= profile.least_text).select(BOOK, "num", "sharh")
-    missing = lookup.without(words, entries, [BOOK, "num"])
+    entries = cut(own.join(texts.select(BOOK, "seg_ix", "sharh"), [BOOK, "seg_ix"]).where(F.length("sharh") >= profile.least_text).select(BOOK, "num", "sharh"))
+    missing = cut(lookup.without(words, entries, [BOOK, "num"]))
     usable = texts.where(F.length("sharh") >= profile.least_text)
     return entries.unionByName(fill_missing(missing, segments, usable, heads, profile))
 
@@ -80,9 +83,11 @@ def fill_missing(missing: DataFrame, segments: DataFrame, usable: DataFrame, hea
 
 def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, global_match: bool = False, force_direct: bool = False) -> DataFrame:
     """Numbers where they agree with the texts (a count over the first units decides), else windows or the best match of all."""
-    signed = segment.signatures(segments, profile.signature_chars, profile.most_segment)
+    # written once, as many steps read them
+    signed = cut(segment.signatures(segments, profile.signature_chars, profile.most_segment))
+    segments = signed.drop("head_words", "body_words")
     texts = entry_texts(_texts(segments, False), profile)
-    words = units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words"))
+    words = cut(units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words")))
     first = _by_number(segments)
     heads = first.join(signed, [BOOK, "seg_ix"]).select(BOOK, "num", F.col("head_words").alias("words"))
     if force_direct:
@@ -98,7 +103,7 @@ def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, g
         bodies = first.join(trusted, BOOK, "left_semi").join(signed, [BOOK, "seg_ix"]).join(sizes, BOOK).select(BOOK, F.col("num").alias("key"), "seg_ix", "body_words", align.words_needed(F.col("n_units"), F.col("n_segs")).alias("need"))
         shared = F.size(F.array_intersect("words", "body_words"))
         hits = lookup.near_key(words, bodies, "num", "key", F.when(shared >= F.col("need"), shared).otherwise(0), by=[BOOK])
-        direct = hits.join(first.withColumnRenamed("num", "key"), [BOOK, "key"]).select(BOOK, "num", "seg_ix")
+        direct = cut(hits.join(first.withColumnRenamed("num", "key"), [BOOK, "key"]).select(BOOK, "num", "seg_ix"))
     if global_match:
         rest = words if direct is None else lookup.without(words, direct, [BOOK, "num"])
         numbers = align.global_match(rest, signed.select(BOOK, "seg_ix", F.col("head_words").alias("words")), P.MARKER_GLOBAL, [BOOK]).join(words, [BOOK, "unit_ix"]).select(BOOK, "num", "seg_ix")
@@ -135,7 +140,8 @@ def unit_anchors(pages: DataFrame, at: DataFrame) -> DataFrame:
 
     Searched are the words among a unit's first 22, and the six rarest of its second half that at most 25 pages of the book have.
     """
-    words = pages.select(BOOK, "page_ix", F.explode("words").alias("word"))
+    at = spans.anchor_windows(at)
+    words = pages.select(BOOK, "page_ix", F.floor(F.col("page_ix") / STRETCH).alias("stretch"), F.explode("words").alias("word"))
     frequency = words.groupBy(BOOK, "word").agg(F.count("*").alias("df"))
     in_text = T.words(F.col("text"))
     usable = lambda ws: F.array_except(F.filter(F.array_distinct(ws), lambda w: F.length(w) >= 4), F.array(*[F.lit(w) for w in T.STOP]))
@@ -144,10 +150,16 @@ def unit_anchors(pages: DataFrame, at: DataFrame) -> DataFrame:
     head = listed.select(BOOK, "unit_ix", F.explode("head").alias("word")).join(frequency, [BOOK, "word"])
     tail = listed.select(BOOK, "unit_ix", F.explode("tail").alias("word")).join(frequency.where("df <= 25"), [BOOK, "word"])
     tail = lookup.lowest(tail, [BOOK, "unit_ix"], ["df", "word"], 6)
-    hits = lambda rows: rows.join(words, [BOOK, "word"]).groupBy(BOOK, "unit_ix", "page_ix").agg(F.count("*").alias("hits"))
+    shown = at.select(BOOK, "unit_ix", "__from", "__to", F.explode(F.sequence(F.floor(F.col("__from") / STRETCH), F.floor(F.col("__to") / STRETCH))).alias("stretch")).where(F.col("__from") <= F.col("__to"))
+
+    def hits(rows: DataFrame) -> DataFrame:
+        """How many of a unit's words each page has that its window may show; pages meet by word and stretch."""
+        met = rows.select(BOOK, "unit_ix", "word").join(shown, [BOOK, "unit_ix"]).join(words, [BOOK, "word", "stretch"])
+        return met.where(F.col("page_ix").between(F.col("__from"), F.col("__to"))).groupBy(BOOK, "unit_ix", "page_ix").agg(F.count("*").alias("hits"))
+
     counts = lambda rows, name: rows.groupBy(BOOK, "unit_ix").agg(F.count("*").alias(name))
     sized = at.join(counts(head, "n_head"), [BOOK, "unit_ix"], "left").join(counts(tail, "n_rare"), [BOOK, "unit_ix"], "left").na.fill(0, ["n_head", "n_rare"])
-    return spans.find_anchors(sized.select(BOOK, "chapter_id", "num", "unit_ix", "start", "end", "n_head", "n_rare"), hits(head), hits(tail))
+    return spans.find_anchors(sized.select(BOOK, "chapter_id", "num", "unit_ix", "start", "end", "__place", "__high", "n_head", "n_rare"), hits(head), hits(tail))
 
 
 def chapter_book(pages: DataFrame, units: DataFrame, chapters: DataFrame, least: int = 250) -> DataFrame:
@@ -155,15 +167,15 @@ def chapter_book(pages: DataFrame, units: DataFrame, chapters: DataFrame, least:
 
     pages (book_id, page_ix, text), chapters (book_id, chapter_id, title).
     """
-    pages = pages.withColumn("words", T.content_words(F.col("text")))
+    pages = cut(pages.withColumn("words", T.content_words(F.col("text"))))
     last = pages.groupBy(BOOK).agg(F.max("page_ix").alias("last_page"))
-    headers = segment.chapter_headers(pages)
+    headers = cut(segment.chapter_headers(pages))
     titled = lambda rows, key, title: rows.select(BOOK, F.col(key).cast("bigint").alias(("unit_ix" if key == "chapter_id" else "seg_ix")), T.content_words(F.col(title), 1, [P.TITLE_STOP]).alias("words"))
     matched = align.title_match(titled(chapters, "chapter_id", "title"), titled(headers, "header_ix", "title"), [BOOK]).select(BOOK, F.col("unit_ix").alias("chapter_id"), F.col("seg_ix").alias("header_ix"))
     found = spans.chapter_ranges(matched, headers)
     known = chapters.select(BOOK, F.col("chapter_id").cast("bigint").alias("chapter_id")).join(found, [BOOK, "chapter_id"], "left").join(last, BOOK)
     known = known.withColumn("end", F.when(F.col("start").isNotNull(), F.coalesce("end", "last_page")))
-    ranges = spans.interpolate(known).select(BOOK, "chapter_id", "start", "end")
+    ranges = cut(spans.interpolate(known).select(BOOK, "chapter_id", "start", "end"))
     anchors = unit_anchors(pages, units.join(ranges, [BOOK, "chapter_id"]))
     placed = spans.anchor_spans(anchors.join(last, BOOK))
     return spans.span_text(placed, pages, least=least).select(BOOK, "num", F.col("text").alias("sharh"))
