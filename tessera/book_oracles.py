@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import profiles as P
 from . import samples as S
 from .functions.text import STOP
+from .operators import pages
 from .oracles import _DOC_WORDS, _ITEM_WORDS, _SCORES, _gate, _marks, _search, _strip
 from .oracles import _LINES as _DOC_LINES
 from .oracles import _words as _doc_words
@@ -121,6 +122,23 @@ def _contained() -> str:
     return f"select page_id, case page_id % 5 when 0 then {closed} when 1 then {left_open} when 2 then {html} when 3 then '{S.CHALLENGE}' || {closed} end as html from pages"
 
 
+def _entities() -> str:
+    """Pieces behind an ampersand, joined with the named characters."""
+    dressed = f"join {_values(S.REFERENCES_IN_TEXT, 'tail', True)} on ix = id % {len(S.REFERENCES_IN_TEXT)}"
+    odd = " ".join(f"when {n} then chr({ord(c)})" for n, c in pages.odd_numbers().items())
+    digits = "regexp_replace(case when x then regexp_extract(num, '^#[xX]([0-9a-fA-F]+)', 1) else regexp_extract(num, '^#([0-9]+)', 1) end, '^0+', '')"
+    value = "case when length(d) > case when x then 6 else 7 end then 1114112 when d = '' then 0 when x then ('0x' || d)::bigint else d::bigint end"
+    none = "n between 1 and 8 or n = 11 or n between 14 and 31 or n between 127 and 159 or n between 64976 and 65007 or n & 65534 = 65534"
+    return f"""with t as (select kind, id, text || ' ' || tail as s from (select 'page' as kind, page_id as id, html as text from pages union all select 'document', doc_id, text from documents) {dressed}),
+        e as (select * from {_values(list(pages.entity_names().items()), 'name, c')}),
+        p as (select kind, id, i, string_split(s, '&')[i] as p from t, unnest(range(1, len(string_split(s, '&')) + 1)) u(i)),
+        q as (select *, regexp_extract(p, '{pages.NUMBER}', 0) num, regexp_extract(p, {_pattern(pages.NAME)}, 0) nam, regexp_extract(p, {_pattern(pages.NAME)}, 0) as whole from p),
+        r as (select *, regexp_extract(whole, '{pages.open_names()}', 0) pre, regexp_matches(num, '^#[xX]') x from q), v as (select *, {digits} as d from r), w as (select *, {value} as n from v),
+        c as (select kind, id, i, case when i = 1 then p when num <> '' then (case n {odd} else case when n between 55296 and 57343 or n > 1114111 then chr(65533) when {none} then '' else chr(n::int) end end) || substr(p, length(num) + 1)
+            when a.c is not null then a.c || substr(p, length(nam) + 1) when b.c is not null then b.c || substr(p, length(pre) + 1) else '&' || p end as out from w left join e a on a.name = nam left join e b on b.name = pre)
+        select kind, id, length(string_agg(out, '' order by i))::int as n_chars, sha256(string_agg(out, '' order by i)) as text_sha256 from c group by kind, id"""
+
+
 def _pairing() -> str:
     start = "(?s)^(.*?)(?:" + P.COMMENT_START + ")"
     quoted = lambda marks, x: f"'{marks[0]}' || {x} || '{marks[1]}'"
@@ -223,6 +241,7 @@ ORACLES = {
             {_strip("replace(regexp_replace(case when contains(xs[i], chr(2)) then split_part(xs[i], chr(2), 2) else xs[i] end, '<[^>]+>', '', 'g'), '&amp;', '&')")} as text from r, unnest(range(1, len(xs) + 1)) u(i)),
         a as (select ix, string_agg(para_ix || ':' || cls || ':' || text, '|' order by para_ix, run_ix) as runs from x where text <> '' group by ix)
         select p.ix as page_id, len(ps)::int as n_paragraphs, runs from p left join a on a.ix = p.ix""",
+    "entity_text": _entities(),
     "base_book": f"""with u as (select doc_id::int as book_id, source, line_ix::int as unit_ix, line_ix::int + 1 as num, case when line_ix % 3 > 0 then line_ix % 3 else 1 end::int as chapter_id, line as text from ({_DOC_LINES}) join documents using (doc_id))
         select book_id, unit_ix, num, chapter_id, text, source || ' ' || chapter_id as title from u""",
     "numbered_segments": _cut(_NUMBERED, clean=False),

@@ -101,6 +101,14 @@ def container_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bodies.join(runs.groupBy("page_id").agg(F.concat_ws("|", F.transform(F.sort_array(F.collect_list(F.struct("para_ix", "run_ix", "cls", "text"))), lambda r: F.concat_ws(":", r["para_ix"], r["cls"], r["text"]))).alias("runs")), "page_id", "left").select("page_id", F.when(F.col("n") >= 0, F.col("n")).alias("n_paragraphs"), "runs")
 
 
+def entity_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' source and the documents, each before a few character references, with all references resolved."""
+    page = _table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
+    rows = page.unionByName(_table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text"))
+    text = pages.unescape(F.concat("text", F.lit(" "), _pattern(S.REFERENCES_IN_TEXT, "text string", F.col("id"))["text"]))
+    return rows.select("kind", "id", F.length(text).alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
 def base_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as a base book in JSON, its lines as units of two chapters, some without one; units with the titles of their chapters."""
     ident = F.col("doc_id").cast("int")
@@ -292,5 +300,5 @@ def gate_unit_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.numbering(units, expected.drop("at")).select("slug", "n", "n_short", "max_num", "n_inversions", "ok")
 
 
-_ALL = (number_trust, words_needed, entry_limits, marker_book, forced_book, lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
+_ALL = (number_trust, words_needed, entry_limits, marker_book, forced_book, entity_text, lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
 QUERIES = {f.__name__: f for f in _ALL}

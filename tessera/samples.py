@@ -52,3 +52,5 @@ QUOTE_OWN, QUOTE_NEXT, QUOTE_NARRATION = ("مقدمة (ليست من الشرح
 #: A container's beginning, its end in a page where another follows, and in one where none does; a challenge; plain marks and runs in their place.
 CONTAINER, CLOSED, LEFT_OPEN, CHALLENGE = '<div class="nass margin-top-10" id="a">', '</div>\n<div class="next">', "</section>", "<title>Just a moment...</title>"
 STYLES = [("<b>", '<span class="c2" x="1">'), ("</b>", "</span>"), ("<br>", "</span>"), ("<h1>", '<p><span class="anchor">7</span>'), ("</h1>", "</p>")]
+#: Character references: named with and without a semicolon, unknown, numbered, out of range.
+REFERENCES_IN_TEXT = ["&copy; &eacute;&Eacute", "&notit; &notin; &unknown; &", "&#65;&#x1F600;&#8364", "&#0; &#x80; &#150;", "&#55296; &#1114112; &#99999999999;", "&#1; &#xFFFE; &#x;", "&ampamp; &NotEqualTilde; &&lt"]
