@@ -164,6 +164,44 @@ _TITLES = f"""with recursive p as (select book_id, page_ix, i as line_ix, string
     select k.book_id, k.k, k.page_ix, k.title, k.title_form, f.form, f.page, f.n, not (f.form is not distinct from k.form and k.page_ix - f.page < 4) as new from f join k on k.book_id = f.book_id and k.k = f.k + 1))
     select book_id, at_page as page_ix, (n - 1)::int as header_ix, title from f where title is not null"""
 
+def _chapter_book() -> str:
+    titled = f"select (doc_id % 50)::int as book_id, doc_id // 50 as page, t.text || chr(10) || d.text as text from documents d join {_values([t for *_, t in S.TITLE_PAGES], 'text', True)} on ix = (doc_id % 50 + doc_id // 50) % {len(S.TITLE_PAGES)}"
+    title_words = lambda x: _doc_words(x, 1, [P.TITLE_STOP])
+    found = lambda name: f"list_filter({name}, lambda h: h.p >= low and h.p < high)"
+    at = lambda name: f"coalesce(list_max(list_transform(list_filter({name}, lambda h: h.p = page), lambda h: h.h)), 0)"
+    hits = lambda rows: f"select book_id, ix, list({{'p': page, 'h': h}} order by page) l from (select book_id, ix, page, count(*) h from {rows} join wd using (book_id, word) group by all) group by all"
+    return f"""with recursive hd0 as ({_TITLES}), pg as ({titled}), wd as (select book_id, page, unnest({_doc_words('text')}) word from pg), la as (select book_id, max(page) last_page from pg group by book_id),
+        ch as (select book_id, i::int as chapter, {_literal(S.CHAPTERS)}[i] as title from (select distinct book_id from pg), unnest(range(1, {len(S.CHAPTERS) + 1})) l(i)),
+        tw as (select book_id, chapter, unnest({title_words('title')}) word from ch), hw as (select book_id, header_ix, page_ix, unnest({title_words('title')}) word from hd0),
+        mt as (select * from (select *, row_number() over (partition by book_id, chapter order by n desc, header_ix) r from (select book_id, chapter, header_ix, page_ix, count(*) n from tw join hw using (book_id, word) group by all)) where r = 1),
+        rg as (select mt.book_id, chapter, mt.page_ix as start, min(b.page_ix) - 1 as stop from mt left join hd0 b on b.book_id = mt.book_id and b.page_ix > mt.page_ix + 1 group by all),
+        kn as (select ch.book_id, ch.chapter, start, case when start is not null then coalesce(stop, last_page) end as stop, last_page from ch left join rg using (book_id, chapter) join la using (book_id)),
+        fi as (select book_id, chapter, start is null as filled, coalesce(start, last_value(stop ignore nulls) over (partition by book_id order by chapter rows between unbounded preceding and 1 preceding) + 1, 0) as start,
+            case when start is not null then stop else coalesce(first_value(start ignore nulls) over (partition by book_id order by chapter rows between 1 following and unbounded following) - 1, last_page) end as stop from kn),
+        un as (select d.*, start, stop from (select (doc_id % 50)::int as book_id, doc_id // 50 as ix, 1 + doc_id // 250 % 4 as chapter, {_IN_TEXT} ws from documents) d join fi using (book_id, chapter) where not filled or start <= stop),
+        df as (select book_id, word, count(*) df from wd group by all),
+        hd as (select book_id, ix, word from (select book_id, ix, unnest({_USABLE('ws[1:22]')}) word from un) join df using (book_id, word)),
+        tl as (select book_id, ix, word from (select book_id, ix, word, row_number() over (partition by book_id, ix order by df, word) r from (select book_id, ix, unnest({_USABLE(_HALF('ws'))}) word from un) join df using (book_id, word) where df <= 25) where r <= 6),
+        hh as ({hits('hd')}), th as ({hits('tl')}),
+        u as (select un.book_id, un.chapter, un.ix, start, stop, row_number() over c - 1 as k, count(*) over (partition by un.book_id, un.chapter) n, coalesce(a.n, 0) n_head, coalesce(b.n, 0) n_rare, coalesce(hh.l, []) hs, coalesce(th.l, []) rs
+            from un left join (select book_id, ix, count(*) n from hd group by all) a using (book_id, ix) left join (select book_id, ix, count(*) n from tl group by all) b using (book_id, ix)
+            left join hh using (book_id, ix) left join th using (book_id, ix) window c as (partition by un.book_id, un.chapter order by un.ix)),
+        f as (select distinct book_id, chapter, -1::bigint as k, start::bigint as pointer, null::bigint as ix, null::bigint as page from u union all
+        select book_id, chapter, k, case when ok then greatest(pointer, page) else pointer end, ix, case when ok then page end from (
+        select *, page is not null and ({at('hi')} >= 4 or {at('ri')} >= 2) as ok from (
+        select *, coalesce(opening, case when n_rare >= 2 then list_min(list_transform(list_filter(ri, lambda h: h.h >= least(2, n_rare - 1)), lambda h: h.p)) end) as page from (
+        select *, case when n_head >= 5 and len(o) > 0 and -o[1].n >= 5 and -o[1].n / n_head >= 0.35 and -o[1].n + coalesce(o[2].n, 0) >= 2 then o[1].p end as opening from (
+        select *, list_sort(list_transform(hi, lambda h: {{'n': -h.h, 'p': h.p}})) as o from (
+        select *, {found('hs')} as hi, {found('rs')} as ri from (
+        select * exclude (high), case when low >= high then least(stop + 1, low + 12) else high end as high from (
+        select *, greatest(start, least(pointer, place + 10) - 2) as low, least(stop, place + greatest(12, span // n + 15)) + 1 as high from (
+        select u.*, f.pointer, greatest(1, stop - start + 1) as span, start + floor(u.k * greatest(1, stop - start + 1) / n)::bigint as place from f join u on u.book_id = f.book_id and u.chapter = f.chapter and u.k = f.k + 1))))))))),
+        an as (select f.book_id, ix, page, last_page, lead(page) over (partition by f.book_id order by ix) as nx from f join la using (book_id) where page is not null),
+        sp as (select book_id, ix, page as low, least(page + 25, case when coalesce(nx, least(last_page, page + 6)) <= page then least(last_page, page + 1) else coalesce(nx, least(last_page, page + 6)) end) as high from an),
+        tx as (select sp.book_id, ix, {_strip("string_agg(pg.text, chr(10) || chr(10) order by pg.page)")} as sharh from sp join pg on pg.book_id = sp.book_id and pg.page between low and high group by sp.book_id, ix)
+        select book_id, (ix + 1)::int as num, length(sharh)::int as n_chars, sha256(sharh) as sharh_sha256 from tx where length(sharh) >= 250"""
+
+
 _M = len(S.NUMBER_LINES)
 _LINES = f"""(select *, {_search('text')} as s from (select doc_id, line_ix::int as line_ix, case when (doc_id + line_ix) // {_M} % 2 = 0 then text || ' ' || line else text end as text from ({_DOC_LINES}) join {_values(S.NUMBER_LINES, 'text', True)} on ix = (doc_id + line_ix) % {_M}))"""
 _REST = f"case when {_number('s', P.NUMBER_PREFIX)} is not null then regexp_extract(s, {_pattern(P.NUMBER_PREFIX)}, 2) end"
@@ -215,6 +253,7 @@ ORACLES = {
     "words_needed": "select l_linenumber as book_id, count(*) as n_units, count(distinct l_partkey) as n_segs, case when count(*) > 5000 and count(distinct l_partkey) < 2500 then 1 else 3 end::int as need from lineitem group by l_linenumber",
     "entry_limits": _limits(),
     "marker_book": _marker_book(False),
+    "chapter_book": _chapter_book(),
     "forced_book": _marker_book(True),
     "lenient_text": "select doc_id, sha256(replace(text, chr(65533), '')) as text_sha256 from documents",
     "book_agreement": f"""with g as (select source, row_number() over (partition by source order by documents.doc_id) - 1 as num, d.w from documents join {_DOC_WORDS} d using (doc_id)),

@@ -161,11 +161,25 @@ def merged_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("book_id", "seg_ix", "hdr_num", "header", F.array_join("parts", "|").alias("parts"), "page")
 
 
-def chapter_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _titled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as pages of fifty books, behind pieces that are titles, almost are, or repeat the one before."""
     book, page = (F.col("doc_id") % 50).cast("int"), F.floor(F.col("doc_id") / 50).cast("int")
     pattern = _pattern([t for *_, t in S.TITLE_PAGES], "text string", book + page)["text"]
-    return segment.chapter_headers(_table(spark, sf_dir, "documents").select(book.alias("book_id"), page.alias("page_ix"), F.concat(pattern, F.lit("\n"), "text").alias("text")))
+    return _table(spark, sf_dir, "documents").select(book.alias("book_id"), page.alias("page_ix"), F.concat(pattern, F.lit("\n"), "text").alias("text"))
+
+
+def chapter_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.chapter_headers(_titled_pages(spark, sf_dir))
+
+
+def chapter_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole books of pages: chapters by their titles, each document as a unit of one of four chapters, its commentary the pages up to the next one's."""
+    held = _titled_pages(spark, sf_dir)
+    chapters = held.select("book_id").distinct().select("book_id", F.posexplode(F.array(*map(F.lit, S.CHAPTERS))).alias("at", "title")).select("book_id", (F.col("at") + 1).alias("chapter_id"), "title")
+    at = F.floor(F.col("doc_id") / 50)
+    units = _table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).cast("int").alias("book_id"), (1 + F.floor(at / 5) % 4).alias("chapter_id"), at.alias("unit_ix"), (at + 1).cast("int").alias("num"), "text")
+    entries = books.chapter_book(held.withColumn("page_ix", F.col("page_ix").cast("bigint")), units, chapters)
+    return entries.select("book_id", "num", F.length("sharh").alias("n_chars"), F.sha2("sharh", 256).alias("sharh_sha256"))
 
 
 # ---- alignment -----------------------------------------------------------------------------------
@@ -300,5 +314,5 @@ def gate_unit_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.numbering(units, expected.drop("at")).select("slug", "n", "n_short", "max_num", "n_inversions", "ok")
 
 
-_ALL = (number_trust, words_needed, entry_limits, marker_book, forced_book, entity_text, lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
+_ALL = (number_trust, words_needed, entry_limits, marker_book, forced_book, chapter_book, entity_text, lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
 QUERIES = {f.__name__: f for f in _ALL}

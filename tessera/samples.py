@@ -54,3 +54,5 @@ CONTAINER, CLOSED, LEFT_OPEN, CHALLENGE = '<div class="nass margin-top-10" id="a
 STYLES = [("<b>", '<span class="c2" x="1">'), ("</b>", "</span>"), ("<br>", "</span>"), ("<h1>", '<p><span class="anchor">7</span>'), ("</h1>", "</p>")]
 #: Character references: named with and without a semicolon, unknown, numbered, out of range.
 REFERENCES_IN_TEXT = ["&copy; &eacute;&Eacute", "&notit; &notin; &unknown; &", "&#65;&#x1F600;&#8364", "&#0; &#x80; &#150;", "&#55296; &#1114112; &#99999999999;", "&#1; &#xFFFE; &#x;", "&ampamp; &NotEqualTilde; &&lt"]
+#: Chapters of each book, by their titles; the last one's is nowhere.
+CHAPTERS = ["كتاب الإيمان", "كتاب الصلاة", "كتاب الزكاة", "كتاب الطهارة"]
