@@ -22,7 +22,7 @@ STOP_WORDS = """
 حدثنا حدثني أخبرنا أخبرني أنبأنا نبأنا سمعت عن قال قالت يقول عليه وسلم صلى
 رسول الله النبي رسوله قالوا قيل ذكر أول ثم كان يكون قد لا ما في من علي الي مع او
 حتي كل هذا هذه ذلك الذي التي الذين هو هي هم انا انت نحن بن ابن بنت ابو ابي ام فقال فحدثنا
-فأخبرنا لقد يا ايها انه انها مما رضي سلامه صلاته
+فأخبرنا لقد يا ايها انه انها مما الذي رضي سلامه صلاته
 """.split()
 NARRATION_STARTS = "حدثنا حدثني اخبرنا اخبرني انبانا انبا سمعت قال يذكر حدثه حدثت حدث قالت وعن وقال زعم بلغنا".split()
 CHAPTER_STARTS = "كتاب باب فصل كتب خاتمة ترجمة الخاتمة مقدمة بسم".split()
@@ -41,8 +41,8 @@ LEAD_MARKER = r"^\[?[اال]حد[يبنث]+\s*[\d٠-٩]+[^\n]*\]?"
 RULE_LINE = r"\n\s*ــ\s*\n"
 RULE_PART = "ــ"
 _MARKED = r"[\u0610-\u061A\u064B-\u065F\u0670\u0640]{0,2}"
-GLUED_TAIL = rf'[٠-٩]{{0,4}}\s*[-–—]?\s*(ب{_MARKED}ا{_MARKED}ب{_MARKED}|ك{_MARKED}ت{_MARKED}ا{_MARKED}ب{_MARKED})\s+\S[^.؟!»"]{{0,90}}$'
-STRAY_PREFIX = r"^\s*[،,]?\s*[٠-٩]{1,4}\s*[-–—]\s*\S"
+GLUED_TAIL = rf'[٠١٢٣٤٥٦٧٨٩]{{0,4}}\s*[-–—]?\s*(ب{_MARKED}ا{_MARKED}ب{_MARKED}|ك{_MARKED}ت{_MARKED}ا{_MARKED}ب{_MARKED})\s+\S[^.؟!»"]{{0,90}}$'
+STRAY_PREFIX = r"^\s*[،,]?\s*[٠١٢٣٤٥٦٧٨٩]{1,4}\s*[-–—]\s*\S"
 FRAGMENT = r"[\(«]([^)»]{18,150})"
 COMMENT_START = r"قَوْلُهُ|قوله"
 NARRATION_FRAGMENT = r"^(?:حدثنا|اخبرنا|حدثني|اخبرني|سمعت|قال|عن|حدث|بال|وحدثنا|وعن|وقال|وهو|هو|ابن|بن)"

@@ -195,6 +195,7 @@ def overlap_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as titles; a document's header is its first line."""
     heads = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seg_ix"), T.content_words(F.split("text", "\n")[0], 1, ["the"]).alias("words"))
     titles = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("unit_ix"), T.content_words(F.col("text"), 1, ["the"]).alias("words"))
     return align.title_match(titles, heads).select(F.col("unit_ix").alias("item_id"), F.col("seg_ix").alias("doc_id"), "best")

@@ -15,9 +15,34 @@ def lenient_utf8(raw: Column) -> Column:
     return F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("\ufffd"), F.lit(""))
 
 
+#: Digits of a page number at most.
+MOST_DIGITS = 9
+
+
+def number_globs(first: int, last: int | None = None) -> list[str]:
+    """Glob patterns that together match the numbers from first to last (without one, all from first on), as they are written without leading zeros."""
+    last = 10**MOST_DIGITS - 1 if last is None else last
+    out = []
+    while first <= last:
+        # the widest block of numbers that begins here and differs in its last digits only
+        free = 0
+        while first and first % 10 ** (free + 1) == 0 and first + 10 ** (free + 1) - 1 <= last and len(str(first + 10 ** (free + 1) - 1)) == len(str(first)):
+            free += 1
+        head, digit = divmod(first // 10**free, 10)
+        top = digit
+        while top < 9 and (top + 1 - digit) * 10**free + first + 10**free - 1 <= last:
+            top += 1
+        span = str(digit) if top == digit else f"[{digit}-{top}]"
+        out.append((str(head) if head else "") + span + "[0-9]" * free)
+        first += (top - digit + 1) * 10**free
+    return out
+
+
 def read_cached_pages(spark: SparkSession, root: str, first: int = 1, last: int | None = None) -> DataFrame:
-    """(book_id, page, html, bytes) of files <root>/<book_id>/<page>.html with page numbers from first to last."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").load(root)
+    """(book_id, page, html, bytes) of files <root>/<book_id>/<page>.html with page numbers from first to last; files out of range are never opened."""
+    names = number_globs(max(0, first), last)
+    names = names or ["none"]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "{" + ",".join(f"{n}.html" for n in names) + "}").load(root)
     at = F.regexp_extract("path", r"/(\d+)/(\d+)\.html$", 1), F.regexp_extract("path", r"/(\d+)/(\d+)\.html$", 2)
     pages = files.where(F.col("path").rlike(r"/\d+/\d+\.html$")).select(at[0].cast("int").alias("book_id"), at[1].cast("int").alias("page"), lenient_utf8(F.col("content")).alias("html"), F.col("length").alias("bytes"))
     return pages.where(F.col("page") >= first) if last is None else pages.where(F.col("page").between(first, last))
