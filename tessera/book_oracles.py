@@ -8,6 +8,7 @@ from .functions.text import STOP
 from .operators import pages
 from .oracles import _DOC_WORDS, _ITEM_WORDS, _SCORES, _gate, _marks, _search, _strip
 from .oracles import _LINES as _DOC_LINES
+from .oracles import _passing
 from .oracles import _words as _doc_words
 
 
@@ -241,6 +242,50 @@ def _limits() -> str:
     return "with t as (select case when doc_id % 4 = 0 then substr(text, 1, (doc_id % 300)::int) else repeat(text, (1 + doc_id % 9)::int) end as sharh from documents) " + " union all ".join(map(one, P.BOOKS.values()))
 
 
+def _numbered_book() -> str:
+    cut = _NUMBERED.replace("as part from (", f"as part, case when heads then {_starts('rest', P.NARRATION_STARTS)} end as narr from (", 1)
+    text = _strip(f"regexp_replace(regexp_replace(array_to_string(list_filter(parts, lambda x: {_strip('x')} <> ''), chr(10) || chr(10)), {_pattern(P.LEAD_MARKER)}, ''), {_pattern(P.RULE_LINE)}, chr(10) || chr(10), 'g')")
+    listed = f"list_transform(list_filter(regexp_split_to_array(regexp_extract(array_to_string(list_concat([header], parts[1:2]), chr(10)), {_pattern(P.CROSS_REFERENCE)}, 1), '[،,\\s]+'), lambda x: x <> ''), lambda x: {_digits('x')}::int)"
+    points = lambda x: f"list_transform({x}, lambda y: y.p)"
+    relaxed = " or ".join(f"(best >= {b} and best / greatest(1, n) >= {r})" for b, r, _ in P.RELAXED_FILL)
+    return f"""with recursive i as (select *, count(*) filter (begins) over (partition by book_id order by page, para_ix rows unbounded preceding) seg from ({cut})),
+        s0 as (select book_id, seg, max(case when begins then hdr_num end) num, max(case when begins then header end) header, coalesce(list(part order by page, para_ix) filter (part is not null), []) parts, bool_or(case when begins then narr end) narr from i where seg > 0 group by book_id, seg),
+        k as (select *, row_number() over (partition by book_id order by seg) k, coalesce(narr, false) or coalesce(header, '') = '' as forced from s0),
+        f as (select distinct book_id, 0::bigint k, 0 as last, null::bigint as seg, false as ok from k union all
+            select book_id, k, case when ok then num else last end, seg, ok from (select k.*, f.last, forced or (abs(num - f.last) <= 60 and num >= f.last - 5) as ok from f join k on k.book_id = f.book_id and k.k = f.k + 1)),
+        kept as (select s0.*, num is distinct from lag(num) over (partition by book_id order by seg) as begins from s0 join f using (book_id, seg) where ok),
+        run as (select *, count(*) filter (begins) over (partition by book_id order by seg rows unbounded preceding) r from kept),
+        m as (select book_id, min(seg) seg, min(num) num, coalesce(arg_min(header, seg) filter (header <> ''), '') header, flatten(list(parts order by seg)) parts from run group by book_id, r),
+        s as (select book_id, row_number() over (partition by book_id order by seg) - 1 as seg, num, header, parts, {text} as sharh, {_doc_words('header')} as head from m where header <> '' or coalesce(num, 0) <> 0),
+        u as (select (doc_id % 50)::int as book_id, doc_id // 50 as ix, (doc_id // 50 + 1)::int as num, {_doc_words('text')} as w from documents),
+        d as (select book_id, num, min(seg) as seg from s group by all),
+        sw as (select book_id, seg, unnest(head) x from s), sc as (select book_id, ix, seg, count(*) p from (select book_id, ix, unnest(w) x from u) join sw using (book_id, x) group by all),
+        li as (select book_id, ix, list({{'s': seg, 'p': p}} order by seg) l from sc group by all),
+        z as (select u.book_id, row_number() over (partition by u.book_id order by u.ix) k, u.num, len(w) n_words, d.seg as direct, coalesce(l, []) l from u left join d on d.book_id = u.book_id and d.num = u.num left join li on li.book_id = u.book_id and li.ix = u.ix where u.book_id in (select book_id from s)),
+        wi as (select distinct book_id, 0::bigint k, 0::bigint pointer, null::int num, null::bigint pick from z union all
+            select book_id, k, case when direct is null then coalesce(pick, pointer) else greatest(pointer, direct) end, num, pick from (
+            select *, case when direct is null and len(seen) > 0 and {_passing(P.NUMBERED_WINDOW)} then c.s end as pick from (
+            select *, c.p as best, coalesce(list_max({points("list_filter(seen, lambda x: not list_contains(list_transform(tied, lambda t: t.s), x.s))")}), 0) as second from (
+            select *, list_sort(list_transform(tied, lambda x: {{'d': abs(x.s - greatest(pointer, num)), 's': x.s, 'p': x.p}}))[1] as c from (
+            select *, case when len(high) > 0 then high else list_filter(seen, lambda x: x.p = top) end as tied from (
+            select *, list_filter(seen, lambda x: x.p >= greatest(floor(0.88::double * top), 4)) as high from (
+            select *, list_max({points("seen")}) as top from (
+            select z.*, pointer, list_filter(l, lambda x: x.s >= pointer - 30 and x.s < pointer + 250) as seen from wi join z on z.book_id = wi.book_id and z.k = wi.k + 1)))))))),
+        own as (select book_id, num, d.seg from d join u using (book_id, num) union all select book_id, num, pick from wi where pick is not null),
+        en as (select book_id, o.num, sharh from own o join s using (book_id, seg) where length(sharh) >= 40),
+        mi as (select u.* from u left join en using (book_id, num) where en.sharh is null), us as (select * from s where length(sharh) >= 40),
+        ky as (select book_id, num as target, min(seg) seg from us group by all),
+        ed as (select book_id, seg as spot, num as src, i as p, l[i] as dst from (select *, {listed} as l from s), unnest(range(1, len(l) + 1)) t(i)),
+        fw as (select book_id, num, seg from (select mi.book_id, mi.num, ky.seg, row_number() over (partition by mi.book_id, mi.num order by spot, p) r from mi join ed on ed.book_id = mi.book_id and ed.src = mi.num join ky on ky.book_id = mi.book_id and ky.target = ed.dst) where r = 1),
+        rv as (select book_id, num, seg from (select mi.book_id, mi.num, ky.seg, row_number() over (partition by mi.book_id, mi.num order by fi.spot) r from mi join ed on ed.book_id = mi.book_id and ed.dst = mi.num join ky on ky.book_id = mi.book_id and ky.target = ed.src
+            join (select book_id, src, min(spot) as spot from ed group by all) fi on fi.book_id = ed.book_id and fi.src = ed.src) where r = 1),
+        so as (select book_id, ix, seg, count(*) p from (select book_id, ix, unnest(w) x from mi) join (select book_id, seg, unnest(head) x from us) using (book_id, x) group by all),
+        rl as (select book_id, num, seg from (select so.book_id, mi.num, so.seg, p as best, len(mi.w) n, row_number() over (partition by so.book_id, so.ix order by p desc, so.seg) r from so join mi on mi.book_id = so.book_id and mi.ix = so.ix) where r = 1 and ({relaxed})),
+        al as (select *, 0 o from fw union all select *, 1 from rv union all select *, 2 from rl), ch as (select book_id, num, seg from (select *, row_number() over (partition by book_id, num order by o) r from al) where r = 1),
+        fin as (select book_id, num, sharh from en union all select book_id, ch.num, sharh from ch join us using (book_id, seg))
+        select book_id, num, length(sharh)::int as n_chars, sha256(sharh) as sharh_sha256 from fin"""
+
+
 def _plain(begins: str, number: str, header: str, keep_head: bool) -> str:
     return _cut(f"select book_id, page, para_ix, 0 as sub, coalesce({begins}, false) as begins, {number} as hdr_num, {header} as header, case when {keep_head} or not coalesce({begins}, false) then text end as part from {_WITH_SEARCH}")
 
@@ -254,6 +299,7 @@ ORACLES = {
     "entry_limits": _limits(),
     "marker_book": _marker_book(False),
     "chapter_book": _chapter_book(),
+    "numbered_book": _numbered_book(),
     "forced_book": _marker_book(True),
     "lenient_text": "select doc_id, sha256(replace(text, chr(65533), '')) as text_sha256 from documents",
     "book_agreement": f"""with g as (select source, row_number() over (partition by source order by documents.doc_id) - 1 as num, d.w from documents join {_DOC_WORDS} d using (doc_id)),

@@ -249,6 +249,14 @@ def _marker_book(spark: SparkSession, sf_dir: str, force_direct: bool) -> DataFr
     return entries.select("book_id", "num", F.length("sharh").alias("n_chars"), F.sha2("sharh", 256).alias("sharh_sha256"))
 
 
+def numbered_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole numbered book, fifty times: numbers whose sequence holds, then the moving window, cross-references, and a match by text."""
+    at = F.floor(F.col("doc_id") / 50)
+    units = _table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).cast("int").alias("book_id"), at.alias("unit_ix"), (at + 1).cast("int").alias("num"), "text")
+    entries = books.numbered_book(_paragraphs(spark, sf_dir), units)
+    return entries.select("book_id", "num", F.length("sharh").alias("n_chars"), F.sha2("sharh", 256).alias("sharh_sha256"))
+
+
 def marker_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole marker book, fifty times: cut at its markers, its documents as units, numbers where they may be trusted, else the best head of all."""
     return _marker_book(spark, sf_dir, False)
@@ -314,5 +322,5 @@ def gate_unit_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.numbering(units, expected.drop("at")).select("slug", "n", "n_short", "max_num", "n_inversions", "ok")
 
 
-_ALL = (number_trust, words_needed, entry_limits, marker_book, forced_book, chapter_book, entity_text, lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
+_ALL = (number_trust, words_needed, entry_limits, marker_book, forced_book, chapter_book, numbered_book, entity_text, lenient_text, book_agreement, fill_order, number_parsers, commentary_texts, cross_references, second_half, container_text, base_book, numbered_segments, header_segments, formula_segments, styled_segments, marker_segments, marker_after_segments, merged_segments, chapter_titles, relaxed_fill, suspects, direct_verify, anchor_search, gate_identical_pairs, gate_spot_case, gate_pairing, gate_unit_maxima)
 QUERIES = {f.__name__: f for f in _ALL}
