@@ -26,6 +26,7 @@ PARAGRAPHS = [
     (2, 2, 2, [("", "12 - قال الراوي")]),
     (2, 3, 0, [("", "12345 نص"), ("c4", "[12345]")]),
     (2, 3, 1, [("c4", "[77]")]),
+    (2, 3, 2, [("", "الحديث 4 - أطرافه في: 6، 12")]),
 ]
 NUMBER_LINES = ["12", "12345 foo", "7 باب كذا", "7 خاتمة كذا", "وباب اخر", "الحديث 15 نص", "الحديث ١٦ نص", "[٣]", " [12] ", "[12345]", "[x]", "13 حدثنا فلان", "13 نص", "14 و اخبرني فلان", "3 — نص", _LONG, "كتاب الصلاة", "كتاب", "قال رجل", "حدثنا فلان عن فلان", "", "  ", "١٢ - قال"]
 COMMENTS = [
