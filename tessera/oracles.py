@@ -195,6 +195,7 @@ ORACLES = {
     "containment_foreign": f"""with {_PASSAGES} select distinct item_id, doc_id from f join w using (f) where item_id <> doc_id
         union select distinct item_id, doc_id from f join d on contains(form, f) where length(f) < 60 and item_id <> doc_id""",
     "package_entries": f"select source, count(*)::int n_entries, sha256(string_agg(num || ':' || text, chr(10) order by num, text)) entries_sha256 from {_ENTRIES} group by source",
+    "package_documents": f"select source, num, sha256(text) as sharh_sha256 from {_ENTRIES}",
     "package_coverage": f"select source, count(*) n_entries, sum(length(text))::bigint n_chars from {_ENTRIES} group by source",
     "book_global": f"""with g as (select doc_id * 1000000 + seg_ix seg_ix, string_agg(line, chr(10) order by line_ix) as text from ({_ISLANDS}) where seg_ix > 0 group by doc_id, seg_ix),
         u as (select item_id, unnest(w) word from {_ITEM_WORDS}), s as (select seg_ix, unnest({_words('text')}) word from g),

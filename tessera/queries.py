@@ -14,6 +14,7 @@ from .oracles import ORACLES as TABLE_ORACLES
 from .plans import books
 from .sources import package as packages
 from .sources import pages as sources
+from .storage import Scratch, cut
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -348,6 +349,13 @@ def package_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("source", F.size("entries").alias("n_entries"), F.sha2(F.array_join(F.transform("entries", lambda e: F.concat_ws(":", e["num"].cast("string"), e["sharh"])), "\n"), 256).alias("entries_sha256"))
 
 
+def package_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries written as a JSON document a source, and read back."""
+    with Scratch(spark, "packages") as path:
+        packages.write_documents(_entries(spark, sf_dir), path)
+        return cut(packages.read_documents(spark, path).select("source", "num", F.sha2("sharh", 256).alias("sharh_sha256")))
+
+
 def package_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packages.coverage(_entries(spark, sf_dir))
 
@@ -361,6 +369,6 @@ def book_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return books.global_entries(_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("unit_ix"), "text"), segs.select("seg_ix", "text"), P.MARKER_GLOBAL).select("unit_ix", "seg_ix", "best", F.length("text").alias("n_chars"))
 
 
-_ALL = (page_status, crawl_work, page_paragraphs, paragraph_runs, clean_text, page_documents, normalize_text, gate_text, content_words, doc_frequency, rare_words, text_fragments, segment_lines, merge_adjacent, sequence_validate, mega_segments, first_wins, direct_map, missing_anti, membership_semi, near_key, xref_forward, xref_reverse, priority_fill, overlap_best_second, overlap_global, title_match, number_agreement, window_align_numbered, window_align_marker, window_align_other, span_concat, chapter_interpolate, next_header, gate_numbering, gate_adjacent_dups, gate_prefix, gate_tail, gate_range, gate_overall, containment_own, containment_foreign, package_entries, package_coverage, book_global)
+_ALL = (page_status, crawl_work, page_paragraphs, paragraph_runs, clean_text, page_documents, normalize_text, gate_text, content_words, doc_frequency, rare_words, text_fragments, segment_lines, merge_adjacent, sequence_validate, mega_segments, first_wins, direct_map, missing_anti, membership_semi, near_key, xref_forward, xref_reverse, priority_fill, overlap_best_second, overlap_global, title_match, number_agreement, window_align_numbered, window_align_marker, window_align_other, span_concat, chapter_interpolate, next_header, gate_numbering, gate_adjacent_dups, gate_prefix, gate_tail, gate_range, gate_overall, containment_own, containment_foreign, package_entries, package_documents, package_coverage, book_global)
 QUERIES = {f.__name__: f for f in _ALL} | BOOK_QUERIES
 ORACLES = TABLE_ORACLES | BOOK_ORACLES

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,3 +32,17 @@ def cut(df: DataFrame) -> DataFrame:
 def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """Broadcast a table that has been written if a count shows at most `rows` rows; otherwise Spark shuffles it."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+class Scratch:
+    """A folder in shared storage, removed when the block ends."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> str:
+        return self.path
+
+    def __exit__(self, *_) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
