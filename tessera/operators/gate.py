@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import profiles as P
 from ..functions import text as T
 from ..storage import cut, small
+from .lookup import one_each
 from .passes import previous
 
 
@@ -104,7 +105,7 @@ def contained_elsewhere(fragments: DataFrame, units: DataFrame, key: str = "num"
     asked = cut(asked.select("__k", "fragment", F.explode(F.array_distinct(first_pieces(F.col("fragment"), least))).alias("piece")))
     wanted = small(cut(asked.select("piece").distinct()))
     long = units.where(F.length("form") >= least).select(F.col(key).alias("other"), "form")
-    held = long.select("other", F.explode(grid_pieces(F.col("form"), least)).alias("piece")).join(wanted, "piece", "left_semi").distinct()
+    held = one_each(long, ["other"], grid_pieces(F.col("form"), least), "piece").join(wanted, "piece", "left_semi").distinct()
     met = asked.join(held, "piece").where(F.col("__k") != F.col("other"))
     met = cut(met.groupBy("__k", "other").agg(F.collect_set("fragment").alias("fragments")))
     few = long.join(small(cut(met.select("other").distinct())), "other", "left_semi")

@@ -63,3 +63,11 @@ def by_priority(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 def lowest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int = 1) -> DataFrame:
     """The first n rows of each key, with their `rank` from 1."""
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= n)
+
+
+def one_each(rows: DataFrame, keys: Sequence[str], items: Column | str, name: str) -> DataFrame:
+    """(*keys, name): a row for each item of an array that isn't null.
+
+    An inner explode would make Spark compute the array twice, once to see that it isn't empty.
+    """
+    return rows.select(*keys, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
