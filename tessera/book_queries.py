@@ -76,7 +76,7 @@ def cross_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's lines behind a header and parts that list other places, near enough or too far down."""
     pattern = _pattern(S.REFERENCES, "header string, parts array<string>", F.col("doc_id"))
     rows = _table(spark, sf_dir, "documents").select("doc_id", pattern["header"].alias("header"), F.concat(pattern["parts"], F.split("text", "\n")).alias("parts"))
-    return rows.select("doc_id", F.array_join(T.cross_references(F.col("header"), F.col("parts")), ",").alias("numbers"))
+    return rows.select("doc_id", F.array_join(T.listed_places(F.col("header"), F.col("parts")), ",").alias("numbers"))
 
 
 def second_half(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,11 +138,16 @@ def second_half(items: Column, least: int = 30) -> Column:
     return F.when(n > least, F.slice(items, F.floor(n / 2).cast("int") + 1, n)).otherwise(items)
 
 
-def cross_references(header: Column, parts: Column, most_parts: int = 2) -> Column:
-    """Numbers listed as other places of a unit, in order; searched in the header and its first parts."""
+def listed_places(header: Column, parts: Column, most_parts: int = 2) -> Column:
+    """Numbers listed as other places of a unit, in order, as digits without leading zeros: a list may hold ones of any length."""
     text = F.array_join(F.concat(F.array(header), F.slice(parts, 1, most_parts)), "\n")
     listed = F.regexp_extract(text, P.CROSS_REFERENCE, 1)
-    return F.transform(F.filter(F.split(listed, r"[،,\s]+"), lambda x: x != ""), lambda x: ascii_digits(x).cast("int"))
+    return F.transform(F.filter(F.split(listed, r"[،,\s]+"), lambda x: x != ""), lambda x: F.regexp_replace(ascii_digits(x), r"^0+(?=\d)", ""))
+
+
+def cross_references(header: Column, parts: Column, most_parts: int = 2) -> Column:
+    """The same as integers; null for one that no unit can have, as it is beyond them."""
+    return F.transform(listed_places(header, parts, most_parts), lambda x: x.try_cast("int"))
 
 
 def fragments(text: Column, pattern: str = P.FRAGMENT, start: str | None = P.COMMENT_START, head: int = 1_200, body: int = 3_000, least: int = 18, most: int = 4) -> Column:

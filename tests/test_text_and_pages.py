@@ -116,3 +116,9 @@ def test_stream_of_pages(spark, tmp_path):
         (tmp_path / "in/7/2.html").write_text(page)
     append_paragraphs(page_stream(spark, f"file://{tmp_path}/in"), P.ARTICLE_PAGES, f"file://{tmp_path}/t", f"file://{tmp_path}/c").awaitTermination(60)
     assert sorted((r.page, r.text) for r in spark.read.parquet(f"file://{tmp_path}/t").collect()) == [(1, "one"), (1, "two"), (2, "one"), (2, "two")]
+
+
+def test_places_beyond_an_integer_are_listed(value):
+    part = ["الحديث 5 - أطرافه في: 4763047826333361، ٠٠٧ 0, 99999999999999999999999999999999999999999 12"]
+    assert value(part, lambda c: T.listed_places(F.lit(""), c), "array<string>") == ["4763047826333361", "7", "0", "9" * 41, "12"]
+    assert value(part, lambda c: T.cross_references(F.lit(""), c), "array<string>") == [None, 7, 0, None, 12]
