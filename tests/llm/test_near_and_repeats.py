@@ -123,3 +123,13 @@ def test_interval_tree(common):
 def test_maximal_repeats_list_all_occurrences():
     found = list(maximal_repeats([b"xyABCDEF", b"zyABCDEF", b"qqABCDEF"], [2, 2, 2], length=6, gram=4))
     assert sorted((size, column, sorted(rows)) for size, column, rows in found) == [(6, 0, [0, 1, 2]), (7, -1, [0, 1])]
+
+
+def test_texts_of_thue_morse_kind_stay(spark):
+    """A polynomial over single bytes is the same for both texts of a pair, and their stretches are anchored at the gram in the middle."""
+    half = lambda x, y: "".join(y if i.bit_count() & 1 else x for i in range(256))
+    rows = []
+    for seed in (1150, 2150, 2847):
+        gram = "".join(np.random.default_rng(seed).choice(list("abcdefgh"), 128))
+        rows += [(2 * seed, "x" * 16 + half("-", "Y") + gram + half("Y", "-") + "x" * 16), (2 * seed + 1, "x" * 16 + half("Y", "-") + gram + half("-", "Y") + "x" * 16)]
+    assert spans(remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute_repeats(rows, 400)
