@@ -69,11 +69,11 @@ def previous(rows: DataFrame, by: Sequence[str], order: Sequence[str], value: st
     return _with(local, before, [*by, "__chunk"]).withColumn(name, found).drop("__chunk", "__place", "__lag", "__handed")
 
 
-def _with(rows: DataFrame, of_chunks: DataFrame, keys: list[str]) -> DataFrame:
+def _with(rows: DataFrame, of_chunks: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join what chunks are handed, by keys that may be null."""
     there = of_chunks.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[c for c in of_chunks.columns if c not in keys])
     same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    return rows.join(there, same).drop(*[f"__k{i}" for i in range(len(keys))])
+    return rows.join(there, same, how).drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 def ordered_pass(rows: DataFrame, by: Sequence[str], order: Sequence[str], step: Step, schema: StructType, size: int | None = None) -> DataFrame:
@@ -83,13 +83,18 @@ def ordered_pass(rows: DataFrame, by: Sequence[str], order: Sequence[str], step:
     row); the state is None where a book begins, and else holds integers, strings, nulls, and tuples of these. A null key is a book of its own.
     """
     by = list(by)
-    rows = rows.withColumn("__chunk", chunk_of(order[0], size))
-    chunks = cut(rows.groupBy(*by, "__chunk").agg(F.count("*").alias("__rows")))
-    long = cut(chunks.groupBy(*by).agg(F.count("*").alias("__chunks")).where("__chunks > 1").drop("__chunks"))
+    rows = rows.withColumn("__stretch", chunk_of(order[0], size))
+    stretches = cut(rows.groupBy(*by, "__stretch").agg(F.count("*").alias("__rows")))
+    long = cut(stretches.groupBy(*by).agg(F.count("*").alias("__n"), F.sum("__rows").alias("__all")).where((F.col("__n") > 1) & (F.col("__all") > (size or CHUNK))).select(*by, F.lit(True).alias("__long")))
     if long.isEmpty():
-        return _run(rows.withColumn("__state", F.lit(None).cast("string")), by, order, step, schema, False)
+        return _run(rows.withColumn("__chunk", F.lit(0).cast("bigint")).withColumn("__state", F.lit(None).cast("string")), by, order, step, schema, False)
+    # a chunk is as many stretches as hold enough rows: where a book's rows lie far apart, each stretch has few
+    earlier = F.coalesce(F.sum("__rows").over(Window.partitionBy(*by).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = cut(_with(stretches, small(long), by, "left").withColumn("__chunk", F.when(F.col("__long"), F.floor(earlier / (size or CHUNK))).otherwise(0).cast("bigint")).drop("__rows", "__long"))
+    rows = _with(rows, small(placed), [*by, "__stretch"]).drop("__stretch")
+    chunks, long = cut(placed.select(*by, "__chunk").distinct()), long.drop("__long")
     several = cut(_with(rows, small(long), by))
-    states = cut(_with(chunks.drop("__rows"), small(long), by).withColumn("__state", F.lit(None).cast("string")))
+    states = cut(_with(chunks, small(long), by).withColumn("__state", F.lit(None).cast("string")))
     changed, ends = None, None
     along = Window.partitionBy(*by).orderBy("__chunk")
     while True:
@@ -102,7 +107,7 @@ def ordered_pass(rows: DataFrame, by: Sequence[str], order: Sequence[str], step:
         states = fresh.drop("__was")
         if changed.isEmpty():
             break
-    others = _without(chunks.drop("__rows"), states, [*by, "__chunk"]).withColumn("__state", F.lit(None).cast("string"))
+    others = _without(chunks, states, [*by, "__chunk"]).withColumn("__state", F.lit(None).cast("string"))
     begun = states.unionByName(others)
     return _run(_with(rows, begun, [*by, "__chunk"]), by, order, step, schema, False)
 

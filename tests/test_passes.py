@@ -71,3 +71,18 @@ def test_states_that_never_meet_still_settle(rows, monkeypatch):
             total += r[3] or 0
             want.add((book, r[2], total))
     assert {tuple(r) for r in passes.ordered_pass(frame, ["book"], ["at", "ix"], step, schema).collect()} == want
+
+
+def test_rows_far_apart_share_a_chunk(spark, monkeypatch):
+    """Books of few rows take no round, however far their order reaches; a long one takes as many chunks as its rows fill."""
+    monkeypatch.setattr(passes, "CHUNK", 100)
+    ran, run = [], passes._run
+    monkeypatch.setattr(passes, "_run", lambda rows, by, order, step, schema, ends: (ran.append(rows.select(*by, "__chunk").distinct().count()), run(rows, by, order, step, schema, ends))[1])
+    step = lambda state, row: ((state or 0) + 1, (row["ix"], (state or 0) + 1))
+    for n, rounds in ((90, 0), (250, 1)):
+        ran.clear()
+        frame = spark.createDataFrame([(b, i * 1_000) for b in ("a", "b") for i in range(n if b == "a" else 50)], "book string, ix bigint")
+        schema = frame.select("book", "ix", F.lit(0).cast("bigint").alias("nth")).schema
+        found = {tuple(r) for r in passes.ordered_pass(frame, ["book"], ["ix"], step, schema).collect()}
+        assert found == {(b, i * 1_000, i + 1) for b in ("a", "b") for i in range(n if b == "a" else 50)}
+        assert (len(ran) > 1) == bool(rounds) and max(ran) <= 4
