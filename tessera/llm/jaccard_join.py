@@ -36,6 +36,8 @@ COUNT_CHUNK = 1_000_000
 TEXT_CHUNK = 1 << 20
 #: Signatures that a task combines before it sends them on.
 COMBINE = 500_000
+#: N-grams to a range of signatures, about: what one task of the join holds at a time.
+BUCKET_GRAMS = 1_000_000
 #: Partners of one class that a task compares with it; more are shared out over tasks.
 SHARE = 256
 #: Classes on a side of a block, and n-grams in a matrix of it.
@@ -288,15 +290,47 @@ def _rows(docs: DataFrame, n: int, seed: int) -> DataFrame:
     return mapped(docs.select("doc_id", "mark", "text"), work, "doc_id bigint, mark bigint, size bigint, key binary, id bigint")
 
 
-def _longs(*columns: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["sig", "a", "b"][-len(columns) :])
+def _packed(sigs: list[np.ndarray], n_buckets: int) -> Iterator[tuple]:
+    """A task's documents, numbered in order, as rows (bucket, low, high, owners), and last the links (a, b) among themselves.
 
-
-def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, seed: int) -> DataFrame:
+    A signature has one posting a task, that of the first document with it; postings take eight bytes each, six of
+    the signature, in ascending order, and two of the document's number.
+    """
+    sig, owners = np.concatenate(sigs), np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])
+    at = np.argsort(sig, kind="stable")
+    sig, owners = sig[at], owners[at]
+    heads = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    first = np.repeat(owners[heads], np.diff(np.concatenate((heads, [len(sig)]))))
+    apart = owners != first
+    links = np.unique(np.stack((owners[apart], first[apart])), axis=1)
+    sig, owners = sig[heads], owners[heads].astype("<u2")
+    bucket = ((sig >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+    edges = np.concatenate((np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), [len(sig)]))
+    low, high = (sig >> np.uint64(16)).astype("<u4"), (sig >> np.uint64(48)).astype("<u2")
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        yield int(bucket[i]), low[i:j].tobytes(), high[i:j].tobytes(), owners[i:j].tobytes()
+    yield -1, *(side.astype("<u2").tobytes() for side in links)
+
+
+def _met(rows: list[tuple[int, bytes, bytes, bytes]]) -> np.ndarray:
+    """Pairs (document, first document of its signature's list) of a bucket's postings (unit, low, high, owners)."""
+    low, high = (np.concatenate([np.frombuffer(r[k], kind) for r in rows]).astype(np.uint64) for k, kind in ((1, "<u4"), (2, "<u2")))
+    sig = (high << np.uint64(32)) | low
+    nodes = np.concatenate([np.frombuffer(r[3], "<u2").astype(np.int64) | r[0] for r in rows])
+    at = np.lexsort((nodes, sig))
+    sig, nodes = sig[at], nodes[at]
+    heads = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    first = np.repeat(nodes[heads], np.diff(np.concatenate((heads, [len(sig)]))))
+    apart = nodes != first
+    return np.unique(np.stack((nodes[apart], first[apart])), axis=1)
+
+
+def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, seed: int, n_buckets: int) -> DataFrame:
     """Pairs (a, b) of class ids whose components hold all pairs that may link.
 
     A task joins its own documents first and sends one of each signature on, so that a list that every
-    document is in has a row per task. Lists are read in order, in constant memory.
+    document is in has an entry per task. Postings name documents by a task's unit and their number in it, and
+    are packed by ranges of signatures; a range is read at once. 48 bits of a signature are sent, which can only add pairs.
     """
 
     def combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,17 +339,13 @@ def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, see
         def flush() -> Iterator[pa.RecordBatch]:
             if not sigs:
                 return
-            sig, owners = np.concatenate(sigs), np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
-            at = np.lexsort((owners, sig))
-            sig, a = sig[at], owners[at]
-            heads = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-            first = np.repeat(a[heads], np.diff(np.concatenate((heads, [len(sig)]))))
-            apart = a != first
-            pairs = np.unique(np.stack((a[apart], first[apart])), axis=1)
-            # a posting is (signature, id, id), a pair (hash, a, b); postings of a document stay together, which compresses well
-            first_of = np.sort(at[heads])
-            yield _longs(np.concatenate(sigs)[first_of], owners[first_of], owners[first_of])
-            yield _longs(mix(pairs[0].astype(np.uint64) ^ mix(pairs[1].astype(np.uint64))), np.ascontiguousarray(pairs[0]), np.ascontiguousarray(pairs[1]))
+            classes = np.array(ids, np.int64)
+            # a unit is named by what is in it, so a task that runs again names it alike; its low 16 bits number documents
+            unit = class_id(classes.tobytes() + b"".join(s[:1].tobytes() for s in sigs), seed) >> 16 << 16
+            rows = [(b if b >= 0 else unit % n_buckets, int(b < 0), unit, low, high, owners) for b, low, high, owners in ((*r, b"") if r[0] < 0 else r for r in _packed(sigs, n_buckets))]
+            rows.append((unit % n_buckets, 2, unit, classes.astype("<i8").tobytes(), b"", b""))
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "kind", "unit", "low", "high", "owners"])
             sigs.clear()
             ids.clear()
 
@@ -325,32 +355,40 @@ def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, see
                     sigs.append(found)
                     ids.append(class_id(set_key(grams), seed))
                     held += len(found)
-                if held >= COMBINE:
+                if held >= COMBINE or len(sigs) == 1 << 16:
                     yield from flush()
                     held = 0
         yield from flush()
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, pivot = None, None
+        bucket, held = None, []
+
+        def pairs(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], ["kind", "x", "y"])
+
         for batch in batches:
-            sig, a, b = (batch.column(i).to_numpy() for i in range(3))
-            made = a != b
-            yield _longs(a[made], b[made])
-            sig, a = sig[~made], a[~made]
-            if not len(sig):
-                continue
-            heads = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-            pivots = a[heads].copy()
-            if sig[0] == last:
-                pivots[0] = pivot
-            first = np.repeat(pivots, np.diff(np.concatenate((heads, [len(sig)]))))
-            apart = a != first
-            yield _longs(a[apart], first[apart])
-            last, pivot = sig[-1], first[-1]
-
-    sent = mapped(docs.select("text"), combine, "sig bigint, a bigint, b bigint")
-    ordered = sent.repartition(spread(docs), "sig").sortWithinPartitions("sig", "a")
-    return cut(mapped(ordered, join, "a bigint, b bigint").distinct())
+            for at, kind, unit, low, high, owners in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != bucket and held:
+                    yield pairs(0, *_met(held))
+                    held.clear()
+                bucket = at
+                if kind == 0:
+                    held.append((unit, low, high, owners))
+                elif kind == 1:
+                    yield pairs(0, *(np.frombuffer(side, "<u2").astype(np.int64) | unit for side in (low, high)))
+                else:
+                    of_unit = np.frombuffer(low, "<i8")
+                    yield pairs(2, np.arange(len(of_unit)) | unit, of_unit)
+        if held:
+            yield pairs(0, *_met(held))
+
+    sent = mapped(docs.select("text"), combine, "bucket int, kind int, unit bigint, low binary, high binary, owners binary")
+    found = cut(mapped(sent.repartition(n_buckets, "bucket").sortWithinPartitions("bucket"), join, "kind int, x bigint, y bigint"))
+    named = found.where("kind = 2").select("x", F.col("y").alias("id")).distinct()
+    links = found.where("kind = 0").select("x", "y").distinct()
+    links = links.join(named.withColumnRenamed("id", "a"), "x").select(F.col("y").alias("x"), "a").join(named.withColumnRenamed("id", "b"), "x").where("a <> b")
+    # copies of a class may lead different lists, and so pair it both ways
+    return cut(links.groupBy(F.least("a", "b"), F.greatest("a", "b")).agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.*"))
 
 
 def _wanted(docs: DataFrame, classes: DataFrame, calls: DataFrame) -> DataFrame:
@@ -524,7 +562,8 @@ def _judged(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     else:
         raise RuntimeError("two sets share their 64-bit number under every seed")
     frequent = frequent_ngrams(docs, n)
-    pairs = _candidates(docs, n, percent, frequent, seed)
+    n_grams = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    pairs = _candidates(docs, n, percent, frequent, seed, max(spread(docs), -(-n_grams // BUCKET_GRAMS)))
     direct = cut(_pair_links(docs, classes, pairs, n, percent, frequent))
     groups, linked = components(pairs), components(direct)
     # what is left: groups whose pairs leave them in several components

@@ -133,3 +133,41 @@ def test_texts_of_thue_morse_kind_stay(spark):
         gram = "".join(np.random.default_rng(seed).choice(list("abcdefgh"), 128))
         rows += [(2 * seed, "x" * 16 + half("-", "Y") + gram + half("Y", "-") + "x" * 16), (2 * seed + 1, "x" * 16 + half("Y", "-") + gram + half("-", "Y") + "x" * 16)]
     assert spans(remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute_repeats(rows, 400)
+
+
+def test_postings_are_packed_by_ranges(spark, documents):
+    """A task sends its postings as a row per range of signatures, not as a row each."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def stages():
+        found = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None).iterator()
+        while found.hasNext():
+            stage = found.next()
+            yield stage.stageId(), stage.shuffleWriteRecords()
+
+    before = dict(stages())
+    assert jaccard_components(documents, 5, 80).count() == documents.count()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    assert max(n for i, n in stages() if i not in before) <= 8 * documents.count()
+
+
+def test_packed_postings_meet_as_the_signatures_do():
+    rng = np.random.default_rng(5)
+    sigs = [rng.integers(0, 2**64, 40, dtype=np.uint64) for _ in range(60)]
+    for i in range(0, 60, 7):
+        sigs[i][:9] = sigs[3][:9]
+    units, met, links = {1 << 16: sigs[:30], 2 << 16: sigs[30:]}, set(), set()
+    buckets = {}
+    for unit, own in units.items():
+        for bucket, *rest in jaccard_join._packed(own, 11):
+            if bucket < 0:
+                links |= {(unit | int(a), unit | int(b)) for a, b in zip(*(np.frombuffer(x, "<u2") for x in rest), strict=True)}
+            else:
+                buckets.setdefault(bucket, []).append((unit, *rest))
+    for rows in buckets.values():
+        met |= set(zip(*(side.tolist() for side in jaccard_join._met(rows)), strict=True))
+    node = lambda i: (1 + i // 30) << 16 | i % 30
+    like = sorted({3, *range(0, 60, 7)})
+    assert {x for pair in met | links for x in pair} == {node(i) for i in like}
+    heads = {node(min(i for i in like if i < 30)), node(min(i for i in like if i >= 30))}
+    assert {b for _, b in met | links} <= heads and len(met) == 1
