@@ -11,7 +11,8 @@ a file is split; only documents over a border between blocks are put together fr
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -50,28 +51,32 @@ class JsonTokenizer:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.findall = pretoken_finder(BYTE_LEVEL_PATTERN)
         self.table = {i: c for i, c in enumerate(byte_characters())}
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Remembered(self._merge)
 
     def _merge(self, pretoken: str) -> bytes:
         letters = pretoken.encode().decode("latin-1").translate(self.table)
-        return np.array([t.id for t in self.model.tokenize(letters)], LITTLE).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers, as the library's encode() gives them."""
         if any(a in text for a in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, LITTLE).tobytes()
-        pretokens, cache = self.findall(text), self.cache
-        unknown = set(pretokens).difference(cache)
-        if unknown:
-            if len(cache) + len(unknown) > CACHE_PIECES:
-                cache.clear()
-                unknown = set(pretokens)
-            learned = {p: self._merge(p) for p in unknown}
-            if len(unknown) > CACHE_PIECES or max(map(len, unknown)) > CACHE_CHARS:
-                found = {p: learned[p] if p in learned else cache[p] for p in set(pretokens)}
-                return b"".join(map(found.__getitem__, pretokens))
-            cache.update(learned)
-        return b"".join(map(cache.__getitem__, pretokens))
+        if len(self.cache) > CACHE_PIECES:
+            self.cache.clear()
+        return b"".join(map(self.cache.__getitem__, self.findall(text)))
+
+
+class _Remembered(dict):
+    """Pre-tokens with their ids; one that isn't there is merged, and remembered unless it is long or there are too many."""
+
+    def __init__(self, merge: Callable[[str], bytes]):
+        self.merge = merge
+
+    def __missing__(self, pretoken: str) -> bytes:
+        ids = self.merge(pretoken)
+        if len(pretoken) <= CACHE_CHARS and len(self) <= CACHE_PIECES:
+            self[pretoken] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)

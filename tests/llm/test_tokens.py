@@ -82,3 +82,20 @@ def test_store(spark, odd, nothing, tmp_path, unit):
     assert {r.start: r.crc for r in read_tokens(spark, path, unit).selectExpr("start", "crc32(ids) crc").collect()} == by_library
     write_tokens(nothing, f"{path}-none", JSON, end_id=2)
     assert read_tokens(spark, f"{path}-none").count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet=" \n\t\u00a0\u2003\u001fa1'.s\u4e2d", max_size=40))
+def test_white_space_of_any_kind_is_cut_as_the_library_does(text):
+    ids = np.frombuffer(_json().encode(text), "<u4").tolist()
+    assert ids == _json().tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_pretokens_keep_others_remembered():
+    tokenizer, merged = JsonTokenizer(JSON), []
+    merge = tokenizer._merge
+    tokenizer._merge = tokenizer.cache.merge = lambda pretoken: merged.append(pretoken) or merge(pretoken)
+    text = "one two three " + "x" * 200
+    for _ in range(3):
+        assert np.frombuffer(tokenizer.encode(text), "<u4").tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
+    assert merged.count(" two") == 1
