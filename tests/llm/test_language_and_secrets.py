@@ -1,6 +1,9 @@
 import re
 import zlib
 
+from pyspark.sql import functions as F
+
+from tessera.llm import common
 from tessera.llm.language_id import identify, keep_identified
 from tessera.llm.secrets import RULES, secret_report, secret_spans, trigram_query
 
@@ -60,3 +63,14 @@ def test_stage_keeps_clean_documents(documents, odd):
     assert keep_identified(documents).count() >= 0.99 * documents.count()
     kept = {r.doc_id for r in keep_identified(odd).collect()}
     assert not kept & {3, 4, 5, 16} and 1 in kept and keep_identified(odd).columns == odd.columns
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    texts = spark.range(0, 2_000, 1, 1).select(F.repeat(F.lit("abcdefgh"), 1_000).alias("text"))
+    assert max(r.n for r in common.mapped(texts, sizes, "n bigint").collect()) <= 2 * common.BATCH_BYTES
