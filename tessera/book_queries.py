@@ -14,6 +14,7 @@ from .functions import text as T
 from .operators import align, gate, lookup, pages, segment, spans
 from .plans import books
 from .sources import pages as sources
+from .storage import cut
 
 RUNS = "array<struct<cls:string,text:string>>"
 
@@ -282,6 +283,7 @@ def fill_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each source is a book of pages, the benchmark items are its units, in chapters of twenty that may be anywhere."""
     docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("bigint").alias("page_ix"), T.content_words(F.col("text")).alias("words"))
+    docs = cut(docs)  # written once, as many steps read them
     sized = docs.groupBy("book_id").agg((F.count("*") - 1).alias("end"))
     items = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("unit_ix"), F.col("item_id").alias("num"), F.floor(F.col("item_id") / 20).alias("chapter_id"), "text")
     # every unit is looked for in every book: twenty books at any size

@@ -149,17 +149,31 @@ def unit_anchors(pages: DataFrame, at: DataFrame) -> DataFrame:
     # only words that some page has count; of the tail, the rarest six
     head = listed.select(BOOK, "unit_ix", F.explode("head").alias("word")).join(frequency, [BOOK, "word"])
     tail = listed.select(BOOK, "unit_ix", F.explode("tail").alias("word")).join(frequency.where("df <= 25"), [BOOK, "word"])
-    tail = lookup.lowest(tail, [BOOK, "unit_ix"], ["df", "word"], 6)
-    shown = at.select(BOOK, "unit_ix", "__from", "__to", F.explode(F.sequence(F.floor(F.col("__from") / STRETCH), F.floor(F.col("__to") / STRETCH))).alias("stretch")).where(F.col("__from") <= F.col("__to"))
+    tail = cut(lookup.lowest(tail, [BOOK, "unit_ix"], ["df", "word"], 6))
+    counts = lambda rows, name: rows.groupBy(BOOK, "unit_ix").agg(F.count("*").alias(name))
+    n_rare = counts(tail, "n_rare")
+    of_unit = Window.partitionBy(BOOK, "unit_ix")
+    head = head.select("*", F.row_number().over(of_unit.orderBy("df", "word")).alias("rank"), F.count("*").over(of_unit).alias("n_head")).join(n_rare, [BOOK, "unit_ix"], "left").na.fill(0, ["n_rare"])
+    head = cut(head.withColumn("least", spans.least_hits(F.col("n_head"), F.col("n_rare"))))
+    # a page with `least` words of the head has one of all but its least - 1 most frequent, which are looked up only on pages that are met so
+    first_words = head.where(F.col("rank") <= F.col("n_head") - F.col("least") + 1)
+    postings = cut(words.join(first_words.select(BOOK, "word").unionByName(tail.select(BOOK, "word")).distinct(), [BOOK, "word"], "left_semi"))
+    windows = at.select(BOOK, "unit_ix", "__from", "__to").where(F.col("__from") <= F.col("__to"))
+    first, last = F.floor(F.col("__from") / STRETCH), F.floor(F.col("__to") / STRETCH)
 
     def hits(rows: DataFrame) -> DataFrame:
-        """How many of a unit's words each page has that its window may show; pages meet by word and stretch."""
-        met = rows.select(BOOK, "unit_ix", "word").join(shown, [BOOK, "unit_ix"]).join(words, [BOOK, "word", "stretch"])
+        """How many of a unit's words each page has that its window may show; a word that more pages have than the window has stretches meets by stretch."""
+        asked = rows.select(BOOK, "unit_ix", "word", "df").join(windows, [BOOK, "unit_ix"]).withColumn("__often", F.col("df") > last - first + 1)
+        rare = asked.where("not __often").join(postings.drop("stretch"), [BOOK, "word"])
+        often = asked.where("__often").withColumn("stretch", F.explode(F.sequence(first, last))).join(postings, [BOOK, "word", "stretch"])
+        met = rare.select(BOOK, "unit_ix", "page_ix", "__from", "__to").unionByName(often.select(BOOK, "unit_ix", "page_ix", "__from", "__to"))
         return met.where(F.col("page_ix").between(F.col("__from"), F.col("__to"))).groupBy(BOOK, "unit_ix", "page_ix").agg(F.count("*").alias("hits"))
 
-    counts = lambda rows, name: rows.groupBy(BOOK, "unit_ix").agg(F.count("*").alias(name))
-    sized = at.join(counts(head, "n_head"), [BOOK, "unit_ix"], "left").join(counts(tail, "n_rare"), [BOOK, "unit_ix"], "left").na.fill(0, ["n_head", "n_rare"])
-    return spans.find_anchors(sized.select(BOOK, "chapter_id", "num", "unit_ix", "start", "end", "__place", "__high", "n_head", "n_rare"), hits(head), hits(tail))
+    sought = head.groupBy(BOOK, "unit_ix").agg(F.collect_list("word").alias("head"), F.first("least").alias("least"))
+    maybe = hits(first_words).drop("hits").join(sought, [BOOK, "unit_ix"])
+    full = maybe.join(pages.select(BOOK, "page_ix", "words"), [BOOK, "page_ix"]).select(BOOK, "unit_ix", "page_ix", F.size(F.array_intersect("head", "words")).cast("bigint").alias("hits"), "least")
+    sized = at.join(counts(head, "n_head"), [BOOK, "unit_ix"], "left").join(n_rare, [BOOK, "unit_ix"], "left").na.fill(0, ["n_head", "n_rare"])
+    return spans.find_anchors(sized.select(BOOK, "chapter_id", "num", "unit_ix", "start", "end", "__place", "__high", "n_head", "n_rare"), full.where("hits >= least").drop("least"), hits(tail))
 
 
 def chapter_book(pages: DataFrame, units: DataFrame, chapters: DataFrame, least: int = 250) -> DataFrame:
