@@ -310,9 +310,11 @@ def gate_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as units; commentaries quote their own one, the next one, a narration's opening, or nothing."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("num"), "text")
     after = docs.select((F.col("num") - 1).alias("num"), F.substring("text", 21, 60).alias("next"))
-    own, kind = F.substring("text", 11, 60), F.col("num") % 5
+    # what is quoted is cut out first, so that no whole text is moved for it
+    held = docs.select("num", F.substring("text", 11, 60).alias("own"), F.substring("text", 1, 20).alias("head"))
+    own, kind = F.col("own"), F.col("num") % 5
     quote = F.when(kind <= 1, F.concat(F.lit(S.QUOTE_OWN[0]), own, F.lit(S.QUOTE_OWN[1]))).when(kind == 2, F.concat(F.lit(S.QUOTE_NEXT[0]), F.coalesce("next", F.lit("")), F.lit(S.QUOTE_NEXT[1]))).when(kind == 3, F.lit(S.QUOTE_NARRATION)).otherwise("")
-    return gate.pairing(docs.join(after, "num", "left").select("num", F.concat(quote, F.lit(" "), F.substring("text", 1, 20)).alias("sharh")), docs)
+    return gate.pairing(held.join(after, "num", "left").select("num", F.concat(quote, F.lit(" "), "head").alias("sharh")), docs)
 
 
 def gate_unit_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
