@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -20,6 +20,11 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, _EDGE, "")
 
 
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x computed once, however often f uses it."""
+    return F.transform(F.array(x), f)[0]
+
+
 def ascii_digits(text: Column) -> Column:
     return F.translate(text, P.ARABIC_DIGITS, P.ASCII_DIGITS)
 
@@ -101,7 +106,8 @@ def opens_by_formula(search: Column, least: int = 60) -> Column:
 
 
 def starts_with_any(text: Column, starts: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.startswith(s) for s in starts])
+    # one pattern, as an or of many would compute the text for each
+    return text.rlike("^(?:" + "|".join(map(re.escape, starts)) + ")")
 
 
 def is_narration(search: Column) -> Column:

@@ -50,14 +50,13 @@ def _sized(segments: DataFrame, units: DataFrame) -> DataFrame:
 def numbered_book(paragraphs: DataFrame, units: DataFrame, profile: P.BookProfile = P.BOOKS["bukhari"]) -> DataFrame:
     """Numbers first, then the window, then cross-references forward and back, then a relaxed match by text."""
     # written once, as many steps read them
-    segments = cut(segment.validated_segments(segment.numbered_segments(paragraphs)))
+    segments = cut(segment.validated_book(paragraphs))
     texts = _texts(segments, True)
     words = cut(units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words")))
     heads = cut(segments.select(BOOK, "seg_ix", T.content_words(F.coalesce("header", F.lit(""))).alias("words")))
     direct = _by_number(segments)
-    scores = align.overlap(words.select(BOOK, "unit_ix", "words"), heads, [BOOK])
-    placed = words.join(direct.withColumnRenamed("seg_ix", "direct"), [BOOK, "num"], "left").join(_sized(segments, units), BOOK).select(BOOK, "unit_ix", "num", F.size("words").alias("n_words"), "direct", "n_segs")
-    window = align.numbered_window(placed, scores, [BOOK], profile.rules)
+    placed = words.join(direct.withColumnRenamed("seg_ix", "direct"), [BOOK, "num"], "left").select(BOOK, "unit_ix", "num", "words", "direct")
+    window = align.numbered_search(placed, heads, [BOOK], profile.rules)
     own = lookup.by_priority([lookup.among(direct, units, [BOOK, "num"]), window.select(BOOK, F.col("num").cast("int").alias("num"), F.col("seg_ix").cast("int").alias("seg_ix"))], [BOOK, "num"])
     entries = cut(own.join(texts.select(BOOK, "seg_ix", "sharh"), [BOOK, "seg_ix"]).where(F.length("sharh") >= profile.least_text).select(BOOK, "num", "sharh"))
     missing = cut(lookup.without(words, entries, [BOOK, "num"]))
@@ -75,8 +74,8 @@ def fill_missing(missing: DataFrame, segments: DataFrame, usable: DataFrame, hea
     naming = missing.select(BOOK, "num").join(edges.withColumnRenamed("dst", "num"), ids).withColumnRenamed("src", "target").join(keyed, [BOOK, "target"])
     first_named = naming.join(edges.groupBy(BOOK, F.col("src").alias("target")).agg(F.min("src_ix").alias("listed_ix")), [BOOK, "target"])
     reverse = lookup.first_wins(first_named.select(BOOK, "num", "listed_ix", "seg_ix"), ids, "listed_ix").select(BOOK, "num", "seg_ix")
-    best = align.best_and_second(align.overlap(missing.select(BOOK, "unit_ix", "words"), lookup.among(heads, usable, [BOOK, "seg_ix"]), [BOOK]), [BOOK, "unit_ix"])
-    relaxed = missing.join(best, [BOOK, "unit_ix"]).where(align.accepted(F.col("best"), F.col("second"), F.size("words"), P.RELAXED_FILL)).select(BOOK, "num", "seg_ix")
+    best = align.block_match(missing.select(BOOK, "unit_ix", "words"), lookup.among(heads, usable, [BOOK, "seg_ix"]), P.RELAXED_FILL, [BOOK])
+    relaxed = missing.join(best, [BOOK, "unit_ix"]).select(BOOK, "num", "seg_ix")
     chosen = lookup.by_priority([forward, reverse, relaxed], ids)
     return chosen.join(usable.select(BOOK, "seg_ix", "sharh"), [BOOK, "seg_ix"]).select(BOOK, "num", "sharh")
 
