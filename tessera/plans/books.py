@@ -82,11 +82,12 @@ def fill_missing(missing: DataFrame, segments: DataFrame, usable: DataFrame, hea
 
 def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, global_match: bool = False, force_direct: bool = False) -> DataFrame:
     """Numbers where they agree with the texts (a count over the first units decides), else windows or the best match of all."""
-    # written once, as many steps read them
-    signed = cut(segment.signatures(segments, profile.signature_chars, profile.most_segment))
+    # written once, as many steps read them; of words 64 bits of a hash, as words take more room than the texts
+    signed = segment.signatures(segments, profile.signature_chars, profile.most_segment)
+    signed = cut(signed.withColumn("head_words", align.hashed(F.col("head_words"))).withColumn("body_words", align.hashed(F.col("body_words"))))
     segments = signed.drop("head_words", "body_words")
     texts = entry_texts(_texts(segments, False), profile)
-    words = cut(units.select(BOOK, "unit_ix", "num", T.content_words(F.col("text")).alias("words")))
+    words = cut(units.select(BOOK, "unit_ix", "num", align.hashed(T.content_words(F.col("text"))).alias("words")))
     first = _by_number(segments)
     heads = first.join(signed, [BOOK, "seg_ix"]).select(BOOK, "num", F.col("head_words").alias("words"))
     if force_direct:
@@ -105,7 +106,7 @@ def marker_book(segments: DataFrame, units: DataFrame, profile: P.BookProfile, g
         direct = cut(hits.join(first.withColumnRenamed("num", "key"), [BOOK, "key"]).select(BOOK, "num", "seg_ix"))
     if global_match:
         rest = words if direct is None else lookup.without(words, direct, [BOOK, "num"])
-        numbers = align.global_match(rest, signed.select(BOOK, "seg_ix", F.col("head_words").alias("words")), P.MARKER_GLOBAL, [BOOK]).join(words, [BOOK, "unit_ix"]).select(BOOK, "num", "seg_ix")
+        numbers = align.block_match(rest, signed.select(BOOK, "seg_ix", F.col("head_words").alias("words")), P.MARKER_GLOBAL, [BOOK]).join(words, [BOOK, "unit_ix"]).select(BOOK, "num", "seg_ix")
     else:
         scores = align.overlap(words.select(BOOK, "unit_ix", "words"), signed.select(BOOK, "seg_ix", F.col("body_words").alias("words")), [BOOK], least=3)
         flags = texts.select(BOOK, "seg_ix", F.lit(True).alias("usable"))

@@ -53,7 +53,7 @@ def test_books_make_no_rows_of_pairs(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(align, "overlap", fail)
     monkeypatch.setattr(align, "top_two", fail)
-    for query in (B.numbered_book,):
+    for query in (B.numbered_book, B.marker_book, B.forced_book):
         assert query(spark, sf_dir).columns == ["book_id", "num", "n_chars", "sharh_sha256"]
 
 
