@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, mapped, mix, small, spread
+from .common import by_ids, components, cut, free, mapped, mix, small, spread
 
 #: Parts of the global order whose overlaps are counted by themselves; the last holds the frequent n-grams.
 FRAGMENTS = 4
@@ -384,6 +384,7 @@ def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, see
 
     sent = mapped(docs.select("text"), combine, "bucket int, kind int, unit bigint, low binary, high binary, owners binary")
     found = cut(mapped(sent.repartition(n_buckets, "bucket").sortWithinPartitions("bucket"), join, "kind int, x bigint, y bigint"))
+    free(docs.sparkSession)
     named = found.where("kind = 2").select("x", F.col("y").alias("id")).distinct()
     links = found.where("kind = 0").select("x", "y").distinct()
     links = links.join(named.withColumnRenamed("id", "a"), "x").select(F.col("y").alias("x"), "a").join(named.withColumnRenamed("id", "b"), "x").where("a <> b")
@@ -392,9 +393,17 @@ def _candidates(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, see
 
 
 def _wanted(docs: DataFrame, classes: DataFrame, calls: DataFrame) -> DataFrame:
-    """(text, key, id, *) of a document of each class that `calls` (id, *) names; repeated rows give it more than once."""
+    """(text, key, id, *) of a document of each class that `calls` (id, *) names; repeated rows give it more than once.
+
+    Beyond what is broadcast, only texts whose id may be named are moved.
+    """
     named = cut(calls.join(classes.select("id", "key", F.col("first_id").alias("__id")), "id"))
-    return docs.select("doc_id", "text").join(small(named, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("__id"))).where("text is not null").drop("doc_id", "__id")
+    held = docs.select("doc_id", "text").where("text is not null")
+    if named.count() <= BROADCAST_ROWS:
+        named = F.broadcast(named)
+    else:
+        held, _ = by_ids(held, named, "doc_id", "__id")
+    return held.join(named, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("doc_id", "__id")
 
 
 def _pair_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -564,13 +573,16 @@ def _judged(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     frequent = frequent_ngrams(docs, n)
     n_grams = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     pairs = _candidates(docs, n, percent, frequent, seed, max(spread(docs), -(-n_grams // BUCKET_GRAMS)))
+    free(docs.sparkSession)
     direct = cut(_pair_links(docs, classes, pairs, n, percent, frequent))
+    free(docs.sparkSession)
     groups, linked = components(pairs), components(direct)
     # what is left: groups whose pairs leave them in several components
     state = cut(groups.select("id", F.col("component").alias("group")).join(linked, "id", "left").select("id", "group", F.coalesce("component", "id").alias("label")))
     open_ = cut(state.groupBy("group").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("group"))
     members = cut(state.join(open_, "group").join(classes.select("id", "size"), "id").select("id", "size", "group"))
     rest = direct.limit(0) if members.isEmpty() else cut(_group_links(docs, classes, members, percent, n))
+    free(docs.sparkSession)
     merged = components(direct.unionByName(rest))
     return rows.select("doc_id", "mark", "size", "id"), merged.select("id", F.col("component").alias("label"))
 
@@ -612,7 +624,11 @@ def keep_one_per_component(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     again = cut(placed.where("stays and rows > 1").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__gone")))
     kept = docs.withColumn("__mark", F.xxhash64("text"))
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__gone"))
-    left = kept.join(small(gone, GONE_ROWS), same, "left_anti")
+    if gone.count() <= GONE_ROWS:
+        left = kept.join(F.broadcast(gone), same, "left_anti")
+    else:
+        maybe, others = by_ids(kept, gone, "doc_id", "__id")
+        left = maybe.join(gone, same, "left_anti").unionByName(others)
     if not again.isEmpty():
         twice = left.join(small(again, GONE_ROWS), same, "left_semi").dropDuplicates(["doc_id", "__mark"])
         left = left.join(small(again, GONE_ROWS), same, "left_anti").unionByName(twice)

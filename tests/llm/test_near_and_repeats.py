@@ -171,3 +171,32 @@ def test_packed_postings_meet_as_the_signatures_do():
     assert {x for pair in met | links for x in pair} == {node(i) for i in like}
     heads = {node(min(i for i in like if i < 30)), node(min(i for i in like if i >= 30))}
     assert {b for _, b in met | links} <= heads and len(met) == 1
+
+
+def test_texts_that_nothing_names_are_not_moved(spark, monkeypatch):
+    """Beyond what may be broadcast, only the texts of named documents are shuffled, and the result stays the same."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written(work):
+        """The result, and the records that each of its stages shuffled."""
+        def stages():
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+            found = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+            return {found.apply(i).stageId(): found.apply(i).shuffleWriteRecords() for i in range(found.size())}
+
+        before = stages()
+        return work(), max([n for i, n in stages().items() if i not in before], default=0)
+
+    text = lambda i: " ".join(f"word{i}x{k}" for k in range(30))
+    docs = spark.createDataFrame([(i, text(i)) for i in range(400)] + [(400, text(7) + " end"), (401, text(9) + " end"), (None, text(11) + " end"), (403, None), (404, text(7) + " end")], "doc_id bigint, text string").repartition(3)
+    docs = common.cut(docs)
+    expected = sorted(map(str, keep_one_per_component(docs).collect()))
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard_join, "GONE_ROWS", 0)
+    left = keep_one_per_component(docs)
+    kept, moved = written(left.collect)
+    assert sorted(map(str, kept)) == expected and len(kept) == 401 and moved < 50
+    classes = spark.createDataFrame([(1, bytearray(b"k"), 7)], "id bigint, key binary, first_id bigint")
+    calls = spark.createDataFrame([(1, 5)], "id bigint, call int")
+    wanted, moved = written(jaccard_join._wanted(docs, classes, calls).collect)
+    assert [r.text for r in wanted] == [text(7)] and moved < 50
