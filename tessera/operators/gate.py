@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import profiles as P
 from ..functions import text as T
 from ..storage import cut, small
+from . import scan
 from .lookup import one_each
 from .passes import previous
 
@@ -117,14 +118,17 @@ def pairing(entries: DataFrame, units: DataFrame, least_rate: float = 0.85, most
     """Whether entries quote the unit that they belong to: one row (verified, wrong, undecided, rate, ok).
 
     entries (num, sharh; a number may occur more than once), units (num, text). An entry is verified by its own unit, wrong if a fragment that doesn't
-    open like a narration is in another unit only, else undecided. Without anything to compare the rate holds.
+    open like a narration is in another unit only, else undecided. Without anything to compare the rate holds. No unit's text is moved.
     """
-    quoted = entries.select("num", F.xxhash64("num", "sharh").alias("entry"), T.fragments(F.col("sharh")).alias("fragments"))
-    forms = units.select("num", T.gate_form(F.col("text")).alias("form"))
-    own = quoted.join(forms, "num").where(F.exists("fragments", lambda f: F.contains(F.col("form"), f))).select("entry").distinct().withColumn("verified", F.lit(True))
-    rest = quoted.join(own, "entry", "left_anti").select("num", "entry", F.explode("fragments").alias("fragment")).where(~F.col("fragment").rlike(P.NARRATION_FRAGMENT))
-    elsewhere = contained_elsewhere(rest.select("num", "fragment").distinct(), forms).select("num", "fragment").distinct()
-    wrong = rest.join(elsewhere, ["num", "fragment"], "left_semi").select("entry").distinct().withColumn("wrong", F.lit(True))
+    quoted = cut(entries.select("num", F.xxhash64("num", "sharh").alias("entry"), T.fragments(F.col("sharh")).alias("fragments")))
+    each = quoted.select("num", "entry", F.explode("fragments").alias("fragment"))
+    held = scan.held(each, units.select("num", T.gate_form(F.col("text")).alias("form")))
+    own = cut(each.join(held, ["num", "fragment"], "left_semi").select("entry").distinct().withColumn("verified", F.lit(True)))
+    rest = each.join(own, "entry", "left_anti").where(~F.col("fragment").rlike(P.NARRATION_FRAGMENT))
+    # another unit has a fragment if the least or the greatest number of those that have it is another
+    ends = held.groupBy("fragment").agg(F.min("num").alias("least"), F.max("num").alias("most"))
+    elsewhere = rest.join(ends, "fragment").where((F.col("least") != F.col("num")) | (F.col("most") != F.col("num")))
+    wrong = elsewhere.select("entry").distinct().withColumn("wrong", F.lit(True))
     judged = quoted.join(own, "entry", "left").join(wrong, "entry", "left")
     counts = judged.agg(F.count_if("verified").alias("verified"), F.count_if("wrong").alias("wrong"), F.count("*").alias("n"))
     total = F.col("verified") + F.col("wrong")
