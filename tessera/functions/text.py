@@ -49,6 +49,11 @@ def search_form(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, _SEARCH_FROM, _SEARCH_TO), P.NOT_SEARCHABLE.replace(" ]", "]+"), " "))
 
 
+def written_as(letter: str) -> str:
+    """All characters that are this letter in search form."""
+    return letter + "".join(a for a, b in zip(P.LETTERS_FROM, P.LETTERS_TO, strict=False) if b == letter)
+
+
 def gate_form(text: Column) -> Column:
     """For the gate: no marks, fewer letter variants as one, single spaces; punctuation, digits and the ends stay."""
     bare = F.translate(text, P.GATE_LETTERS_FROM + _spelled(P.MARKS_GATE), P.GATE_LETTERS_TO)

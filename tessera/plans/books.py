@@ -7,6 +7,7 @@ books go through a plan at once; entries are (book_id, num, sharh).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,11 +15,13 @@ from pyspark.sql import functions as F
 from .. import profiles as P
 from ..functions import text as T
 from ..operators import align, lookup, segment, spans
-from ..storage import cut
+from ..storage import cut, free
 
 BOOK = "book_id"
 #: Pages of a stretch, by which units meet the pages that their windows may show.
 STRETCH = 64
+#: Books are dealt out over so many waves, one after the other, as all words of their units and pages are moved.
+WAVES = 4
 
 
 def global_entries(units: DataFrame, segments: DataFrame, rules: Sequence[P.Rule], least: int = 60) -> DataFrame:
@@ -176,12 +179,38 @@ def unit_anchors(pages: DataFrame, at: DataFrame) -> DataFrame:
     return spans.find_anchors(sized.select(BOOK, "chapter_id", "num", "unit_ix", "start", "end", "__place", "__high", "n_head", "n_rare"), full.where("hits >= least").drop("least"), hits(tail))
 
 
+def chapter_anchors(pages: DataFrame, units: DataFrame, ranges: DataFrame) -> DataFrame:
+    """unit_anchors for windows that move on through long chapters: pages are looked at as the windows show them, not joined before.
+
+    units (book_id, chapter_id, unit_ix, num, text), ranges (book_id, chapter_id, start, end).
+    """
+    keys = [BOOK, "unit_ix"]
+    usable = lambda ws: F.array_except(F.filter(F.array_distinct(ws), lambda w: F.length(w) >= 4), F.array(*[F.lit(w) for w in T.STOP]))
+    named = lambda ws, opens: F.transform(usable(ws), lambda w: F.struct(w.alias("word"), F.lit(opens).alias("opens")))
+    listed = T.let(T.words(F.col("text")), lambda ws: F.concat(named(F.slice(ws, 1, 22), True), named(T.second_half(ws), False)))
+    asked = lookup.one_each(units, keys, listed, "w").select(*keys, "w.*")
+    frequency = lookup.one_each(pages, [BOOK], "words", "word").groupBy(BOOK, "word").agg(F.count("*").alias("df"))
+    # only words that some page has count; of the tail, the rarest six
+    met = asked.join(frequency, [BOOK, "word"]).where(F.col("opens") | (F.col("df") <= 25))
+    rarest = F.slice(F.sort_array(F.collect_list(F.when(~F.col("opens"), F.struct("df", "word")))), 1, 6)
+    found = cut(met.groupBy(*keys).agg(F.collect_list(F.when(F.col("opens"), F.xxhash64("word"))).alias("head"), F.transform(rarest, lambda w: F.xxhash64(w["word"])).alias("rare")))
+    free(pages.sparkSession)
+    # a unit without words takes its place in the chapter all the same
+    none = F.array().cast("array<bigint>")
+    placed = units.select(*keys, "chapter_id", "num").join(ranges, [BOOK, "chapter_id"]).join(found, keys, "left")
+    placed = cut(placed.withColumn("head", F.coalesce("head", none)).withColumn("rare", F.coalesce("rare", none)))
+    found = cut(spans.search_anchors(placed, pages.select(BOOK, "page_ix", align.hashed(F.col("words")).alias("words"))))
+    free(pages.sparkSession)
+    return found
+
+
 def chapter_book(pages: DataFrame, units: DataFrame, chapters: DataFrame, least: int = 250) -> DataFrame:
     """Chapters find their pages by title, units their page in the chapter; an entry is the pages up to the next unit's.
 
     pages (book_id, page_ix, text), chapters (book_id, chapter_id, title).
     """
-    pages = cut(pages.withColumn("words", T.content_words(F.col("text"))))
+    # written once, as many steps read them
+    words = cut(pages.select(BOOK, "page_ix", T.content_words(F.col("text")).alias("words")))
     last = pages.groupBy(BOOK).agg(F.max("page_ix").alias("last_page"))
     headers = cut(segment.chapter_headers(pages))
     titled = lambda rows, key, title: rows.select(BOOK, F.col(key).cast("bigint").alias(("unit_ix" if key == "chapter_id" else "seg_ix")), T.content_words(F.col(title), 1, [P.TITLE_STOP]).alias("words"))
@@ -190,6 +219,7 @@ def chapter_book(pages: DataFrame, units: DataFrame, chapters: DataFrame, least:
     known = chapters.select(BOOK, F.col("chapter_id").cast("bigint").alias("chapter_id")).join(found, [BOOK, "chapter_id"], "left").join(last, BOOK)
     known = known.withColumn("end", F.when(F.col("start").isNotNull(), F.coalesce("end", "last_page")))
     ranges = cut(spans.interpolate(known).select(BOOK, "chapter_id", "start", "end"))
-    anchors = unit_anchors(pages, units.join(ranges, [BOOK, "chapter_id"]))
+    wave = lambda rows, k: rows.where(F.pmod(F.xxhash64(BOOK), F.lit(WAVES)) == k)
+    anchors = reduce(DataFrame.unionByName, [chapter_anchors(*(wave(rows, k) for rows in (words, units, ranges))) for k in range(WAVES)])
     placed = spans.anchor_spans(anchors.join(last, BOOK))
     return spans.span_text(placed, pages, least=least).select(BOOK, "num", F.col("text").alias("sharh"))
